@@ -30,9 +30,10 @@ def sum_long(c: str | Column, name: str) -> Column:
 
 
 def sum_money(c: str | Column, name: str, scale: str = MONEY) -> Column:
-    """Exact decimal sum (order independent), emitted as ``scale``."""
+    """Exact decimal sum (order independent), rounded to ``scale`` and emitted
+    as double (the rounded value converts exactly the same in every engine)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(F.coalesce(col.cast("decimal(38,4)"), F.lit(0))).cast(scale).alias(name)
+    return F.sum(col.cast("decimal(38,4)")).cast(scale).cast("double").alias(name)
 
 
 def tumbling(df: DataFrame, time_col: str, size: str, keys: Sequence[str | Column],

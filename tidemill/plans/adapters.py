@@ -132,6 +132,36 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def topic(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived topic at rest: ``build(spark, sf_dir)`` written once as parquet
+    under the shared checkpoint folder (``spark.checkpoint.dir``), then read.
+
+    A topic is data at rest in the reference too; writing it also cuts the
+    lineage so the optimizer cannot inline the record-building expressions
+    into every downstream filter.  The folder name carries the source path and
+    the source files' sizes and times, so a changed input gets a new topic.
+    """
+    import hashlib
+    import os
+
+    from ..session import checkpoint_dir
+
+    src = sf_dir.rstrip("/")
+    stamp = []
+    for t in ("events", "lineitem", "documents"):
+        f = f"{src}/{t}.parquet"
+        if os.path.exists(f):
+            st = os.stat(f)
+            stamp.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+    key = hashlib.sha1(f"{src}|{'|'.join(stamp)}".encode()).hexdigest()[:16]
+    path = os.path.join(checkpoint_dir(spark), "topics", f"{name}-{key}")
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath.suffix("/_SUCCESS")):
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def events_base(events: DataFrame) -> DataFrame:
     d = DIALECT["spark"]
     return events.selectExpr("event_id", "ts", "user_id", "event_type", "value",

@@ -40,10 +40,12 @@ def _seg():
 
 def app_log_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """S1 -> P1 -> P2: the five split streams (plus ``dirty``) of the app log."""
-    topic = AD.app_log_json(AD.load(spark, sf_dir, "events"))
-    parts = split_dirty(topic, keep=("arrival",))
+    log = AD.topic(spark, sf_dir, "app_log",
+                   lambda s, d: AD.app_log_json(AD.load(s, d, "events")))
+    parts = split_dirty(log, keep=("arrival",))
     streams = split_log(parts["clean"], keep=("arrival",))
     streams["dirty"] = parts["dirty"]
+    streams["clean_all"] = parts["clean"]
     return streams
 
 
@@ -86,3 +88,256 @@ FROM b GROUP BY ALL
 """)
 def q_page_view_window(spark, sf_dir):
     return R.page_view_job(page_rows(spark, sf_dir), segment=_seg())
+
+
+def _bounds_key(width: str, ts: str) -> str:
+    b = _bucket(width, ts)
+    return (f"strftime({b}, '%Y-%m-%d %H:%M:%S') AS stt, "
+            f"strftime({b} + INTERVAL '{width}', '%Y-%m-%d %H:%M:%S') AS edt, "
+            f"strftime({b}, '%Y%m%d') AS cur_date")
+
+
+@register("home_detail_uv", f"""
+WITH b AS (
+  SELECT *, {_day()} AS d, lag({_day()}) OVER (PARTITION BY mid, page_id ORDER BY arrival) AS pd
+  FROM {_PAGES} p WHERE page_id IN ('home', 'good_detail')),
+f AS (
+  SELECT *, CASE WHEN page_id = 'home' AND (pd IS NULL OR pd <> d) THEN 1 ELSE 0 END AS h,
+            CASE WHEN page_id = 'good_detail' AND (pd IS NULL OR pd <> d) THEN 1 ELSE 0 END AS g FROM b)
+SELECT {_bounds('5 seconds')}, CAST(sum(h) AS BIGINT) AS home_uv_ct, CAST(sum(g) AS BIGINT) AS good_detail_uv_ct
+FROM f WHERE h + g > 0 GROUP BY ALL
+""")
+def q_home_detail_uv(spark, sf_dir):
+    return R.home_detail_job(page_rows(spark, sf_dir), segment=_seg())
+
+
+@register("login_return_users", f"""
+WITH l AS (SELECT * FROM {_PAGES} p
+           WHERE uid IS NOT NULL AND uid <> '' AND (last_page_id = 'login' OR last_page_id IS NULL OR last_page_id = '')),
+b AS (SELECT *, {_day()} AS d, lag({_day()}) OVER (PARTITION BY uid ORDER BY arrival) AS pd FROM l),
+f AS (SELECT *, CASE WHEN pd IS NULL OR pd <> d THEN 1 ELSE 0 END AS uu,
+             CASE WHEN pd IS NOT NULL AND pd <> d
+                   AND (ts_ms - epoch_ms(CAST(pd AS TIMESTAMP))) // 86400000 >= 8 THEN 1 ELSE 0 END AS back FROM b)
+SELECT {_bounds('1 second')}, CAST(sum(back) AS BIGINT) AS back_ct, CAST(sum(uu) AS BIGINT) AS uu_ct
+FROM f WHERE uu = 1 OR back = 1 GROUP BY ALL
+""")
+def q_login_return_users(spark, sf_dir):
+    return R.login_job(page_rows(spark, sf_dir), segment=_seg())
+
+
+_CART = f"(SELECT event_id AS arrival, user_id, ts_ms FROM {AD.SQL('base')} b WHERE event_type = 'purchase')"
+
+
+def cart_adds(spark, sf_dir):
+    return (AD.events_base(AD.load(spark, sf_dir, "events")).where("event_type = 'purchase'")
+            .selectExpr("event_id AS arrival", "user_id", "ts_ms AS ts"))
+
+
+@register("cart_unique_users", f"""
+WITH b AS (SELECT *, {_day()} AS d, lag({_day()}) OVER (PARTITION BY user_id ORDER BY arrival) AS pd FROM {_CART} c)
+SELECT {_bounds('5 seconds')}, CAST(count(*) AS BIGINT) AS cart_add_uu_ct
+FROM b WHERE pd IS NULL OR pd <> d GROUP BY ALL
+""")
+def q_cart_unique_users(spark, sf_dir):
+    return R.cart_job(cart_adds(spark, sf_dir), segment=_seg())
+
+
+@register("new_visitor_repair", f"""
+WITH p AS (SELECT arrival, mid, is_new, ts_ms FROM {_CLEAN} c),
+f AS (SELECT mid, arg_min(is_new, arrival) AS fi, arg_min(ts_ms, arrival) AS ft FROM p GROUP BY mid),
+s AS (SELECT mid, CASE WHEN fi = '1' THEN {_day('ft')} ELSE {_day('(ft - 86400000)')} END AS fd FROM f)
+SELECT p.arrival, p.mid, p.is_new, p.ts_ms AS ts,
+       CASE WHEN p.is_new = '1' AND s.fd <> {_day('p.ts_ms')} THEN '0' ELSE p.is_new END AS is_new_fixed
+FROM p JOIN s USING (mid)
+""")
+def q_new_visitor_repair(spark, sf_dir):
+    clean = app_log_streams(spark, sf_dir)["clean_all"]
+    recs = clean.select("arrival", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"), "ts")
+    return R.new_visitor_job(recs)
+
+
+# ---------------------------------------------------------------- P1 / P2 split streams
+@register("dirty_split", f"""
+SELECT arrival, CASE WHEN arrival % 50 = 7 THEN 'dirty' ELSE 'clean' END AS stream,
+       CASE WHEN arrival % 50 = 7 THEN NULL ELSE mid END AS mid FROM {_LOG} l
+""")
+def q_dirty_split(spark, sf_dir):
+    s = app_log_streams(spark, sf_dir)
+    dirty = s["dirty"].select("arrival", F.lit("dirty").alias("stream"), F.lit(None).cast("string").alias("mid"))
+    clean = s["clean_all"].select("arrival", F.lit("clean").alias("stream"), F.col("common.mid").alias("mid"))
+    return dirty.unionByName(clean)
+
+
+@register("log_split_err", f"SELECT arrival, err_code AS error_code FROM {_CLEAN} c WHERE err_code IS NOT NULL")
+def q_log_split_err(spark, sf_dir):
+    return app_log_streams(spark, sf_dir)["err"].select("arrival", F.col("err")["error_code"].alias("error_code"))
+
+
+@register("log_split_start",
+          f"SELECT arrival, mid, start_entry AS entry, ts_ms AS ts FROM {_CLEAN} c WHERE is_start")
+def q_log_split_start(spark, sf_dir):
+    return app_log_streams(spark, sf_dir)["start"].select(
+        "arrival", F.col("common.mid").alias("mid"), F.col("start")["entry"].alias("entry"), "ts")
+
+
+@register("log_split_display", f"""
+SELECT arrival, mid, page_id, CAST(k AS VARCHAR) AS item, '1' AS pos_id, ts_ms AS ts FROM {_PAGES} p WHERE n_displays >= 1
+UNION ALL
+SELECT arrival, mid, page_id, CAST(k + 1 AS VARCHAR) AS item, '2' AS pos_id, ts_ms AS ts FROM {_PAGES} p WHERE n_displays >= 2
+""")
+def q_log_split_display(spark, sf_dir):
+    d = app_log_streams(spark, sf_dir)["display"]
+    return d.select("arrival", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("display")["item"].alias("item"), F.col("display")["pos_id"].alias("pos_id"), "ts")
+
+
+@register("log_split_action", f"""
+SELECT arrival, mid, page_id, 'cart_add' AS action_id, CAST(k AS VARCHAR) AS item FROM {_PAGES} p WHERE n_actions >= 1
+UNION ALL
+SELECT arrival, mid, page_id, 'cart_add' AS action_id, CAST(k + 1 AS VARCHAR) AS item FROM {_PAGES} p WHERE n_actions >= 2
+""")
+def q_log_split_action(spark, sf_dir):
+    a = app_log_streams(spark, sf_dir)["action"]
+    return a.select("arrival", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("action")["action_id"].alias("action_id"), F.col("action")["item"].alias("item"))
+
+
+@register("log_split_page", f"""
+SELECT arrival, mid, page_id, last_page_id, during_time, ts_ms AS ts,
+       n_displays = 0 AS has_displays, n_actions = 0 AS has_actions FROM {_PAGES} p
+""")
+def q_log_split_page(spark, sf_dir):
+    p = app_log_streams(spark, sf_dir)["page"]
+    return p.select("arrival", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
+                    F.col("page.last_page_id").alias("last_page_id"),
+                    F.col("page.during_time").alias("during_time"), "ts",
+                    F.col("displays").isNotNull().alias("has_displays"),
+                    F.col("actions").isNotNull().alias("has_actions"))
+
+
+# ---------------------------------------------------------------- keyword search
+_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+@register("keyword_count_3d", f"""
+WITH s AS (SELECT d.text, e.ts FROM documents d JOIN events e ON d.doc_id = e.event_id WHERE d.text IS NOT NULL),
+w AS (SELECT unnest(string_split_regex(lower(text), '{_SPLIT}')) AS keyword, ts FROM s)
+SELECT {_bounds_key('3 days', 'ts')}, keyword, CAST(count(*) AS BIGINT) AS keyword_count
+FROM w WHERE keyword <> '' GROUP BY ALL
+""")
+def q_keyword_count_3d(spark, sf_dir):
+    docs = AD.load(spark, sf_dir, "documents")
+    ev = AD.load(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").alias("et"))
+    page = F.create_map(F.lit("last_page_id"), F.lit("search"), F.lit("item_type"), F.lit("keyword"),
+                        F.lit("item"), F.col("text"))
+    searches = docs.join(ev, "doc_id").select(page.alias("page"), "et")
+    return R.keyword_job(searches)
+
+
+# ---------------------------------------------------------------- trade jobs
+_ARR = ", ".join(AD.LINEITEM_ARRIVAL)
+_DETAILS = f"(SELECT {_ARR}, " + ", ".join(f"{e} AS {n}" for n, e in AD.ORDER_DETAIL.items()) + " FROM lineitem)"
+_AMTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+
+
+def details(spark, sf_dir):
+    return AD.order_details(AD.load(spark, sf_dir, "lineitem"))
+
+
+@register("retract_stream", f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(c + ' DESC' for c in AD.LINEITEM_ARRIVAL)}) AS rd
+           FROM {_DETAILS} x)
+SELECT detail_id, order_id, sku_id, strftime(et, '%Y-%m-%d') AS et,
+       {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in _AMTS)}, 0 AS is_retract FROM d
+UNION ALL
+SELECT detail_id, order_id, sku_id, strftime(et, '%Y-%m-%d') AS et,
+       {', '.join(f'CAST(-{a} AS DOUBLE) AS {a}' for a in _AMTS)}, 1 AS is_retract FROM d WHERE rd > 1
+""")
+def q_retract_stream(spark, sf_dir):
+    r = R.retractions(details(spark, sf_dir), AD.LINEITEM_ARRIVAL)
+    return r.select("detail_id", "order_id", "sku_id", F.date_format("et", "yyyy-MM-dd").alias("et"),
+                    *[F.col(a).cast("double").alias(a) for a in _AMTS], "is_retract")
+
+
+def sku_dims(spark, sf_dir):
+    """The six dimensions of the sku chain, derived from ``part``."""
+    part = AD.load(spark, sf_dir, "part")
+    sku = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"),
+                      F.col("p_brand").alias("spu_id"), F.col("p_size").cast("string").alias("tm_id"),
+                      F.col("p_type").alias("category3_id"))
+    spu = part.select(F.col("p_brand").alias("id")).distinct().withColumn("spu_name", F.lower("id"))
+    tm = sku.select(F.col("tm_id").alias("id")).distinct().withColumn("tm_name", F.concat(F.lit("tm-"), "id"))
+    c3 = (part.select(F.col("p_type").alias("id")).distinct()
+          .withColumn("name", F.lower("id"))
+          .withColumn("category2_id", F.when(F.col("id").isin("SMALL", "MEDIUM", "LARGE"), "SIZE").otherwise("GRADE")))
+    c2 = (c3.select(F.col("category2_id").alias("id")).distinct()
+          .withColumn("name", F.lower("id")).withColumn("category1_id", F.lit("ALL")))
+    c1 = c2.select(F.col("category1_id").alias("id")).distinct().withColumn("name", F.lower("id"))
+    return [
+        ("sku_id", sku, "id", {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "tm_id",
+                               "category3_id": "category3_id"}),
+        ("spu_id", spu, "id", {"spu_name": "spu_name"}),
+        ("tm_id", tm, "id", {"tm_name": "tm_name"}),
+        ("category3_id", c3, "id", {"name": "category3_name", "category2_id": "category2_id"}),
+        ("category2_id", c2, "id", {"name": "category2_name", "category1_id": "category1_id"}),
+        ("category1_id", c1, "id", {"name": "category1_name"}),
+    ]
+
+
+_SKU_DIMS = """
+sku AS (SELECT p_partkey AS id, p_name AS sku_name, p_brand AS spu_id, CAST(p_size AS VARCHAR) AS tm_id,
+               p_type AS category3_id FROM part),
+spu AS (SELECT DISTINCT p_brand AS id, lower(p_brand) AS spu_name FROM part),
+tm AS (SELECT DISTINCT CAST(p_size AS VARCHAR) AS id, 'tm-' || CAST(p_size AS VARCHAR) AS tm_name FROM part),
+c3 AS (SELECT DISTINCT p_type AS id, lower(p_type) AS name,
+              CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'SIZE' ELSE 'GRADE' END AS category2_id FROM part),
+c2 AS (SELECT DISTINCT category2_id AS id, lower(category2_id) AS name, 'ALL' AS category1_id FROM c3),
+c1 AS (SELECT DISTINCT category1_id AS id, lower(category1_id) AS name FROM c2)
+"""
+
+
+def _money(expr: str, name: str) -> str:
+    return f"CAST(CAST(sum({expr}) AS DECIMAL(18,2)) AS DOUBLE) AS {name}"
+
+
+@register("sku_order_window", f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(c + ' DESC' for c in AD.LINEITEM_ARRIVAL)}) AS rd
+           FROM {_DETAILS} x),
+r AS (SELECT sku_id, et, {', '.join(_AMTS)} FROM d
+      UNION ALL SELECT sku_id, et, {', '.join('-' + a for a in _AMTS)} FROM d WHERE rd > 1),
+a AS (SELECT {_bounds('5 seconds', 'et')}, sku_id,
+             {_money('split_original_amount', 'original_amount')}, {_money('split_activity_amount', 'activity_reduce_amount')},
+             {_money('split_coupon_amount', 'coupon_reduce_amount')}, {_money('split_total_amount', 'order_amount')}
+      FROM r GROUP BY ALL),
+{_SKU_DIMS}
+SELECT a.*, sku.sku_name, sku.spu_id, sku.tm_id, sku.category3_id, spu.spu_name, tm.tm_name,
+       c3.name AS category3_name, c3.category2_id, c2.name AS category2_name, c2.category1_id, c1.name AS category1_name
+FROM a LEFT JOIN sku ON a.sku_id = sku.id LEFT JOIN spu ON sku.spu_id = spu.id LEFT JOIN tm ON sku.tm_id = tm.id
+LEFT JOIN c3 ON sku.category3_id = c3.id LEFT JOIN c2 ON c3.category2_id = c2.id LEFT JOIN c1 ON c2.category1_id = c1.id
+""")
+def q_sku_order_window(spark, sf_dir):
+    return R.sku_order_job(details(spark, sf_dir), AD.LINEITEM_ARRIVAL, sku_dims(spark, sf_dir))
+
+
+def province_details(spark, sf_dir):
+    """Order details carrying the buyer's province (customer nation)."""
+    o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = AD.load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    d = details(spark, sf_dir)
+    d = d.join(o, d["order_id"] == o["o_orderkey"], "left").join(c, F.col("o_custkey") == c["c_custkey"], "left")
+    return d.withColumn("province_id", F.col("c_nationkey")).drop("o_orderkey", "o_custkey", "c_custkey", "c_nationkey")
+
+
+@register("province_order_window", f"""
+WITH x AS (SELECT x.*, c.c_nationkey AS province_id FROM {_DETAILS} x
+           LEFT JOIN orders o ON x.order_id = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(c + ' DESC' for c in AD.LINEITEM_ARRIVAL)}) AS rd FROM x),
+r AS (SELECT province_id, order_id, et, split_total_amount FROM d
+      UNION ALL SELECT province_id, order_id, et, -split_total_amount FROM d WHERE rd > 1),
+a AS (SELECT {_bounds('10 seconds', 'et')}, province_id, CAST(count(DISTINCT order_id) AS BIGINT) AS order_count,
+             {_money('split_total_amount', 'order_amount')} FROM r GROUP BY ALL)
+SELECT a.*, n.n_name AS province_name FROM a LEFT JOIN nation n ON a.province_id = n.n_nationkey
+""")
+def q_province_order_window(spark, sf_dir):
+    nation = AD.load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return R.province_order_job(province_details(spark, sf_dir), AD.LINEITEM_ARRIVAL, nation)

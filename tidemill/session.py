@@ -47,6 +47,7 @@ def get_spark(master: str | None = None, app: str = "tidemill",
         # local mode: the driver JVM is the only executor
         conf.setdefault("spark.driver.memory", "16g")
         conf.setdefault("spark.ui.enabled", "false")
+        conf.setdefault("spark.ui.showConsoleProgress", "false")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
