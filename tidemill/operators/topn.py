@@ -37,7 +37,7 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n:
         w1 = Window.partitionBy(*group, "__salt").orderBy(*order_c)
         src = salted.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= n).drop("__r1", "__salt")
     w = Window.partitionBy(*group).orderBy(*order_c)
-    return src.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    return src.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= n)
 
 
 def newest_n(df: DataFrame, time_col: str, n: int, tie: Sequence[str] = ()) -> DataFrame:

@@ -341,3 +341,223 @@ SELECT a.*, n.n_name AS province_name FROM a LEFT JOIN nation n ON a.province_id
 def q_province_order_window(spark, sf_dir):
     nation = AD.load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     return R.province_order_job(province_details(spark, sf_dir), AD.LINEITEM_ARRIVAL, nation)
+
+
+# ================================================================ pipeline G
+from . import traffic as G  # noqa: E402
+
+
+def ods(spark, sf_dir):
+    """Change-envelope topic at rest -> U1 + U2 + P18."""
+    env = AD.topic(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
+    return G.ods_records(env)
+
+
+def _dwd(spark, sf_dir):
+    o = ods(spark, sf_dir)
+    return {"uv": G.dwd_user_visit(o), "pi": G.dwd_product_interaction(o), "pay": G.dwd_order_pay(o),
+            "se": G.dwd_search(o), "pc": G.dwd_page_click(o), "cr": G.dwd_crowd_attribute(o)}
+
+
+_ODS = AD.SQL("ods")
+_HOUR = "(CAST(evt_time AS BIGINT) // 3600000) * 3600000"
+_DAYMS = "(CAST(evt_time AS BIGINT) // 86400000) * 86400000"
+_G = f"""
+o AS (SELECT * FROM {_ODS} x WHERE op IN ('r', 'c', 'u', 'd')),
+v AS (SELECT *, CASE WHEN tbl <> 'ods_order_pay_log' THEN visitor_id END AS vid FROM o),
+f AS (SELECT *, CASE WHEN vid IS NULL THEN NULL
+                     WHEN row_number() OVER (PARTITION BY vid ORDER BY event_id) = 1 THEN '1' ELSE '0' END AS first_flag
+      FROM v),
+uv AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_time AS BIGINT) AS visit_time, visitor_id,
+              terminal_type, visit_object_type, CAST(visit_object_id AS BIGINT) AS visit_object_id,
+              traffic_source_first, traffic_source_second, CAST(first_flag AS INTEGER) AS is_new_visitor,
+              CAST(page_view AS INTEGER) AS page_view, CAST(stay_time AS INTEGER) AS stay_time,
+              {_HOUR} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
+       FROM f WHERE tbl = 'ods_user_visit_log' AND trim(visitor_id) <> '' AND evt_time IS NOT NULL),
+pi AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_time AS BIGINT) AS interact_time,
+              visitor_id, terminal_type, CAST(product_id AS BIGINT) AS product_id, interact_type,
+              CAST(is_cancel AS INTEGER) AS is_cancel, {_HOUR} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
+       FROM f WHERE tbl = 'ods_product_interaction_log' AND evt_time IS NOT NULL AND coalesce(CAST(is_cancel AS INTEGER), 0) <> 1),
+pay AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(order_id AS BIGINT) AS order_id,
+               CAST(evt_time AS BIGINT) AS pay_time, buyer_id, terminal_type, CAST(product_id AS BIGINT) AS product_id,
+               pay_amount, CAST(is_paid AS INTEGER) AS is_paid, 1 AS pay_quantity, {_HOUR} AS stat_time,
+               CAST(10001 AS BIGINT) AS shop_id
+        FROM f WHERE tbl = 'ods_order_pay_log' AND evt_time IS NOT NULL AND CAST(is_paid AS INTEGER) = 1),
+se AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_time AS BIGINT) AS search_time, visitor_id,
+              terminal_type, keyword, CAST(is_click_result AS INTEGER) AS is_click_result,
+              CAST(click_product_id AS BIGINT) AS click_product_id, {_DAYMS} AS stat_time, 'day' AS stat_dimension,
+              CAST(10001 AS BIGINT) AS shop_id
+       FROM f WHERE tbl = 'ods_search_log' AND evt_time IS NOT NULL),
+pc AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_time AS BIGINT) AS click_time, visitor_id,
+              terminal_type, CAST(page_id AS BIGINT) AS page_id, module_name, module_position,
+              CAST(guide_product_id AS BIGINT) AS guide_product_id, {_HOUR} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
+       FROM f WHERE tbl = 'ods_page_click_log' AND evt_time IS NOT NULL),
+cr AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, visitor_id, gender, age_range, city,
+              CAST(taoqi_value AS INTEGER) AS taoqi_value, CAST(evt_time AS BIGINT) AS update_time,
+              {_DAYMS} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
+       FROM f WHERE tbl = 'ods_crowd_attribute_log' AND evt_time IS NOT NULL),
+ov AS (SELECT arrival, stat_time, terminal_type, shop_id, visit_time,
+              CASE WHEN visit_object_type = 'shop' THEN 1 ELSE 0 END AS shop_visitor_count,
+              CASE WHEN visit_object_type = 'shop' THEN page_view ELSE 0 END AS shop_page_view,
+              CASE WHEN visit_object_type = 'shop' AND is_new_visitor = 1 THEN 1 ELSE 0 END AS new_visitor_count,
+              CASE WHEN visit_object_type = 'shop' AND NOT coalesce(is_new_visitor = 1, false) THEN 1 ELSE 0 END AS old_visitor_count,
+              CASE WHEN visit_object_type = 'product' THEN 1 ELSE 0 END AS product_visitor_count,
+              CASE WHEN visit_object_type = 'product' THEN page_view ELSE 0 END AS product_page_view,
+              0 AS add_collection_count, 0 AS pay_buyer_count, CAST(0 AS DECIMAL(18,2)) AS pay_amount FROM uv),
+src AS (SELECT arrival, stat_time, terminal_type, shop_id, visit_time, traffic_source_first, traffic_source_second,
+               1 AS visitor_count, visit_object_id AS related_product_id,
+               CASE WHEN visit_object_type = 'product' THEN 1 ELSE 0 END AS product_visitor_count,
+               CAST(0 AS DECIMAL(18,2)) AS product_pay_amount FROM uv),
+kw AS (SELECT arrival, strftime(make_timestamp(stat_time * 1000), '%Y-%m-%d') AS stat_time, stat_dimension,
+              terminal_type, shop_id, search_time, keyword, 1 AS search_visitor_count,
+              is_click_result AS click_visitor_count FROM se),
+pt AS (SELECT arrival, stat_time, terminal_type, shop_id, visit_time, visit_object_id AS product_id, 1 AS visitor_count,
+              page_view, stay_time AS avg_stay_time, 0 AS add_cart_count, 0 AS collection_count, 0 AS pay_buyer_count,
+              CAST(0 AS DECIMAL(18,2)) AS pay_amount FROM uv WHERE visit_object_type = 'product'),
+pg AS (SELECT arrival, stat_time, terminal_type, shop_id, visit_time, visit_object_id AS page_id, 1 AS visitor_count,
+              page_view, 0 AS click_count, stay_time AS avg_stay_time FROM uv WHERE visit_object_type = 'page'),
+cf AS (SELECT arrival, stat_time, 'overall' AS terminal_type, shop_id, update_time, t.crowd_type, gender, age_range,
+              city, taoqi_value, 1 AS crowd_count, 1 AS total_crowd_count, CAST(1.0000 AS DECIMAL(5,4)) AS crowd_ratio
+       FROM cr CROSS JOIN (VALUES ('shop_entry'), ('product_visit'), ('conversion')) t(crowd_type))
+"""
+
+
+@register("cdc_unpack_route", f"""
+WITH {_G}
+SELECT event_id AS arrival, tbl AS topic, op, vid AS visitor_id,
+       CASE WHEN tbl = 'ods_crowd_attribute_log' THEN NULL ELSE terminal_type END AS terminal_type,
+       CASE WHEN tbl = 'ods_user_visit_log' THEN first_flag END AS is_new_visitor
+FROM f
+""")
+def q_cdc_unpack_route(spark, sf_dir):
+    o = ods(spark, sf_dir)
+    d = F.col("data")
+    return o.select("arrival", "topic", "op", d["visitor_id"].alias("visitor_id"),
+                    d["terminal_type"].alias("terminal_type"), d["is_new_visitor"].alias("is_new_visitor"))
+
+
+@register("first_seen_flag", f"""
+WITH {_G}
+SELECT event_id AS arrival, vid AS visitor_id, first_flag AS is_new_visitor FROM f
+""")
+def q_first_seen_flag(spark, sf_dir):
+    from ..operators.parse import unpack_cdc
+    env = AD.topic(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
+    u = G.flag_new_visitors(unpack_cdc(env, keep=("arrival",)), only_if_present=False)
+    d = F.col("data")
+    return u.select("arrival", d["visitor_id"].alias("visitor_id"), d["is_new_visitor"].alias("is_new_visitor"))
+
+
+for _name, _key, _cte in [("dwd_user_visit", "uv", "uv"), ("dwd_product_interaction", "pi", "pi"),
+                          ("dwd_order_pay", "pay", "pay"), ("dwd_search", "se", "se"),
+                          ("dwd_page_click", "pc", "pc"), ("dwd_crowd_attribute", "cr", "cr")]:
+    register(_name, f"WITH {_G} SELECT * FROM {_cte}")(
+        (lambda key: lambda spark, sf_dir: _dwd(spark, sf_dir)[key])(_key))
+
+
+_ARRAYS = ["sub_source_list", "traffic_source_json", "module_click_json", "guide_product_json"]
+
+
+def _dws(spark, sf_dir):
+    w = _dwd(spark, sf_dir)
+    return {"ov": G.dws_traffic_overview(w["uv"]), "src": G.dws_traffic_source(w["uv"]),
+            "kw": G.dws_keyword(w["se"]), "pt": G.dws_product_traffic(w["uv"]),
+            "pg": G.dws_page_traffic(w["uv"]), "cf": G.dws_crowd_feature(w["cr"])}
+
+
+for _name, _key in [("dws_traffic_overview", "ov"), ("dws_traffic_source", "src"), ("dws_keyword", "kw"),
+                    ("dws_product_traffic", "pt"), ("dws_page_traffic", "pg"), ("dws_crowd_feature", "cf")]:
+    register(_name, f"WITH {_G} SELECT * FROM {_key}")(
+        (lambda key: lambda spark, sf_dir: _dws(spark, sf_dir)[key].drop(*_ARRAYS))(_key))
+
+
+def _win(width: str, ms: str) -> str:
+    b = _bucket(width, f"make_timestamp({ms} * 1000)")
+    return (f"strftime({b}, '%Y-%m-%d %H:%M:%S') AS window_start, "
+            f"strftime({b} + INTERVAL '{width}', '%Y-%m-%d %H:%M:%S') AS window_end")
+
+
+def _sl(c: str, name: str | None = None) -> str:
+    return f"CAST(sum(coalesce({c}, 0)) AS BIGINT) AS {name or c}"
+
+
+@register("ads_traffic_summary", f"""
+WITH {_G}
+SELECT stat_time, terminal_type, shop_id, {_win('1 hour', 'visit_time')},
+       {_sl('shop_visitor_count', 'total_shop_visitor')}, {_sl('shop_page_view', 'total_shop_pv')},
+       {_sl('new_visitor_count', 'total_new_visitor')}, {_sl('old_visitor_count', 'total_old_visitor')},
+       {_sl('product_visitor_count', 'total_product_visitor')}, {_sl('product_page_view', 'total_product_pv')},
+       {_sl('add_collection_count', 'total_add_collection')}, {_sl('pay_buyer_count', 'total_pay_buyer')},
+       {_money('pay_amount', 'total_pay_amount')}
+FROM ov GROUP BY ALL
+""")
+def q_ads_traffic_summary(spark, sf_dir):
+    return G.ads_traffic_summary(_dws(spark, sf_dir)["ov"])
+
+
+@register("ads_traffic_source_topn", f"""
+WITH {_G},
+a AS (SELECT stat_time, terminal_type, shop_id, traffic_source_first AS traffic_source, {_win('1 hour', 'visit_time')},
+             {_sl('visitor_count', 'total_visitor')}, {_sl('product_visitor_count', 'total_product_visitor')},
+             {_money('product_pay_amount', 'total_product_pay')},
+             arg_max_null(traffic_source_second, arrival) AS traffic_source_second
+      FROM src GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY stat_time, terminal_type, shop_id, window_start
+                                   ORDER BY total_visitor DESC, traffic_source ASC NULLS FIRST) AS ranking FROM a)
+SELECT * FROM r WHERE ranking <= 10
+""")
+def q_ads_traffic_source_topn(spark, sf_dir):
+    return G.ads_traffic_source_topn(_dws(spark, sf_dir)["src"])
+
+
+@register("ads_keyword_topn", f"""
+WITH {_G},
+a AS (SELECT stat_time, stat_dimension, terminal_type, shop_id, keyword, {_win('1 day', 'search_time')},
+             {_sl('search_visitor_count', 'total_search_visitor')}, {_sl('click_visitor_count', 'total_click_visitor')}
+      FROM kw GROUP BY ALL),
+r AS (SELECT *, CASE WHEN total_search_visitor > 0 THEN CAST(total_click_visitor AS DOUBLE) / total_search_visitor
+                     ELSE 0.0 END AS click_rate,
+             row_number() OVER (PARTITION BY stat_time, stat_dimension, terminal_type, shop_id, window_start
+                                ORDER BY total_search_visitor DESC, keyword ASC NULLS FIRST) AS ranking FROM a)
+SELECT * FROM r WHERE ranking <= 20
+""")
+def q_ads_keyword_topn(spark, sf_dir):
+    return G.ads_keyword_topn(_dws(spark, sf_dir)["kw"])
+
+
+@register("ads_product_topn", f"""
+WITH {_G},
+a AS (SELECT stat_time, terminal_type, shop_id, product_id, {_win('2 hours', 'visit_time')},
+             {_sl('visitor_count', 'total_visitor')}, {_sl('page_view', 'total_pv')},
+             {_sl('add_cart_count', 'total_add_cart')}, {_sl('collection_count', 'total_collection')},
+             {_sl('pay_buyer_count', 'total_pay_buyer')}, {_money('pay_amount', 'total_pay_amount')}
+      FROM pt GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY stat_time, terminal_type, shop_id, window_start
+                                   ORDER BY total_visitor DESC, product_id ASC NULLS FIRST) AS ranking FROM a)
+SELECT * FROM r WHERE ranking <= 15
+""")
+def q_ads_product_topn(spark, sf_dir):
+    return G.ads_product_topn(_dws(spark, sf_dir)["pt"])
+
+
+@register("ads_page_performance", f"""
+WITH {_G},
+a AS (SELECT stat_time, terminal_type, shop_id, page_id, {_win('1 hour', 'visit_time')},
+             {_sl('visitor_count', 'total_visitor')}, {_sl('page_view', 'total_pv')},
+             {_sl('click_count', 'total_click')}, {_sl('avg_stay_time', 'sum_stay_time')}
+      FROM pg GROUP BY ALL)
+SELECT *, CAST(CASE WHEN total_pv > 0 THEN sum_stay_time // total_pv ELSE 0 END AS BIGINT) AS avg_stay_time FROM a
+""")
+def q_ads_page_performance(spark, sf_dir):
+    return G.ads_page_performance(_dws(spark, sf_dir)["pg"])
+
+
+@register("ads_crowd_analysis", f"""
+WITH {_G}
+SELECT stat_time, terminal_type, shop_id, crowd_type, {_win('1 day', 'update_time')},
+       {_sl('crowd_count', 'total_crowd')}, arg_max_null(gender, arrival) AS gender, arg_max_null(age_range, arrival) AS age_range,
+       arg_max_null(city, arrival) AS city, arg_max_null(taoqi_value, arrival) AS taoqi_value
+FROM cf GROUP BY ALL
+""")
+def q_ads_crowd_analysis(spark, sf_dir):
+    return G.ads_crowd_analysis(_dws(spark, sf_dir)["cf"])
