@@ -561,3 +561,259 @@ FROM cf GROUP BY ALL
 """)
 def q_ads_crowd_analysis(spark, sf_dir):
     return G.ads_crowd_analysis(_dws(spark, sf_dir)["cf"])
+
+
+# ================================================================ lookups, dedup, maintenance
+from ..functions.keys import hash_bucket  # noqa: E402
+from ..functions.text import is_blank, matches_allowed, word_tokens  # noqa: E402
+from ..operators import dedup as D  # noqa: E402
+from ..operators import enrich as J  # noqa: E402
+from ..operators.keyed import arrival_segment as _aseg  # noqa: E402
+from ..operators.topn import newest_n  # noqa: E402
+from .. import sinks as K  # noqa: E402
+
+_BASE = AD.SQL("base")
+
+
+def _events(spark, sf_dir):
+    return AD.events_base(AD.load(spark, sf_dir, "events"))
+
+
+# Latest non-null value per column per key; delete changes ignored.
+_DIM_CHANGES = ("(SELECT event_id, user_id, CASE event_id % 4 WHEN 0 THEN 'r' WHEN 1 THEN 'c' WHEN 2 THEN 'u' ELSE 'd' END AS op, "
+                "event_type AS c_type, CASE WHEN k % 3 = 0 THEN NULL ELSE value END AS c_value, "
+                "CASE WHEN k % 5 = 0 THEN NULL ELSE k END AS c_k FROM {base} b)")
+
+
+@register("dim_latest_merge", f"""
+SELECT user_id, arg_max(c_type, event_id) FILTER (WHERE c_type IS NOT NULL) AS c_type,
+       arg_max(c_value, event_id) FILTER (WHERE c_value IS NOT NULL) AS c_value,
+       arg_max(c_k, event_id) FILTER (WHERE c_k IS NOT NULL) AS c_k
+FROM {_DIM_CHANGES.format(base=_BASE)} x WHERE op <> 'd' GROUP BY user_id
+""")
+def q_dim_latest_merge(spark, sf_dir):
+    ch = _events(spark, sf_dir).selectExpr(
+        "event_id", "user_id", "CASE event_id % 4 WHEN 0 THEN 'r' WHEN 1 THEN 'c' WHEN 2 THEN 'u' ELSE 'd' END AS op",
+        "event_type AS c_type", "CASE WHEN k % 3 = 0 THEN NULL ELSE value END AS c_value",
+        "CASE WHEN k % 5 = 0 THEN NULL ELSE k END AS c_k")
+    return K.dim_upsert(None, ch, "user_id", ["c_type", "c_value", "c_k"], "event_id", op_col="op")
+
+
+# Dictionary of event codes derived from the data; the 'error' code has no entry -> N/A.
+@register("dict_lookup_na", """
+WITH dic AS (SELECT DISTINCT event_type AS code, upper(event_type) AS dic_name FROM events WHERE event_type <> 'error')
+SELECT e.event_id, e.event_type, coalesce(d.dic_name, 'N/A') AS dic_name
+FROM events e LEFT JOIN dic d ON e.event_type = d.code
+""")
+def q_dict_lookup_na(spark, sf_dir):
+    ev = AD.load(spark, sf_dir, "events").select("event_id", "event_type")
+    dic = (ev.where("event_type <> 'error'").select(F.col("event_type").alias("code")).distinct()
+           .withColumn("dic_name", F.upper("code")))
+    return J.dict_lookup(ev, dic, "event_type", "code", "dic_name", "dic_name")
+
+
+# J5 + F23: clicks joined with the same user's purchases within one hour either side.
+@register("interval_join_prefix", f"""
+WITH c AS (SELECT event_id, user_id, ts_ms FROM {_BASE} b WHERE event_type = 'click'),
+p AS (SELECT event_id, user_id, ts_ms, value FROM {_BASE} b WHERE event_type = 'purchase')
+SELECT c.event_id, c.user_id, c.ts_ms, p.event_id AS info_event_id, p.user_id AS info_user_id,
+       p.ts_ms AS info_ts_ms, p.value AS info_value
+FROM c JOIN p ON c.user_id = p.user_id AND p.ts_ms BETWEEN c.ts_ms - 3600000 AND c.ts_ms + 3600000
+""")
+def q_interval_join_prefix(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    clicks = e.where("event_type = 'click'").select("event_id", "user_id", "ts_ms")
+    buys = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts_ms", "value")
+    return J.interval_join(clicks, buys, "user_id", "ts_ms", "ts_ms", 3_600_000, 3_600_000, prefix="info_")
+
+
+# Word list = distinct word tokens of the benchmark passages.
+_WORDS = f"(SELECT DISTINCT w AS word FROM (SELECT unnest(string_split_regex(lower(text), '{_SPLIT}')) AS w FROM benchmark) t WHERE w <> '')"
+
+
+def _word_list(spark, sf_dir):
+    b = AD.load(spark, sf_dir, "benchmark")
+    return b.select(F.explode(word_tokens("text")).alias("word")).distinct()
+
+
+@register("word_check", f"""
+WITH c AS (SELECT conv_id, turn, role, list_filter(string_split_regex(lower(text), '{_SPLIT}'), lambda x: x <> '') AS toks
+           FROM conversations),
+l AS (SELECT conv_id, turn, role, CASE WHEN len(toks) > 0 THEN toks[len(toks)] END AS last_tok FROM c),
+w AS {_WORDS}
+SELECT l.conv_id, l.turn, l.role, CASE WHEN w.word IS NOT NULL THEN 1 ELSE 0 END AS is_violation,
+       CASE WHEN w.word IS NOT NULL THEN 'P0' END AS violation_grade, w.word AS violation_msg
+FROM l LEFT JOIN w ON l.last_tok = w.word
+""")
+def q_word_check(spark, sf_dir):
+    conv = AD.load(spark, sf_dir, "conversations")
+    comments = conv.select("conv_id", "turn", "role", F.concat_ws(",", word_tokens("text")).alias("msg"))
+    return J.word_check(comments, _word_list(spark, sf_dir), "msg").drop("msg")
+
+
+@register("word_batch_check", f"""
+WITH c AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(text), '{_SPLIT}'), lambda x: x <> '') AS toks
+           FROM conversations),
+e AS (SELECT conv_id, turn, unnest(range(len(toks))) AS pos, unnest(toks) AS word FROM c),
+w AS {_WORDS}
+SELECT e.conv_id, e.turn, CAST(e.pos AS INTEGER) AS pos, e.word, w.word IS NOT NULL AS "exists"
+FROM e LEFT JOIN w ON e.word = w.word
+""")
+def q_word_batch_check(spark, sf_dir):
+    conv = AD.load(spark, sf_dir, "conversations").select("conv_id", "turn", word_tokens("text").alias("words"))
+    return J.batch_membership(conv, _word_list(spark, sf_dir), "words", ["conv_id", "turn"])
+
+
+# Hold-and-emit-last — the last version of every order-detail id.
+@register("keep_last_detail", f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(c + ' DESC' for c in AD.LINEITEM_ARRIVAL)}) AS rd
+           FROM {_DETAILS} x)
+SELECT detail_id, order_id, sku_id, {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in _AMTS)} FROM d WHERE rd = 1
+""")
+def q_keep_last_detail(spark, sf_dir):
+    d = D.keep_last(details(spark, sf_dir), ["detail_id"], AD.LINEITEM_ARRIVAL)
+    return d.select("detail_id", "order_id", "sku_id", *[F.col(a).cast("double").alias(a) for a in _AMTS])
+
+
+# D3: per order, pass a line only if its ship time is later than every earlier line's.
+_D3_ORDER = ["l_linenumber", *AD.LINEITEM_ARRIVAL]
+
+
+@register("dedup_latest_ts", f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, epoch_ms(l_shipdate) AS ts_ms,
+                  max(epoch_ms(l_shipdate)) OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_D3_ORDER)}
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts_ms FROM x WHERE prev_max IS NULL OR ts_ms > prev_max
+""")
+def q_dedup_latest_ts(spark, sf_dir):
+    li = AD.load(spark, sf_dir, "lineitem").withColumn(
+        "ts_ms", F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate"))
+    out = D.monotone_latest(li, ["l_orderkey"], _D3_ORDER, "ts_ms", segment=F.col("l_linenumber").cast("long"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ts_ms")
+
+
+# Exact duplicate records dropped.
+@register("dedup_full", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem")
+def q_dedup_full(spark, sf_dir):
+    li = AD.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return D.exact_dedup(li)
+
+
+# First record per (order id, ts) in arrival order (exact form of the Bloom filter).
+@register("dedup_key", f"""
+WITH x AS (SELECT l_orderkey AS order_id, epoch_ms(l_shipdate) AS ts_ms, l_linenumber, l_partkey,
+                  row_number() OVER (PARTITION BY l_orderkey, l_shipdate ORDER BY {_ARR}) AS rn FROM lineitem)
+SELECT order_id, ts_ms, l_linenumber, l_partkey FROM x WHERE rn = 1
+""")
+def q_dedup_key(spark, sf_dir):
+    li = AD.load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate").alias("ts_ms"),
+        "l_linenumber", *AD.LINEITEM_ARRIVAL)
+    out = D.dedup_on_keys(li, ["order_id", "ts_ms"], AD.LINEITEM_ARRIVAL)
+    return out.select("order_id", "ts_ms", "l_linenumber", "l_partkey")
+
+
+# salt/bucket assignment with a hot-key override (fixed values: the override map).
+HOT_CUSTOMERS = {"customer#000000001": 0, "customer#000000002": 1}
+
+
+@register("bucket_assign", """
+SELECT c_custkey, c_name,
+       CASE lower(c_name) WHEN 'customer#000000001' THEN '0000' WHEN 'customer#000000002' THEN '0001'
+            ELSE lpad(CAST(CAST(('0x' || right(md5(c_name), 3)) AS INTEGER) % 128 AS VARCHAR), 4, '0') END AS bucket
+FROM customer
+""")
+def q_bucket_assign(spark, sf_dir):
+    c = AD.load(spark, sf_dir, "customer")
+    return c.select("c_custkey", "c_name", hash_bucket("c_name", 128, HOT_CUSTOMERS).alias("bucket"))
+
+
+# Data-quality flags over whole document texts.
+_ALLOWED = r"[\p{L}\p{N}\p{P}\p{Zs}\n\r\t]*"
+
+
+@register("quality_filter", f"""
+SELECT doc_id, lang, text IS NULL OR trim(text) = '' AS is_blank,
+       coalesce(regexp_full_match(text, '{_ALLOWED}'), false) AS allowed_chars
+FROM documents
+""")
+def q_quality_filter(spark, sf_dir):
+    d = AD.load(spark, sf_dir, "documents")
+    return d.select("doc_id", "lang", is_blank("text").alias("is_blank"),
+                    F.coalesce(matches_allowed("text", "^" + _ALLOWED + "$"), F.lit(False)).alias("allowed_chars"))
+
+
+# K6 + F22: day partition from a time that is seconds on even ids and ms on odd ids, missing -> error bucket.
+_K6_T = "CASE WHEN k = 3 THEN NULL WHEN event_id % 2 = 0 THEN ts_ms // 1000 ELSE ts_ms END"
+
+
+@register("day_partition_sink", f"""
+SELECT event_id, {_K6_T} AS t,
+       coalesce(strftime(make_timestamp(CASE WHEN {_K6_T} < 10000000000 THEN {_K6_T} * 1000 ELSE {_K6_T} END * 1000), '%Y%m%d'),
+                'error_bucket') AS day
+FROM {_BASE} b
+""")
+def q_day_partition_sink(spark, sf_dir):
+    e = _events(spark, sf_dir).selectExpr("event_id", f"{_K6_T.replace('//', 'div')} AS t")
+    return K.day_partition(e, "t")
+
+
+# K5: upsert of a second batch of orders into the first; only the status is updated on conflict.
+_T_CUR = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')"
+_T_NEW = ("(SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate "
+          "FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')")
+
+
+@register("upsert_merge", f"""
+SELECT coalesce(c.o_orderkey, n.o_orderkey) AS o_orderkey,
+       CASE WHEN c.o_orderkey IS NOT NULL THEN c.o_custkey ELSE n.o_custkey END AS o_custkey,
+       CASE WHEN n.o_orderkey IS NOT NULL THEN n.o_orderstatus ELSE c.o_orderstatus END AS o_orderstatus,
+       CASE WHEN c.o_orderkey IS NOT NULL THEN c.o_totalprice ELSE n.o_totalprice END AS o_totalprice,
+       strftime(CASE WHEN c.o_orderkey IS NOT NULL THEN c.o_orderdate ELSE n.o_orderdate END, '%Y-%m-%d') AS o_orderdate
+FROM {_T_CUR} c FULL OUTER JOIN {_T_NEW} n ON c.o_orderkey = n.o_orderkey
+""")
+def q_upsert_merge(spark, sf_dir):
+    o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    cur = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    new = (o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+           .withColumn("o_orderstatus", F.lit("U")).withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    m = K.upsert_merge(cur, new, ["o_orderkey"], ["o_orderstatus"], order=["o_orderdate"])
+    return m.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+# K8: delete the orders of customers with a negative balance.
+@register("delete_by_keys", """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND c.c_custkey = o.o_custkey)
+""")
+def q_delete_by_keys(spark, sf_dir):
+    o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    keys = AD.load(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return K.delete_keys(o, keys, ["o_custkey"])
+
+
+# T4: newest orders (a top-k report: the limit is the feature).
+@register("newest_orders", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderstatus FROM orders
+ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100
+""")
+def q_newest_orders(spark, sf_dir):
+    o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return newest_n(o, "o_orderdate", 100, tie=["o_orderkey"]).select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderstatus")
+
+
+# Table row counts.
+_ALL = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+        "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("table_row_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}" for t in _ALL))
+def q_table_row_counts(spark, sf_dir):
+    from functools import reduce
+    parts = [AD.load(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(t).alias("table_name"), "row_count") for t in _ALL]
+    return reduce(lambda a, b: a.unionByName(b), parts)
