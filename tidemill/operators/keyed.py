@@ -103,7 +103,8 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 def _flag_extreme(df: DataFrame, keys, order, out: str, fn) -> DataFrame:
     keys = list(keys)
-    ordkey = F.struct(*_cols(order))
+    # one order column: aggregate it directly (a hash aggregate); several: a struct
+    ordkey = _cols(order)[0] if len(order) == 1 else F.struct(*_cols(order))
     ext = df.groupBy(*keys).agg(fn(ordkey).alias("__ext"))
     j = _null_safe_join(df.withColumn("__ord", ordkey), ext, keys)
     return j.select(*[F.col(c) for c in df.columns], (F.col("__ord") == F.col("__ext")).alias(out))
