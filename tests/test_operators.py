@@ -19,8 +19,12 @@ DAY = 86_400_000
 T0 = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC
 
 
+def _key(t):
+    return tuple((0, "") if x is None else (1, x) for x in t)  # nulls first, like Spark
+
+
 def rows(df, *cols):
-    return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()), key=_key)
 
 
 # ---------------------------------------------------------------- P1 / P2

@@ -155,9 +155,13 @@ def topic(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
             stamp.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
     key = hashlib.sha1(f"{src}|{'|'.join(stamp)}".encode()).hexdigest()[:16]
     path = os.path.join(checkpoint_dir(spark), "topics", f"{name}-{key}")
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath.suffix("/_SUCCESS")):
+    try:
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        done = fs.exists(jpath.suffix("/_SUCCESS"))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): local path check
+        done = os.path.exists(os.path.join(path, "_SUCCESS"))
+    if not done:
         build(spark, sf_dir).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

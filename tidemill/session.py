@@ -64,14 +64,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder is created and registered.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        sc = None
+    if not cur and sc is not None:
+        cur = sc.getCheckpointDir()
     if not cur:
         cur = tempfile.mkdtemp(prefix="tidemill-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-        spark.sparkContext.setCheckpointDir(cur)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(cur)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(cur)
     return cur
 
 
