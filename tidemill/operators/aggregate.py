@@ -30,10 +30,18 @@ def sum_long(c: str | Column, name: str) -> Column:
 
 
 def sum_money(c: str | Column, name: str, scale: str = MONEY) -> Column:
-    """Exact decimal sum (order independent), rounded to ``scale`` and emitted
-    as double (the rounded value converts exactly the same in every engine)."""
+    """Exact money sum (order independent), rounded to ``scale`` and emitted as
+    double (the rounded value converts exactly the same in every engine).
+
+    Amounts carry at most 4 decimals, so they are summed as whole 1/10000 units
+    in a LONG: a fixed-width buffer that stays in the codegen'd hash aggregate
+    (a wide DECIMAL sum would fall back to BigDecimal arithmetic).  The one
+    division per group is decimal, so rounding is exact HALF_UP.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(38,4)")).cast(scale).cast("double").alias(name)
+    units = (col.cast("decimal(18,4)") * F.lit(10000)).cast("long")
+    total = F.sum(units).cast("decimal(38,0)") / F.lit(10000).cast("decimal(38,0)")
+    return total.cast(scale).cast("double").alias(name)
 
 
 def tumbling(df: DataFrame, time_col: str, size: str, keys: Sequence[str | Column],

@@ -31,7 +31,7 @@ def retract_duplicates(df: DataFrame, ids: Sequence[str], order: Sequence[str |
     old row's window and nets it to zero).
     """
     marked = flag_last_per_key(df, ids, order, "__is_last")
-    rows = marked.drop("__is_last").withColumn(flag, F.lit(0))
+    rows = df.withColumn(flag, F.lit(0))
     retract = (marked.where(~F.col("__is_last")).drop("__is_last")
                .select(*[(-F.col(c)).alias(c) if c in amounts else F.col(c) for c in df.columns])
                .withColumn(flag, F.lit(1)))

@@ -271,7 +271,8 @@ def sku_dims(spark, sf_dir):
           .withColumn("name", F.lower("id"))
           .withColumn("category2_id", F.when(F.col("id").isin("SMALL", "MEDIUM", "LARGE"), "SIZE").otherwise("GRADE")))
     c2 = (c3.select(F.col("category2_id").alias("id")).distinct()
-          .withColumn("name", F.lower("id")).withColumn("category1_id", F.lit("ALL")))
+          .withColumn("name", F.lower("id"))
+          .withColumn("category1_id", F.concat(F.lit("C1-"), F.substring("id", 1, 1))))
     c1 = c2.select(F.col("category1_id").alias("id")).distinct().withColumn("name", F.lower("id"))
     return [
         ("sku_id", sku, "id", {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "tm_id",
@@ -291,7 +292,7 @@ spu AS (SELECT DISTINCT p_brand AS id, lower(p_brand) AS spu_name FROM part),
 tm AS (SELECT DISTINCT CAST(p_size AS VARCHAR) AS id, 'tm-' || CAST(p_size AS VARCHAR) AS tm_name FROM part),
 c3 AS (SELECT DISTINCT p_type AS id, lower(p_type) AS name,
               CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'SIZE' ELSE 'GRADE' END AS category2_id FROM part),
-c2 AS (SELECT DISTINCT category2_id AS id, lower(category2_id) AS name, 'ALL' AS category1_id FROM c3),
+c2 AS (SELECT DISTINCT category2_id AS id, lower(category2_id) AS name, 'C1-' || substr(category2_id, 1, 1) AS category1_id FROM c3),
 c1 AS (SELECT DISTINCT category1_id AS id, lower(category1_id) AS name FROM c2)
 """
 
