@@ -19,7 +19,10 @@ from . import retail as R
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-# Arrival ids per segment of the skew-safe keyed state (see operators.keyed).
+# Arrival ids per segment of the skew-safe keyed state (see operators.keyed).  Small
+# enough that the checks exercise the segment hand-over; on a cluster set
+# ``spark.tidemill.segmentIds`` to a few million so each (key, segment) group is a
+# task-sized slice of a hot key while the per-segment summary stays small.
 SEGMENT_IDS = 4096
 
 
@@ -33,7 +36,10 @@ def register(name: str, sql: str | None = None):
 
 
 def _seg():
-    return arrival_segment("arrival", SEGMENT_IDS)
+    from pyspark.sql import SparkSession
+    active = SparkSession.getActiveSession()
+    ids = int(active.conf.get("spark.tidemill.segmentIds", str(SEGMENT_IDS))) if active else SEGMENT_IDS
+    return arrival_segment("arrival", ids)
 
 
 # ---------------------------------------------------------------- shared Spark stages
@@ -818,3 +824,16 @@ def q_table_row_counts(spark, sf_dir):
     parts = [AD.load(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), "row_count") for t in _ALL]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# K4 + F16 + F21: window results as beans (camelCase) loaded as snake_case JSON lines.
+_PV_COLS = ["stt", "edt", "cur_date", "vc", "ch", "ar", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+
+
+@register("olap_json_lines",
+          "WITH pv AS (" + ORACLE["page_view_window"] + ") SELECT to_json({"
+          + ", ".join(f"'{c}': {c}" for c in _PV_COLS) + "}) AS value FROM pv")
+def q_olap_json_lines(spark, sf_dir):
+    from ..functions.keys import rename_columns
+    beans = rename_columns(q_page_view_window(spark, sf_dir).select(*_PV_COLS), "camel")
+    return K.json_lines(beans, snake=True)
