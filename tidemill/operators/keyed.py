@@ -57,9 +57,10 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     seg = df.withColumn("__seg", segment)
     w = Window.partitionBy(*keys, "__seg").orderBy(*order_c)
     inner = seg.select("*", F.row_number().over(w).alias("__rn"),
+                       F.lead(F.lit(1)).over(w).isNull().alias("__tail"),
                        *[F.lag(v).over(w).alias(f"__lag_{v}") for v in values])
-    ordkey = F.struct(*order_c)
-    tails = seg.groupBy(*keys, "__seg").agg(*[F.max_by(v, ordkey).alias(f"__last_{v}") for v in values])
+    # each segment's last row comes out of the same window (no second aggregation)
+    tails = inner.where("__tail").select(*keys, "__seg", *[F.col(v).alias(f"__last_{v}") for v in values])
     ws = Window.partitionBy(*keys).orderBy("__seg")
     carry = tails.select(*keys, "__seg", *[F.lag(f"__last_{v}").over(ws).alias(f"__carry_{v}") for v in values])
     out = _null_safe_join(inner, carry, [*keys, "__seg"])
