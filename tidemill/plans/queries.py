@@ -837,3 +837,37 @@ def q_olap_json_lines(spark, sf_dir):
     from ..functions.keys import rename_columns
     beans = rename_columns(q_page_view_window(spark, sf_dir).select(*_PV_COLS), "camel")
     return K.json_lines(beans, snake=True)
+
+
+# S5 + P17 + X1 + A7 in SQL: the keyword job as the reference writes it (a DDL
+# topic table, a SQL filter on the page map, a lateral word table, a tumbling
+# GROUP BY), on a search topic built from documents joined to events by id.
+def _search_topic(s, d):
+    docs = AD.load(s, d, "documents").select("doc_id", "text")
+    ev = AD.events_base(AD.load(s, d, "events")).select(F.col("event_id").alias("doc_id"), "ts_ms")
+    page = F.create_map(F.lit("last_page_id"), F.lit("search"), F.lit("item_type"), F.lit("keyword"),
+                        F.lit("item"), F.col("text"))
+    return docs.join(ev, "doc_id").select(F.to_json(F.struct(page.alias("page"), F.col("ts_ms").alias("ts")))
+                                          .alias("value"))
+
+
+_KEYWORD_SQL = r"""
+SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
+       date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+       date_format(window.start, 'yyyyMMdd') AS cur_date, keyword, count(*) AS keyword_count
+FROM (
+  SELECT keyword, et FROM tidemill_search_log
+  LATERAL VIEW explode(filter(split(lower(page['item']), '[^\\p{L}\\p{N}]+'), x -> x != '')) w AS keyword
+  WHERE page['last_page_id'] = 'search' AND page['item_type'] = 'keyword' AND page['item'] IS NOT NULL
+)
+GROUP BY window(et, '3 days'), keyword
+"""
+
+
+@register("keyword_count_sql", ORACLE["keyword_count_3d"])
+def q_keyword_count_sql(spark, sf_dir):
+    from ..sources import topic_table
+    raw = AD.topic(spark, sf_dir, "search_log", _search_topic)
+    topic_table(raw, "page map<string,string>, ts long", view="tidemill_search_log", lateness=None,
+                wall_clock=True)
+    return spark.sql(_KEYWORD_SQL)

@@ -41,12 +41,15 @@ def read_topic(spark: SparkSession, topic: str, *, kafka_servers: str | None = N
 
 
 def topic_table(raw: DataFrame, ddl: str, view: str | None = None, ms_field: str = "ts",
-                et: str = "et", lateness: str | None = "5 seconds") -> DataFrame:
+                et: str = "et", lateness: str | None = "5 seconds", wall_clock: bool = False) -> DataFrame:
     """A SQL-declared topic table — ``from_json`` with a DDL schema, a
-    computed event-time column (TO_TIMESTAMP_LTZ of ms) and a watermark;
-    registered as a temp view for ``spark.sql``."""
+    computed event-time column (TO_TIMESTAMP_LTZ of ms, or with ``wall_clock``
+    the UTC wall clock as TIMESTAMP_NTZ, independent of the session zone) and a
+    watermark; registered as a temp view for ``spark.sql``."""
+    from ..functions.time import ms_to_wall
+
     df = raw.select(F.from_json("value", ddl).alias("r")).select("r.*")
-    df = df.withColumn(et, F.timestamp_millis(F.col(ms_field)))
+    df = df.withColumn(et, ms_to_wall(ms_field) if wall_clock else F.timestamp_millis(F.col(ms_field)))
     if lateness and df.isStreaming:
         df = df.withWatermark(et, lateness)
     if view:
