@@ -14,8 +14,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from tidemill.session import get_spark
 
-    s = get_spark("local[*]", shuffle_partitions=8,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidemill-test-ckpt-")})
+    # spark.checkpoint.dir is read from the session defaults; tidemill.session sets a
+    # local folder only where it is unset
+    s = get_spark("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
 

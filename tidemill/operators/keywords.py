@@ -27,6 +27,10 @@ def register_keyword_udtf(spark: SparkSession, name: str = "keyword_udtf"):
     """Register ``name(text) -> TABLE(word STRING)`` for ``LATERAL`` use in SQL."""
     from pyspark.sql.functions import udtf
 
+    from ..session import ship_package
+
+    ship_package(spark)
+
     @udtf(returnType="word string", useArrow=True)
     class KeywordUDTF:
         def eval(self, text: str):

@@ -133,6 +133,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def topic(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived topic as a batch DataFrame (see :func:`topic_path`)."""
+    return spark.read.parquet(topic_path(spark, sf_dir, name, build))
+
+
+def topic_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """A derived topic at rest: ``build(spark, sf_dir)`` written once as parquet
     under the shared checkpoint folder (``spark.checkpoint.dir``), then read.
 
@@ -163,7 +168,7 @@ def topic(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         done = os.path.exists(os.path.join(path, "_SUCCESS"))
     if not done:
         build(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def events_base(events: DataFrame) -> DataFrame:

@@ -81,3 +81,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def state_dir(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint location under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (what
+    ``--py-files`` does at submit time): zip it once per application and add it
+    with ``addPyFile``; Spark distributes the file to every executor.  Needed by
+    the operators that run Python on executors (stateful processors, the SQL
+    keyword table function)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions ship code their own way
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tidemill-pyfiles-"), "tidemill.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -186,6 +186,9 @@ def apply_processor(stream: DataFrame, keys: list[str], processor: KeyedProcesso
                     output_mode: str = "append") -> DataFrame:
     """Key the stream and run ``processor`` over it with keyed state; processors
     with a TTL use a processing-time timeout."""
+    from ..session import ship_package
+
+    ship_package(stream.sparkSession)
     timeout = GroupStateTimeout.ProcessingTimeTimeout if processor.ttl_ms else GroupStateTimeout.NoTimeout
     return stream.groupBy(*keys).applyInPandasWithState(processor, output_schema, processor.state_schema,
                                                         output_mode, timeout)
