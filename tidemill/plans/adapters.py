@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.parse import APP_LOG_SCHEMA, CDC_SCHEMA, ODS_TABLES
+from ..operators.parse import APP_LOG_SCHEMA  # noqa: F401 - the schema the log topic is parsed with
 
 __all__ = ["load", "events_base", "app_log_fields", "app_log_json", "ods_fields", "cdc_envelopes",
            "order_details", "DIALECT", "APP_LOG", "ODS", "ODS_COLUMNS", "SQL"]

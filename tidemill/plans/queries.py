@@ -575,7 +575,6 @@ from ..functions.keys import hash_bucket  # noqa: E402
 from ..functions.text import is_blank, matches_allowed, word_tokens  # noqa: E402
 from ..operators import dedup as D  # noqa: E402
 from ..operators import enrich as J  # noqa: E402
-from ..operators.keyed import arrival_segment as _aseg  # noqa: E402
 from ..operators.topn import newest_n  # noqa: E402
 from .. import sinks as K  # noqa: E402
 
