@@ -253,3 +253,16 @@ def test_keyword_udtf_lateral(spark):
     spark.createDataFrame([(1, "Élan, vité! Zwei 2x")], "id long, t string").createOrReplaceTempView("kw_src")
     got = rows(spark.sql("SELECT id, word FROM kw_src, LATERAL keyword_udtf(t)"))
     assert got == sorted([(1, "élan"), (1, "vité"), (1, "zwei"), (1, "2x")])
+
+
+def test_segment_size_does_not_change_query_results(spark):
+    """The hot-key split is exact: tiny arrival segments give the same answer."""
+    from tidemill.plans import queries as Q
+    from conftest import SF_SMALL
+    base = rows(Q.QUERIES["login_return_users"](spark, SF_SMALL))
+    spark.conf.set("spark.tidemill.segmentIds", "7")
+    try:
+        tiny = rows(Q.QUERIES["login_return_users"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.tidemill.segmentIds")
+    assert base == tiny and len(base) > 0
