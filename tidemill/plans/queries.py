@@ -911,3 +911,23 @@ def q_stream_new_visitor_repair(spark, sf_dir):
                                              F.col("common.is_new").alias("is_new"), "ts")
     return _run_twin(spark, "new_visitor", new_visitor_stream(recs, ttl_ms=None),
                      ["arrival", "mid", "is_new", "ts", "is_new_fixed"])
+
+
+@register("stream_login_flags", f"""
+WITH l AS (SELECT * FROM {_PAGES} p
+           WHERE uid IS NOT NULL AND uid <> '' AND (last_page_id = 'login' OR last_page_id IS NULL OR last_page_id = '')),
+b AS (SELECT *, {_day()} AS d, lag({_day()}) OVER (PARTITION BY uid ORDER BY arrival) AS pd FROM l),
+f AS (SELECT arrival, uid, ts_ms AS ts, CASE WHEN pd IS NULL OR pd <> d THEN 1 ELSE 0 END AS uu,
+             CASE WHEN pd IS NOT NULL AND pd <> d
+                   AND (ts_ms - epoch_ms(CAST(pd AS TIMESTAMP))) // 86400000 >= 8 THEN 1 ELSE 0 END AS back FROM b)
+SELECT arrival, uid, ts, CAST(uu AS BIGINT) AS uu_ct, CAST(back AS BIGINT) AS back_ct FROM f WHERE uu = 1 OR back = 1
+""")
+def q_stream_login_flags(spark, sf_dir):
+    from ..functions.text import is_empty
+    from ..streaming.stateful import DailyLogin, apply_processor
+    pages = _log_stream(spark, sf_dir).where(F.col("start").isNull()).select(
+        "arrival", F.col("common.uid").alias("uid"), F.col("page.last_page_id").alias("last_page_id"), "ts")
+    logins = pages.where(~is_empty("uid") & ((F.col("last_page_id") == "login") | is_empty("last_page_id")))
+    out = apply_processor(logins.select("arrival", "uid", "ts"), ["uid"], DailyLogin(),
+                          "arrival long, uid string, ts long, uu_ct long, back_ct long")
+    return _run_twin(spark, "login_flags", out, ["arrival", "uid", "ts", "uu_ct", "back_ct"])
