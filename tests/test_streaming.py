@@ -27,6 +27,9 @@ def _as_stream(spark, df, path, n_files=4, order="arrival"):
 
 
 def _run(spark, result, name, mode="append"):
+    # a fresh query name (and checkpoint) per run: the memory sink cannot resume
+    import uuid
+    name = f"{name}_{uuid.uuid4().hex[:8]}"
     q = S.run(spark, result, name, output_mode=mode)
     q.awaitTermination()
     return spark.table(name)
