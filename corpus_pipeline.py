@@ -6,18 +6,45 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import minhash
+from tidemill.llm import mixing, minhash, pieces, secrets
+from tidemill.llm import toxicity as toxic
 from tidemill.llm.common import table
 from tidemill.session import checkpoint_dir
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxic.drop_toxic(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return minhash.drop_near_duplicates(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets, and weak parts of credentials beside others, are replaced by marks; all rows stay."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, and half as many words again, shared among the sources by weights 5, 2, 1
+    up to two epochs of a source; rows stand as often as the mix takes them."""
+    weights = mixing.ranked_weights(docs, [5, 2, 1])
+    return mixing.mixed_documents(docs, weights, budget_ratio=1.5, max_epochs=2.0, least_epochs=1.0)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations: piece ids, their number, and whether they spell the text again."""
+    return pieces.encode(docs)
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("minhash_near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
 ]
 
 #: Sampled segmentations are seeded by 64-bit mixing that SQL does not have.

@@ -45,3 +45,9 @@ def word_count(text) -> F.Column:
     """Number of words; a text that ends (or begins) in white space has an empty part there."""
     t = F.coalesce(text, F.lit(""))
     return F.regexp_count(t, F.lit(WORD)).cast("long")
+
+
+def packed(docs: DataFrame, *columns, name: str = "row") -> DataFrame:
+    """The rows of ``docs`` as one struct column beside computed columns, so that no column of
+    an operator can clash with one of the input; ``row.*`` unpacks them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name), *columns)

@@ -19,7 +19,7 @@ _SEGMENT = 1 << 20
 
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finalizer."""
-    x = np.asarray(x, np.uint64)
+    x = np.atleast_1d(np.asarray(x, np.uint64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

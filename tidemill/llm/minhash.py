@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, on_executors
+from .common import cut, on_executors, packed
 from .components import components
 from .hashing import batches, mix, shingle_hashes, text_words
 
@@ -52,8 +52,7 @@ def text_sets(texts: list) -> list[np.ndarray]:
 
 def digest(s: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set, whatever the order of its members."""
-    with np.errstate(over="ignore"):
-        one = mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+    one = mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
     two = np.bitwise_xor.reduce(mix(s + np.uint64(0x14057B7EF767814F))) if len(s) else np.uint64(0)
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
@@ -256,7 +255,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     signed = cut(texts.where("doc_id is not null").mapInArrow(_signatures, _SIGNATURE), "signatures")
     ids = signed.groupBy("doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles")).alias("s")).select("doc_id", "s.*")
     named = ids.where("n_shingles > 0")
-    classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = cut(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "d1", "d2")
     first = signed.join(reps, ["doc_id", "d1", "d2"], "left_semi")
     keys = first.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
@@ -286,6 +285,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Of repeated rows of a kept ``doc_id`` one stays; rows without ``doc_id`` stay.
     """
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("id"))
+    rows = packed(docs, F.col("doc_id").cast("long").alias("id"))
+    one = rows.where("id is not null").join(kept, "id", "left_semi").dropDuplicates(["id"])
+    return one.select("row.*").unionByName(rows.where("id is null").select("row.*"))

@@ -6,17 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from pyspark.sql import functions as F
+
+from . import minhash, mixing, pieces, secrets, toxicity
 from .common import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document when sources of weights 5, 2, 1, repeating, share 150 %."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, mixing.ranked_weights(docs, [5, 2, 1]), budget_ratio=1.5, max_epochs=2.0)
+    return mixed.select("row.doc_id", "row.source", "size", "source_size", "target", "times",
+                        (F.col("size") * F.col("times")).alias("taken"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~toxicity.held_out("doc_id"))
+    return model.score(docs).select("row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score",
+                                    (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every text, and whether its pieces spell the text again."""
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with 85 % of their five-word shingles in common."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: the base kinds, and weak parts beside complementary ones."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op3_toxicity": op3_toxicity,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 # Exact classes on the full shingle sets: links by counting shared shingles, reach by recursion.

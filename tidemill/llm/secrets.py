@@ -14,7 +14,7 @@ give the positions, the parts are sorted by position, and each weak part looks a
 ``AROUND`` neighbours on either side, which is more than can begin within the scope.
 
 Edge cases: null text counts as empty and has no parts; several rows of one ``doc_id`` are
-scanned each for itself; columns other than ``text`` are not read and pass through.
+scanned each for itself; other columns pass through.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 SCOPE, AROUND = 200, 100
 
 # The patterns, in the order in which kinds are listed.
@@ -100,23 +102,22 @@ def _linked(parts):
     return F.filter(parts, stays)
 
 
-def scan(docs: DataFrame, prefix: str = "secret_") -> DataFrame:
-    """``docs`` with ``<prefix>base`` and ``<prefix>parts``: arrays of (start, kind, end) sorted by
-    start, then kind as listed; positions are code points, the end exclusive."""
-    text, own = f"{prefix}text", docs.columns
-    out = docs.withColumn(text, F.coalesce(F.col("`text`"), F.lit("")))
+def scan(docs: DataFrame) -> DataFrame:
+    """``row`` (a struct of all columns), ``text``, and ``base`` and ``parts``: arrays of (start, kind,
+    end) sorted by start, then kind as listed; positions are code points, the end exclusive."""
+    out = packed(docs, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    text = F.col("text")
     for kind in KINDS:
-        out = out.withColumn(f"{prefix}m_{kind}", _tried(F.col(text), kind, 0))
+        out = out.withColumn(f"m_{kind}", _tried(text, kind, 0))
         if kind in LEAST_VALUE:
-            out = out.withColumn(f"{prefix}v_{kind}", _tried(F.col(text), kind, 2))
+            out = out.withColumn(f"v_{kind}", _tried(text, kind, 2))
     for kind in KINDS:
-        value = F.col(f"{prefix}v_{kind}") if kind in LEAST_VALUE else None
-        out = out.withColumn(f"{prefix}p_{kind}", _located(F.col(text), F.col(f"{prefix}m_{kind}"), value, kind))
-    out = out.withColumn(f"{prefix}base", F.array_sort(F.concat(*[F.col(f"{prefix}p_{k}") for k in STRONG])))
-    out = out.withColumn(f"{prefix}all", F.array_sort(F.concat(*[F.col(f"{prefix}p_{k}") for k in KINDS])))
-    found = F.when(F.size(f"{prefix}all") > F.size(f"{prefix}base"), _linked(F.col(f"{prefix}all")))
-    out = out.withColumn(f"{prefix}parts", found.otherwise(F.col(f"{prefix}base")))
-    return out.select(*[F.col(f"`{c}`") for c in own], f"{prefix}base", f"{prefix}parts")
+        value = F.col(f"v_{kind}") if kind in LEAST_VALUE else None
+        out = out.withColumn(f"p_{kind}", _located(text, F.col(f"m_{kind}"), value, kind))
+    out = out.withColumn("base", F.array_sort(F.concat(*[F.col(f"p_{k}") for k in STRONG])))
+    out = out.withColumn("every", F.array_sort(F.concat(*[F.col(f"p_{k}") for k in KINDS])))
+    found = F.when(F.size("every") > F.size("base"), _linked(F.col("every"))).otherwise(F.col("base"))
+    return out.select("row", "text", "base", found.alias("parts"))
 
 
 def listed(parts) -> F.Column:
@@ -129,10 +130,10 @@ def listed(parts) -> F.Column:
 def report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts of the strong kinds, a digest of them, all spans."""
     found = scan(docs.select("doc_id", "text"))
-    count = lambda k: F.size(F.filter("secret_base", lambda p: p["kind"] == KINDS.index(k))).cast("long")
-    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in STRONG],
-                        F.sha2(listed(F.col("secret_base")).cast("binary"), 256).alias("base_sha256"),
-                        listed(F.col("secret_parts")).alias("spans"))
+    count = lambda k: F.size(F.filter("base", lambda p: p["kind"] == KINDS.index(k))).cast("long")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in STRONG],
+                        F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        listed(F.col("parts")).alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -142,22 +143,19 @@ def redact(docs: DataFrame) -> DataFrame:
     follows the new text.
     """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col("`text`")
+    text = F.col("text")
 
     def step(acc, p):
         apart = p["start"] >= acc["at"]
         more = F.concat(acc["done"], F.substring(text, acc["at"] + 1, p["start"] - acc["at"]), F.get(names, p["kind"]))
         return F.struct(F.greatest(acc["at"], p["end"]).alias("at"), F.when(apart, more).otherwise(acc["done"]).alias("done"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-    marked = F.aggregate(F.col("secret_parts"), start, step, lambda acc: F.concat(
+    marked = F.aggregate("parts", F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step, lambda acc: F.concat(
         acc["done"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    hit = F.size("secret_parts") > 0
-    out = scan(docs)
-    clean = {"text": F.when(hit, marked).otherwise(text)}
-    kept = [clean.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    out = out.select(*kept, hit.alias("secret_hit"))
+    hit = F.size("parts") > 0
+    out = scan(docs).select("row", hit.alias("hit"), F.when(hit, marked).alias("clean"))
+    new = {"text": F.when(F.col("hit"), F.col("clean")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("secret_hit"), F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.drop("secret_hit")
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(F.col("hit"), F.char_length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, on_executors
+from .common import cut, on_executors, packed
 from .hashing import batches
 
 SAMPLE_ROWS, FOLDS = 12_000, 4
@@ -182,17 +182,18 @@ def dense_features(texts: list[str], lexicon) -> np.ndarray:
     return out
 
 
-def _featured(docs: DataFrame, lexicons: list[dict[str, float]], fold: str | None = None) -> DataFrame:
-    """``docs`` with the feature columns; ``fold`` names the column that picks a lexicon."""
-    fields = docs.schema.fields + [T.StructField(f, T.DoubleType()) for f in FEATURES]
-    text_at = docs.columns.index("text")
-    fold_at = docs.columns.index(fold) if fold else None
+def _featured(rows: DataFrame, lexicons: list[dict[str, float]], fold: bool = False) -> DataFrame:
+    """``rows`` (a struct ``row`` with the text) and the feature columns; with ``fold`` the struct's
+    ``fold`` picks the lexicon, else the whole one is used."""
+    schema = T.StructType([rows.schema["row"], *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
+    names = rows.schema["row"].dataType.fieldNames()
+    text_at, fold_at = names.index("text"), names.index("fold") if fold else None
 
-    def run(rows):
+    def run(parts):
         built = {}
-        for batch in rows:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            folds = batch.column(fold_at).to_pylist() if fold_at is not None else [len(lexicons) - 1] * len(texts)
+        for batch in parts:
+            texts = [t or "" for t in batch.column(0).field(text_at).to_pylist()]
+            folds = batch.column(0).field(fold_at).to_pylist() if fold else [len(lexicons) - 1] * len(texts)
             for first, last in batches(texts):
                 values = np.zeros((last - first, len(FEATURES)))
                 for f in set(folds[first:last]):
@@ -201,10 +202,9 @@ def _featured(docs: DataFrame, lexicons: list[dict[str, float]], fold: str | Non
                         built[f] = _automaton(lexicons[f])
                     values[[i - first for i in own]] = dense_features([texts[i] for i in own], built[f])
                 part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(v) for v in values.T]],
-                                                 names=[*part.schema.names, *FEATURES])
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(v) for v in values.T]], names=["row", *FEATURES])
 
-    return docs.mapInArrow(run, T.StructType(fields))
+    return rows.select("row").mapInArrow(run, schema)
 
 
 class ToxicityModel:
@@ -214,12 +214,10 @@ class ToxicityModel:
         self.lexicons, self.trees, self.calibration, self.share = lexicons, trees, calibration, share
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``toxic_score``; all its columns stay."""
+        """``row`` (a struct of all columns of ``docs``) and ``score``."""
         if self.trees is None:
-            return docs.withColumn("toxic_score", F.lit(float(self.share)))
-        kept = [F.col(f"`{c}`") for c in docs.columns]
-        return _calibrated(self.trees, self.calibration, _featured(docs, self.lexicons)).select(
-            *kept, F.col("_score").alias("toxic_score"))
+            return packed(docs, F.lit(float(self.share)).alias("score"))
+        return _calibrated(self.trees, self.calibration, _featured(packed(docs), self.lexicons)).select("row", "score")
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -233,7 +231,7 @@ def _raised(trees, rows: DataFrame) -> DataFrame:
 def _calibrated(trees, calibration, rows: DataFrame) -> DataFrame:
     """Isotonic steps with a hundredth of the raw probability, which orders rows on one step."""
     out = calibration.transform(_raised(trees, rows))
-    return out.withColumn("_score", F.least(F.lit(1.0), F.greatest(
+    return out.withColumn("score", F.least(F.lit(1.0), F.greatest(
         F.lit(0.0), 0.99 * F.col("_steps") + 0.01 * F.col("_raised"))))
 
 
@@ -258,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample_rows: int = SAMPL
     if len(counts) < 2 or len(held) < 2:
         return ToxicityModel(None, None, None, share)
     lexicons = learn_lexicon(sample)
-    rows = cut(_featured(sample, lexicons, "fold").select("doc_id", "y", "fold", *FEATURES)
+    rows = cut(_featured(packed(sample), lexicons, fold=True).select("row.doc_id", "row.y", "row.fold", *FEATURES)
                .coalesce(1).sortWithinPartitions("doc_id", *FEATURES), "toxic-features")
     trees = GBTClassifier(featuresCol="_features", labelCol="y", predictionCol="_predicted", maxIter=24, maxDepth=3, stepSize=0.2, seed=seed,
                           minInstancesPerNode=5)
@@ -277,5 +275,4 @@ def held_out(doc_id) -> F.Column:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
-    model = fit(docs, labels)
-    return model.score(docs).where(F.col("toxic_score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return fit(docs, labels).score(docs).where(F.col("score") < threshold).select("row.*")
