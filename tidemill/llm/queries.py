@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, pieces, secrets, toxicity
+from . import fingerprints, minhash, mixing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -38,6 +38,17 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards of near equal bytes, split along language, source and size."""
+    shards = sharding.kd_shards(table(spark, sf_dir, "documents"), 40)
+    return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every text and its edited text, and how alike they are."""
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: the base kinds, and weak parts beside complementary ones."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -48,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op8_kd_sharding": op8_kd_sharding,
+    "op9_fingerprints": op9_fingerprints,
     "op10_secret_scan": op10_secret_scan,
 }
 
