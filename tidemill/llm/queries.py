@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprints, minhash, mixing, pieces, secrets, sharding, toxicity
+from . import fingerprints, hnsw, minhash, mixing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -20,6 +20,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.col("times")).alias("taken"))
 
 
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row whose id is divisible by 20, among all other rows."""
+    rows = hnsw.vectors(table(spark, sf_dir, "embeddings"))
+    return hnsw.search_index(hnsw.build_index(rows), rows.where("id % 20 = 0"), k=20)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_hnsw": op2_hnsw,
     "op3_toxicity": op3_toxicity,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
