@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprints, hnsw, minhash, mixing, pieces, secrets, sharding, toxicity
+from . import fingerprints, hnsw, minhash, mixing, passages, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that a document shares with an earlier one."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every text, and whether its pieces spell the text again."""
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_hnsw": op2_hnsw,
     "op3_toxicity": op3_toxicity,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op8_kd_sharding": op8_kd_sharding,
