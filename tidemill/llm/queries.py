@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprints, hnsw, minhash, mixing, passages, pieces, secrets, sharding, toxicity
+from . import fingerprints, hnsw, minhash, mixing, passages, pieces, secrets, sharding, token_counts, toxicity
 from .common import table
 
 
@@ -49,6 +49,17 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text, before and after two edits that are counted incrementally."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs).withColumn("edits", token_counts.sample_edits(F.col("text")))
+    before = counted.withColumnsRenamed({"n_tokens": "tokens_before"}).withColumn("n_tokens", F.col("tokens_before"))
+    edited = token_counts.apply_edits(before)
+    return edited.select("doc_id", F.col("tokens_before").alias("n_tokens"), F.get("leaf_chars", F.lit(0)).alias("n_leaves"),
+                         F.char_length("text").cast("long").alias("edited_chars"), F.col("n_tokens").alias("edited_tokens"),
+                         "encoded_chars", F.crc32(F.col("text").cast("binary")).alias("edited_crc32"))
+
+
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards of near equal bytes, split along language, source and size."""
     shards = sharding.kd_shards(table(spark, sf_dir, "documents"), 40)
@@ -72,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_repeated_passages": op4_repeated_passages,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_kd_sharding": op8_kd_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_secret_scan": op10_secret_scan,
