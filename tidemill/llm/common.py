@@ -51,3 +51,11 @@ def packed(docs: DataFrame, *columns, name: str = "row") -> DataFrame:
     """The rows of ``docs`` as one struct column beside computed columns, so that no column of
     an operator can clash with one of the input; ``row.*`` unpacks them."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name), *columns)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores behind it as make it differ from the input's columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -16,7 +16,7 @@ decoding lossless: pieces spelled out, less the first space, are the text.
 The vocabulary file's path is a parameter; the driver reads it and sends the tables along.
 Edge cases: null text gives null pieces and a null decoding; empty text is the single space
 piece and decodes to empty text; a null row key is a key like others; repeated rows are cut
-alike; other columns pass through.
+alike; other columns pass through (a new column whose name is taken gets an underscore).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import on_executors, packed
+from .common import on_executors, packed, unused
 from .hashing import batches, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -317,7 +317,8 @@ def encode(docs: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: floa
                     [batch.column(0).slice(first, last - first), pieces, pa.array(count, pa.int64(), mask=~here),
                      pa.array(same, pa.bool_(), mask=~here)], names=["row", "pieces", "n_pieces", "lossless"])
 
-    return rows.mapInArrow(run, schema).select("row.*", "pieces", "n_pieces", "lossless")
+    named = [F.col(c).alias(unused(c, docs.columns)) for c in ("pieces", "n_pieces", "lossless")]
+    return rows.mapInArrow(run, schema).select("row.*", *named)
 
 
 def decode(encoded: DataFrame, model: str = MODEL, column: str = "pieces") -> DataFrame:
@@ -338,4 +339,4 @@ def decode(encoded: DataFrame, model: str = MODEL, column: str = "pieces") -> Da
                 [batch.column(0), pa.array([t.decode("utf-8") if k else None for t, k in zip(texts, known)], pa.string())],
                 names=["row", "decoded"])
 
-    return rows.mapInArrow(run, schema).select("row.*", "decoded")
+    return rows.mapInArrow(run, schema).select("row.*", F.col("decoded").alias(unused("decoded", encoded.columns)))

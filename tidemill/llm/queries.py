@@ -92,8 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Exact classes on the full shingle sets: links by counting shared shingles, reach by recursion.
 OP6_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN list_aggregate(ws, 'string_agg', ' ')
@@ -110,6 +110,42 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+
+
+def _op10_sql() -> str:
+    """Matches and the text between them give positions; weak parts are joined to parts near them."""
+    quoted = {k: p.replace("'", "''") for k, p in secrets.PATTERNS.items()}
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, {i} AS kind, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(vs) AS v, unnest(gs[1:len(ms)]) AS g
+        FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS ms, regexp_extract_all(t, '{p}', {2 if k in secrets.LEAST_VALUE else 0}) AS vs,
+                     regexp_split_to_array(t, '{p}') AS gs FROM d)""" for i, (k, p) in enumerate(quoted.items()))
+    keep = " WHEN ".join(f"{i} THEN {'length(v) >= %d' % secrets.LEAST_VALUE[k] if k in secrets.LEAST_VALUE else 'length(m) = 40' if k == 'bare' else 'true'}"
+                         for i, k in enumerate(secrets.KINDS))
+    role = " WHEN ".join(f"{i} THEN '{secrets.ROLES[k]}'" for i, k in enumerate(secrets.KINDS))
+    name = " WHEN ".join(f"{i} THEN '{k}'" for i, k in enumerate(secrets.KINDS))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+placed AS (SELECT *, (sum(length(g)) OVER w + coalesce(sum(length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS s FROM found WINDOW w AS (PARTITION BY doc_id, kind ORDER BY i)),
+part AS (SELECT doc_id, kind, s, s + length(m) AS e, CASE kind WHEN {role} END AS role, kind < {len(secrets.STRONG)} AS strong,
+                CASE kind WHEN {name} END || ':' || s || ':' || (s + length(m)) AS shown
+         FROM placed WHERE CASE kind WHEN {keep} END),
+kept AS (SELECT * FROM part w WHERE strong OR (
+           EXISTS (SELECT 1 FROM part p WHERE p.doc_id = w.doc_id AND p.role <> w.role AND abs(p.s - w.s) <= {secrets.SCOPE}
+                   AND (p.strong OR p.role = 'secret' OR w.role = 'secret'))
+           AND NOT EXISTS (SELECT 1 FROM part p WHERE p.doc_id = w.doc_id AND p.strong AND p.s < w.e AND w.s < p.e))),
+shown AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+                 count(*) FILTER (kind = 2) AS n_hex,
+                 string_agg(shown, ',' ORDER BY s, kind, e) FILTER (strong) AS base, string_agg(shown, ',' ORDER BY s, kind, e) AS spans
+          FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN shown USING (doc_id)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op6_minhash_near_dedup": OP6_SQL,
+    "op10_secret_scan": _op10_sql(),
 }

@@ -14,7 +14,8 @@ The vocabulary file's path is a parameter; the driver reads it and sends the ran
 Edge cases: null text has a null tree and count, and edits on it are ignored; empty text has
 one empty leaf and no tokens; edits beyond the text are clipped to it, overlapping ones apply
 one after another in the order given; texts without a safe cut are one leaf; repeated rows are
-counted each for itself; other columns pass through.
+counted each for itself; other columns pass through (a new column whose name is taken gets
+an underscore).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import on_executors, packed
+from .common import on_executors, packed, unused
 from .hashing import batches
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -161,7 +162,8 @@ def count_tokens(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHA
                     pa.array([None if t is None else t.total for t in trees], pa.int64())],
                     names=["row", "leaf_chars", "leaf_tokens", "n_tokens"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *_TREE])).select("row.*", "leaf_chars", "leaf_tokens", "n_tokens")
+    named = [F.col(f.name).alias(unused(f.name, docs.columns)) for f in _TREE]
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *_TREE])).select("row.*", *named)
 
 
 def apply_edits(counted: DataFrame, edits: str = "edits", ranks: str = RANKS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
