@@ -873,61 +873,4 @@ def q_keyword_count_sql(spark, sf_dir):
 
 
 # ================================================================ streaming twins
-# The app-log topic is replayed with readStream (availableNow) through the keyed
-# state processors into a memory sink; the result must equal the batch semantics.
-def _log_stream(spark, sf_dir):
-    path = AD.topic_path(spark, sf_dir, "app_log", lambda s, d: AD.app_log_json(AD.load(s, d, "events")))
-    raw = spark.readStream.schema("arrival long, value string").parquet(path)
-    return split_dirty(raw, keep=("arrival",))["clean"]
-
-
-def _run_twin(spark, name, result, cols):
-    import uuid
-    from ..streaming.jobs import run
-    qname = f"tidemill_{name}_{uuid.uuid4().hex[:8]}"
-    q = run(spark, result, qname)
-    q.awaitTermination()
-    return spark.table(qname).select(*cols)
-
-
-@register("stream_daily_unique", f"""
-SELECT arrival, mid, ts_ms AS ts,
-       CAST(CASE WHEN lag({_day()}) OVER (PARTITION BY mid ORDER BY arrival) IS NULL
-                   OR lag({_day()}) OVER (PARTITION BY mid ORDER BY arrival) <> {_day()} THEN 1 ELSE 0 END AS BIGINT) AS uv_ct
-FROM {_PAGES} p
-""")
-def q_stream_daily_unique(spark, sf_dir):
-    from ..streaming.stateful import DailyGate, apply_processor
-    pages = _log_stream(spark, sf_dir).where(F.col("start").isNull()).select(
-        "arrival", F.col("common.mid").alias("mid"), "ts")
-    out = apply_processor(pages, ["mid"], DailyGate(flag="uv_ct"), "arrival long, mid string, ts long, uv_ct long")
-    return _run_twin(spark, "daily_unique", out, ["arrival", "mid", "ts", "uv_ct"])
-
-
-@register("stream_new_visitor_repair", ORACLE["new_visitor_repair"])
-def q_stream_new_visitor_repair(spark, sf_dir):
-    from ..streaming.jobs import new_visitor_stream
-    recs = _log_stream(spark, sf_dir).select("arrival", F.col("common.mid").alias("mid"),
-                                             F.col("common.is_new").alias("is_new"), "ts")
-    return _run_twin(spark, "new_visitor", new_visitor_stream(recs, ttl_ms=None),
-                     ["arrival", "mid", "is_new", "ts", "is_new_fixed"])
-
-
-@register("stream_login_flags", f"""
-WITH l AS (SELECT * FROM {_PAGES} p
-           WHERE uid IS NOT NULL AND uid <> '' AND (last_page_id = 'login' OR last_page_id IS NULL OR last_page_id = '')),
-b AS (SELECT *, {_day()} AS d, lag({_day()}) OVER (PARTITION BY uid ORDER BY arrival) AS pd FROM l),
-f AS (SELECT arrival, uid, ts_ms AS ts, CASE WHEN pd IS NULL OR pd <> d THEN 1 ELSE 0 END AS uu,
-             CASE WHEN pd IS NOT NULL AND pd <> d
-                   AND (ts_ms - epoch_ms(CAST(pd AS TIMESTAMP))) // 86400000 >= 8 THEN 1 ELSE 0 END AS back FROM b)
-SELECT arrival, uid, ts, CAST(uu AS BIGINT) AS uu_ct, CAST(back AS BIGINT) AS back_ct FROM f WHERE uu = 1 OR back = 1
-""")
-def q_stream_login_flags(spark, sf_dir):
-    from ..functions.text import is_empty
-    from ..streaming.stateful import DailyLogin, apply_processor
-    pages = _log_stream(spark, sf_dir).where(F.col("start").isNull()).select(
-        "arrival", F.col("common.uid").alias("uid"), F.col("page.last_page_id").alias("last_page_id"), "ts")
-    logins = pages.where(~is_empty("uid") & ((F.col("last_page_id") == "login") | is_empty("last_page_id")))
-    out = apply_processor(logins.select("arrival", "uid", "ts"), ["uid"], DailyLogin(),
-                          "arrival long, uid string, ts long, uu_ct long, back_ct long")
-    return _run_twin(spark, "login_flags", out, ["arrival", "uid", "ts", "uu_ct", "back_ct"])
+from . import stream_queries  # noqa: E402,F401  registers the stream_* queries

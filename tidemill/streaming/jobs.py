@@ -1,24 +1,30 @@
 """Structured Streaming twins of the pipeline-R jobs.
 
-Each function takes a streaming DataFrame of parsed records (same columns as
-the batch jobs) and returns the streaming result; :func:`run` starts it with a
-checkpoint under the shared ``spark.checkpoint.dir`` so a restarted query
-resumes exactly where it stopped (exactly-once with the idempotent sinks).
+A job has two steps, as in the reference's layers.  The gate (``*_gate``) is a keyed-state query
+that appends its rows to a topic at rest (:func:`to_topic`, exactly once by the file sink); the
+window step (``*_windows``) aggregates that topic and hands every changed window to an upsert by
+window key (:func:`to_table`, update mode, idempotent per batch), so every window of a bounded
+replay comes out, the last ones included.  Both keep their checkpoints under the shared
+``spark.checkpoint.dir``: a restarted query resumes exactly where it stopped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import is_empty, word_tokens
 from ..functions.time import window_bounds
 from ..operators import aggregate as A
 from ..session import state_dir
-from .stateful import DailyGate, DailyLogin, NewVisitorRepair, Retract, apply_processor
+from .stateful import DAY_MS, DailyGate, DailyLogin, FirstSeen, MonotoneLatest, NewVisitorRepair, Retract, apply_processor
 
-__all__ = ["event_time", "monotone", "bounded", "page_view_stream", "home_detail_stream", "login_stream",
-           "cart_stream", "new_visitor_stream", "retract_stream", "sku_order_stream", "keyword_stream", "run"]
+__all__ = ["event_time", "monotone", "bounded", "page_view_gate", "page_view_windows", "home_detail_gate",
+           "home_detail_windows", "login_gate", "login_windows", "cart_gate", "cart_windows", "new_visitor_stream",
+           "retract_stream", "sku_order_windows", "province_order_windows", "keyword_windows", "first_seen_stream",
+           "latest_stream", "interval_join_stream", "start", "to_topic", "to_table"]
 
 
 # ---------------------------------------------------------------- watermarks
@@ -37,51 +43,37 @@ def bounded(df: DataFrame, seconds: int, et: str = "et") -> DataFrame:
     return df.withWatermark(et, f"{seconds} seconds")
 
 
-# ---------------------------------------------------------------- jobs
+# ---------------------------------------------------------------- gates (keyed state)
 _PAGE = "arrival long, mid string, vc string, ch string, ar string, is_new string, last_page_id string, during_time long, ts long"
 
 
-def page_view_stream(pages: DataFrame, size: str = "10 seconds", lateness_s: int = 3) -> DataFrame:
-    """D7 + A6 on a stream: keyed daily gate, 3 s bounded watermark, 10 s windows."""
-    gated = apply_processor(pages.select(*[c.split()[0] for c in _PAGE.split(", ")]), ["mid"],
-                            DailyGate(flag="uv_ct"), _PAGE + ", uv_ct long")
-    beans = gated.select("vc", "ch", "ar", "is_new", "uv_ct", is_empty("last_page_id").cast("long").alias("sv_ct"),
-                         F.lit(1).cast("long").alias("pv_ct"), F.coalesce("during_time", F.lit(0)).alias("during_time"),
-                         F.timestamp_millis("ts").alias("et"))
-    return A.page_view_window(bounded(beans, lateness_s), "et", size)
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
 
+def page_view_gate(pages: DataFrame) -> DataFrame:
+    """The daily gate of each device over the page stream."""
+    return apply_processor(pages.select(*_names(_PAGE)), ["mid"], DailyGate(flag="uv_ct"), _PAGE + ", uv_ct long")
 
-def home_detail_stream(pages: DataFrame, size: str = "5 seconds") -> DataFrame:
-    """D8 + A4: gates keyed by (mid, page_id), monotone watermark, 5 s global windows."""
+
+def home_detail_gate(pages: DataFrame) -> DataFrame:
+    """One daily gate per (device, page) of the home and detail pages; fired rows only."""
     p = pages.where(F.col("page_id").isin("home", "good_detail")).select("arrival", "mid", "page_id", "ts")
-    g = apply_processor(p, ["mid", "page_id"], DailyGate(flag="fire", only_fired=True),
-                        "arrival long, mid string, page_id string, ts long, fire long")
-    g = g.select((F.col("page_id") == "home").cast("long").alias("home_uv_ct"),
-                 (F.col("page_id") == "good_detail").cast("long").alias("good_detail_uv_ct"),
-                 F.timestamp_millis("ts").alias("et"))
-    return A.global_sum_window(monotone(g), "et", size, {"home_uv_ct": "home_uv_ct",
-                                                         "good_detail_uv_ct": "good_detail_uv_ct"})
-
-
-def login_stream(pages: DataFrame, size: str = "1 second", processing_time: bool = True) -> DataFrame:
-    """P16 + D10 + A5: 1 s windows of processing time (``current_timestamp``)
-    or, with ``processing_time=False``, of event time."""
+    return apply_processor(p, ["mid", "page_id"], DailyGate(flag="fire", only_fired=True),
+                           "arrival long, mid string, page_id string, ts long, fire long")
+
+
+def login_gate(pages: DataFrame) -> DataFrame:
+    """P16 + D10: first login of a day, and users who return after eight days or more."""
     logins = pages.where(~is_empty("uid") & ((F.col("last_page_id") == "login") | is_empty("last_page_id")))
-    b = apply_processor(logins.select("arrival", "uid", "ts"), ["uid"], DailyLogin(),
-                        "arrival long, uid string, ts long, uu_ct long, back_ct long")
-    t = F.current_timestamp() if processing_time else F.timestamp_millis("ts")
-    b = b.withColumn("pt", t)
-    return A.global_sum_window(b.withWatermark("pt", "0 seconds"), "pt", size,
-                               {"back_ct": "back_ct", "uu_ct": "uu_ct"})
+    return apply_processor(logins.select("arrival", "uid", "ts"), ["uid"], DailyLogin(),
+                           "arrival long, uid string, ts long, uu_ct long, back_ct long")
 
 
-def cart_stream(cart_adds: DataFrame, size: str = "5 seconds", processing_time: bool = True) -> DataFrame:
-    """D9 + A3: daily-unique cart users counted per 5 s processing-time window."""
-    g = apply_processor(cart_adds.select("arrival", "user_id", "ts"), ["user_id"], DailyGate(flag="uu", only_fired=True),
-                        "arrival long, user_id long, ts long, uu long")
-    t = F.current_timestamp() if processing_time else F.timestamp_millis("ts")
-    g = g.withColumn("pt", t).withWatermark("pt", "0 seconds")
-    return A.global_count_window(g, "pt", size, "cart_add_uu_ct")
+def cart_gate(cart_adds: DataFrame) -> DataFrame:
+    """Daily-unique cart users."""
+    return apply_processor(cart_adds.select("arrival", "user_id", "ts"), ["user_id"], DailyGate(flag="uu", only_fired=True),
+                           "arrival long, user_id long, ts long, uu long")
 
 
 def new_visitor_stream(records: DataFrame, ttl_ms: int | None = 10_000) -> DataFrame:
@@ -90,31 +82,73 @@ def new_visitor_stream(records: DataFrame, ttl_ms: int | None = 10_000) -> DataF
                            "arrival long, mid string, is_new string, ts long, is_new_fixed string")
 
 
-_DETAIL_COLS = ["detail_id", "arrival", "order_id", "sku_id", "et_ms", "split_original_amount",
-                "split_activity_amount", "split_coupon_amount", "split_total_amount"]
-_DETAIL_SCHEMA = ("detail_id string, arrival long, order_id long, sku_id long, et_ms long, "
-                  "split_original_amount double, split_activity_amount double, split_coupon_amount double, "
-                  "split_total_amount double")
+_DETAIL_AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+_DETAIL = ("detail_id string, arrival long, order_id long, sku_id long, province_id long, et_ms long, "
+           + ", ".join(f"{a} decimal(18,4)" for a in _DETAIL_AMOUNTS))
 
 
 def retract_stream(details: DataFrame, ttl_ms: int | None = 10_000) -> DataFrame:
-    """D1 on a stream of order details (amounts as double in the state)."""
-    amounts = _DETAIL_COLS[5:]
-    d = details.select(*[F.col(c).cast("double").alias(c) if c in amounts else F.col(c) for c in _DETAIL_COLS])
-    return apply_processor(d, ["detail_id"], Retract(_DETAIL_COLS, amounts, state_schema=_DETAIL_SCHEMA, ttl_ms=ttl_ms),
-                           _DETAIL_SCHEMA + ", is_retract long")
+    """D1 on a stream of order details (decimals stay decimals in the state)."""
+    names = [c for c in _names(_DETAIL.replace("(18,4)", "")) if c in details.columns]
+    ddl = ", ".join(f"{n} decimal(18,4)" if n in _DETAIL_AMOUNTS else f"{n} {'string' if n == 'detail_id' else 'long'}" for n in names)
+    d = details.select(*[F.col(n).cast("decimal(18,4)").alias(n) if n in _DETAIL_AMOUNTS else F.col(n) for n in names])
+    return apply_processor(d, ["detail_id"], Retract(names, _DETAIL_AMOUNTS, state_schema=ddl, ttl_ms=ttl_ms), ddl + ", is_retract long")
+
 
+def first_seen_stream(unpacked: DataFrame) -> DataFrame:
+    """Whether a visitor id was never seen before (``arrival``, ``visitor_id``)."""
+    return apply_processor(unpacked.where("visitor_id is not null").select("arrival", "visitor_id"), ["visitor_id"], FirstSeen(),
+                           "arrival long, visitor_id string, is_first boolean")
+
+
+def latest_stream(records: DataFrame, key: str, ttl_ms: int | None = DAY_MS) -> DataFrame:
+    """D3: records whose ``ts_ms`` exceeds every earlier one of their key."""
+    return apply_processor(records.select("arrival", key, "ts_ms"), [key], MonotoneLatest(ttl_ms=ttl_ms),
+                           f"arrival long, {key} long, ts_ms long")
+
+
+# ---------------------------------------------------------------- windows over topics at rest
+def page_view_windows(gated: DataFrame, size: str = "10 seconds", lateness_s: int = 3) -> DataFrame:
+    """A6 with the 3 s bounded watermark."""
+    beans = gated.select("vc", "ch", "ar", "is_new", "uv_ct", is_empty("last_page_id").cast("long").alias("sv_ct"),
+                         F.lit(1).cast("long").alias("pv_ct"), F.coalesce("during_time", F.lit(0)).alias("during_time"),
+                         F.timestamp_millis("ts").alias("et"))
+    return A.page_view_window(bounded(beans, lateness_s), "et", size)
 
-def sku_order_stream(details: DataFrame, links, size: str = "5 seconds", ttl_ms: int | None = 10_000) -> DataFrame:
-    """D1 + W1 + A1 + J2: retractions, monotone watermark, 5 s windows, then
-    stream-static lookups of the dimension chain on the window results."""
-    from ..operators.enrich import snowflake_chain
-    r = event_time(retract_stream(details, ttl_ms), "et_ms", "et")
-    agg = A.sku_order_window(monotone(r), "et", size)
-    return snowflake_chain(agg, links)
 
+def home_detail_windows(gated: DataFrame, size: str = "5 seconds") -> DataFrame:
+    """A4: global windows, monotone watermark."""
+    g = gated.select((F.col("page_id") == "home").cast("long").alias("home_uv_ct"),
+                     (F.col("page_id") == "good_detail").cast("long").alias("good_detail_uv_ct"),
+                     F.timestamp_millis("ts").alias("et"))
+    return A.global_sum_window(monotone(g), "et", size, {"home_uv_ct": "home_uv_ct", "good_detail_uv_ct": "good_detail_uv_ct"})
 
-def keyword_stream(searches: DataFrame, size: str = "3 days", lateness_s: int = 5) -> DataFrame:
+
+def _window_time(rows: DataFrame, processing_time: bool) -> DataFrame:
+    return rows.withColumn("pt", F.current_timestamp() if processing_time else F.timestamp_millis("ts")).withWatermark("pt", "0 seconds")
+
+
+def login_windows(gated: DataFrame, size: str = "1 second", processing_time: bool = True) -> DataFrame:
+    """A5: windows of processing time or, for replays, of the records' time."""
+    return A.global_sum_window(_window_time(gated, processing_time), "pt", size, {"back_ct": "back_ct", "uu_ct": "uu_ct"})
+
+
+def cart_windows(gated: DataFrame, size: str = "5 seconds", processing_time: bool = True) -> DataFrame:
+    """A3: users per window of processing time or, for replays, of the records' time."""
+    return A.global_count_window(_window_time(gated, processing_time), "pt", size, "cart_add_uu_ct")
+
+
+def sku_order_windows(corrected: DataFrame, size: str = "5 seconds") -> DataFrame:
+    """A1 over retract-corrected details, monotone watermark; dimensions join the merged windows."""
+    return A.sku_order_window(monotone(event_time(corrected, "et_ms", "et")), "et", size)
+
+
+def province_order_windows(corrected: DataFrame, size: str = "10 seconds") -> DataFrame:
+    """A2: order amount and distinct orders; a stream counts the members of a set."""
+    return A.province_order_window(monotone(event_time(corrected, "et_ms", "et")), "et", size, distinct="set")
+
+
+def keyword_windows(searches: DataFrame, size: str = "3 days", lateness_s: int = 5) -> DataFrame:
     """P17 + X1 + A7 with the SQL job's 5 s watermark (``searches``: page map + et)."""
     p = F.col("page")
     kw = searches.where((p["last_page_id"] == "search") & (p["item_type"] == "keyword") & p["item"].isNotNull())
@@ -124,18 +158,72 @@ def keyword_stream(searches: DataFrame, size: str = "3 days", lateness_s: int =
                     "keyword", "keyword_count")
 
 
-def run(spark: SparkSession, result: DataFrame, name: str, sink: str = "memory", output_mode: str = "append",
-        trigger: dict | None = None, foreach_batch=None, path: str | None = None) -> StreamingQuery:
-    """Start a query with its checkpoint under the shared folder.
-    ``trigger`` e.g. ``{"availableNow": True}`` or ``{"processingTime": "30 seconds"}``."""
-    trigger = trigger or {"availableNow": True}
-    if trigger.get("availableNow"):
-        # a bounded run: no empty batches just to advance state timeouts, or it never ends
-        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+def interval_join_stream(left: DataFrame, right: DataFrame, key: str, before_s: int, after_s: int, lateness_s: int = 0,
+                         prefix: str = "info_") -> DataFrame:
+    """J5 between two streams of (key, ts_ms, ...): inner join within the interval; both sides carry a
+    watermark, so Spark drops the state that no later record can meet."""
+    a = bounded(event_time(left, "ts_ms", "et"), lateness_s)
+    b = bounded(event_time(right, "ts_ms", "et"), lateness_s)
+    b = b.select(*[F.col(c).alias(prefix + c) for c in b.columns])
+    within = F.expr(f"{prefix}et >= et - interval {before_s} seconds and {prefix}et <= et + interval {after_s} seconds")
+    return a.join(b, (F.col(key) == F.col(prefix + key)) & within).drop("et", prefix + "et")
+
+
+# ---------------------------------------------------------------- running
+_SWITCH = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def start(spark: SparkSession, result: DataFrame, name: str, sink: str = "parquet", output_mode: str = "append",
+          trigger: dict | None = None, foreach_batch=None, path: str | None = None, options: dict | None = None,
+          ends: bool = False) -> StreamingQuery:
+    """Start a query with its checkpoint under the shared folder.
+
+    ``trigger`` e.g. ``{"availableNow": True}`` or ``{"processingTime": "30 seconds"}``; ``options`` go
+    to the sink (servers, topic).  ``ends``: a bounded replay of a keyed state with TTL, whose
+    expiry would ask for empty batches for ever; they are off for this query alone (a query takes
+    a copy of the session's settings when it starts).
+    """
     w = result.writeStream.outputMode(output_mode).option("checkpointLocation", state_dir(spark, name))
-    w = w.trigger(**trigger)
-    if foreach_batch is not None:
-        return w.foreachBatch(foreach_batch).start()
-    if sink == "memory":
-        return w.format("memory").queryName(name).start()
-    return w.format(sink).start(path)
+    w = w.trigger(**(trigger or {"availableNow": True})).queryName(name.replace("/", "-"))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    held = spark.conf.get(_SWITCH, "true")
+    try:
+        if ends:
+            spark.conf.set(_SWITCH, "false")
+        if foreach_batch is not None:
+            return w.foreachBatch(foreach_batch).start()
+        return w.format(sink).start(path) if path else w.format(sink).start()
+    finally:
+        spark.conf.set(_SWITCH, held)
+
+
+def to_topic(spark: SparkSession, result: DataFrame, name: str, trigger: dict | None = None, ends: bool = False) -> tuple[StreamingQuery, str]:
+    """Append a stream to a topic at rest under the shared folder; (query, path)."""
+    path = state_dir(spark, name) + "-topic"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jpath)  # readable before the first batch
+    return start(spark, result, name, path=path, trigger=trigger, ends=ends), path
+
+
+def to_table(spark: SparkSession, windows: DataFrame, name: str, trigger: dict | None = None) -> tuple[StreamingQuery, str]:
+    """Upsert the windows a stream changes: each batch writes the windows it touched as one part of
+    its own (a repeated batch writes the same part again); (query, path)."""
+    path = state_dir(spark, name) + "-table"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return start(spark, windows, name, output_mode="update", trigger=trigger, foreach_batch=write), path
+
+
+def read_table(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+    """The newest row of every window key; without any batch, no rows."""
+    from pyspark.sql.types import IntegerType
+
+    try:
+        rows = spark.read.schema(StructType([*schema.fields, StructField("batch", IntegerType())])).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    order = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
+    return rows.withColumn("newest", F.row_number().over(order)).where("newest = 1").drop("newest", "batch")

@@ -1,13 +1,12 @@
 """Streaming forms of the keyed-state operators.
 
-Each processor is a per-key function for ``applyInPandasWithState``: Spark
-shuffles the stream by key, keeps the per-key state in the state store
-(checkpointed with the query) and calls the function with that key's rows of
-the micro-batch as pandas frames plus its state.  Rows are put in arrival
-order inside the micro-batch and evaluated vectorised against the stored
-state, which is exactly what the reference's per-record state machine
-computes.  The reference's state TTLs (expire N ms after the last write) are
-processing-time timeouts refreshed on every write.
+Each processor is a ``StatefulProcessor`` for ``transformWithStateInPandas``: Spark shuffles
+the stream by key, keeps one value per key in the RocksDB state store (checkpointed with the
+query) and hands over that key's rows of the micro-batch.  Rows are put in arrival order inside
+the micro-batch and evaluated vectorised against the stored value, which is exactly what the
+reference's per-record state machine computes.  A state TTL (expire N ms after the last write)
+is the store's own ``ttlDurationMs``: an expired value is never read again, whether or not a
+batch ran in between.  Sources bound the rows of a micro-batch (files or offsets per trigger).
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 __all__ = ["DailyGate", "DailyLogin", "NewVisitorRepair", "Retract", "FirstSeen", "MonotoneLatest",
            "apply_processor", "DAY_MS", "KeyedProcessor"]
@@ -29,33 +28,31 @@ def _dates(ms: pd.Series) -> pd.Series:
     return pd.to_datetime(ms.astype("int64"), unit="ms", utc=True).dt.strftime("%Y-%m-%d")
 
 
-def _frame(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    df = pd.concat(list(rows), ignore_index=True)
-    return df.sort_values(order, kind="stable").reset_index(drop=True)
-
-
-class KeyedProcessor:
-    """Base: ``state_schema`` (DDL), ``ttl_ms`` and ``process(df, state) -> (out, new_state)``
-    where ``state`` is a tuple or None."""
+class KeyedProcessor(StatefulProcessor):
+    """Base: ``state_schema`` (DDL), ``ttl_ms``, ``order`` and ``process(df, state) -> (out, new_state)``
+    where ``state`` is a tuple or None; a ``new_state`` of None writes nothing."""
 
     state_schema = ""
+    order = "arrival"
     ttl_ms: int | None = None
 
+    def init(self, handle) -> None:
+        self._state = handle.getValueState("state", self.state_schema, self.ttl_ms)
+
     def process(self, df: pd.DataFrame, state):  # pragma: no cover - abstract
         raise NotImplementedError
 
-    def __call__(self, key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        cur = state.get if state.exists else None
-        out, new = self.process(_frame(pdfs, self.order), cur)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
+        df = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable").reset_index(drop=True)
+        state = self._state.get() if self._state.exists() else None
+        out, new = self.process(df, state)
         if new is not None:
-            state.update(new)
-            if self.ttl_ms:
-                state.setTimeoutDuration(int(self.ttl_ms))
+            self._state.update(new)
         yield out
 
+    def close(self) -> None:
+        pass
+
 
 class DailyGate(KeyedProcessor):
     """``flag`` = 1 when the previous record of the key was on another
@@ -133,19 +130,16 @@ class Retract(KeyedProcessor):
         self.state_schema = state_schema
 
     def process(self, df, state):
-        df = df[self.columns]
-        prev = df.shift(1)
-        if state is not None:
-            prev.iloc[0] = list(state)
-        has_prev = prev[self.columns[0]].notna()
-        retr = prev[has_prev].copy()
-        for a in self.amounts:
-            retr[a] = -retr[a]
-        retr["is_retract"] = 1
-        cur = df.copy()
-        cur["is_retract"] = 0
-        out = pd.concat([retr.astype(cur.dtypes.to_dict()), cur], ignore_index=True)
-        return out, tuple(df.iloc[-1].tolist())
+        df = df[self.columns].astype(object)  # as objects: no long or decimal passes through a double
+        rows = df.to_numpy(dtype=object).tolist()
+        before = [list(state) if state is not None else None, *rows[:-1]]
+        at = [self.columns.index(a) for a in self.amounts]
+        out = []
+        for prev, row in zip(before, rows):
+            if prev is not None:
+                out.append([(-v if i in at and v is not None else v) for i, v in enumerate(prev)] + [1])
+            out.append([*row, 0])
+        return pd.DataFrame(out, columns=[*self.columns, "is_retract"], dtype=object), tuple(rows[-1])
 
 
 class FirstSeen(KeyedProcessor):
@@ -184,11 +178,13 @@ class MonotoneLatest(KeyedProcessor):
 
 def apply_processor(stream: DataFrame, keys: list[str], processor: KeyedProcessor, output_schema: str,
                     output_mode: str = "append") -> DataFrame:
-    """Key the stream and run ``processor`` over it with keyed state; processors
-    with a TTL use a processing-time timeout."""
+    """Key the stream and run ``processor`` over it with keyed state in the RocksDB store, which
+    ``transformWithState`` needs (set here, where the query is made)."""
     from ..session import ship_package
 
-    ship_package(stream.sparkSession)
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if processor.ttl_ms else GroupStateTimeout.NoTimeout
-    return stream.groupBy(*keys).applyInPandasWithState(processor, output_schema, processor.state_schema,
-                                                        output_mode, timeout)
+    spark = stream.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return stream.groupBy(*keys).transformWithStateInPandas(
+        processor, output_schema, output_mode, "ProcessingTime" if processor.ttl_ms else "None")
