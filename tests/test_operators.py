@@ -11,7 +11,7 @@ from tidemill.functions import time as FT
 from tidemill.functions.text import int_div, last_csv_token, safe_ratio
 from tidemill.operators import dedup as D
 from tidemill.operators import enrich as J
-from tidemill.operators.keyed import arrival_segment, keyed_lag, keyed_prefix_max
+from tidemill.operators.keyed import keyed_is_last, keyed_lag, keyed_prefix_max
 from tidemill.operators.parse import APP_LOG_SCHEMA, split_dirty, split_log, unpack_cdc
 from tidemill.operators.topn import top_n
 
@@ -61,6 +61,18 @@ def test_split_dirty_and_log(spark):
     assert s["start"].count() + s["page"].count() == parts["clean"].count()
 
 
+def test_loose_records_are_clean(spark):
+    """Repeated keys, a leading line break and numbers in quotes are valid; tabs are blank ids."""
+    recs = [(1, '{"common": {"mid": "a", "mid": "b"}, "ts": 5}'), (2, '\n {"common": {"mid": "c"}, "ts": "5"}'),
+            (3, '{"common": {"mid": "d"}, "ts": "x"}'), (4, None), (5, ""), (6, '"text"'), (7, '{"ts": 5} trailing')]
+    parts = split_dirty(spark.createDataFrame(recs, "arrival long, value string"), keep=("arrival",))
+    assert rows(parts["clean"].where("arrival < 4"), "arrival", "ts") == [(1, 5), (2, 5), (3, None)]
+    assert {r["arrival"] for r in parts["dirty"].collect()} >= {4, 5, 6}
+    from tidemill.functions.text import is_blank
+    ids = spark.createDataFrame([("\t",), (" \n",), ("",), (None,), ("a\t",)], "v string")
+    assert [r[0] for r in ids.select(is_blank("v")).collect()] == [True, True, True, True, False]
+
+
 def test_unpack_cdc_ops(spark):
     env = spark.createDataFrame([
         (1, "r", None, {"id": "1"}, ("db", "t1", 0), 0),
@@ -97,8 +109,8 @@ def test_keep_last_and_dedup_on_keys(spark):
 def test_monotone_latest(spark):
     df = spark.createDataFrame([(1, 1, 100), (1, 2, 200), (1, 3, 200), (1, 4, 150), (1, 5, 300), (2, 6, 50)],
                                "key long, arrival long, ts_ms long")
-    for seg in (None, F.floor(F.col("arrival") / 2)):
-        out = D.monotone_latest(df, ["key"], ["arrival"], "ts_ms", segment=seg)
+    for hot in (None, 2):
+        out = D.monotone_latest(df, ["key"], ["arrival"], "ts_ms", hot_rows=hot)
         assert rows(out, "arrival") == [(1,), (2,), (5,), (6,)]  # equal and decreasing are dropped
 
 
@@ -133,33 +145,57 @@ def test_daily_login_returning(spark):
     assert rows(out, "arrival", "uu_ct", "back_ct") == [(1, 1, 0), (2, 1, 0), (3, 1, 1)]
 
 
-def test_first_seen_flag(spark):
-    df = spark.createDataFrame([(1, "v1", 1), (2, "v2", None), (3, "v1", 1), (4, None, None)],
-                               "arrival long, visitor string, is_new int")
-    out = D.first_seen_flag(df, "visitor", ["arrival"], has_field=F.lit(True), target="is_new")
-    assert rows(out, "arrival", "is_new") == [(1, 1), (2, 1), (3, 0), (4, None)]
+def test_first_seen_and_visitor_split(spark):
+    from tidemill.plans.traffic import flag_new_visitors, visitor_split
+    df = spark.createDataFrame([(1, {"visitor_id": "v1", "is_new_visitor": "9"}), (2, {"visitor_id": "v2"}),
+                                (3, {"visitor_id": "v1", "is_new_visitor": "9"}), (4, {"x": "y"})],
+                               "arrival long, data map<string,string>").withColumn("op", F.lit("c")).withColumn("_table", F.lit("t"))
+    flag = lambda only: sorted((r.arrival, (r["data"] or {}).get("is_new_visitor"))
+                               for r in flag_new_visitors(df, only).collect())
+    assert flag(True) == [(1, "1"), (2, None), (3, "0"), (4, None)]
+    assert flag(False) == [(1, "1"), (2, "1"), (3, "0"), (4, None)]
+    assert rows(visitor_split(df), "arrival", "stream") == [(1, "new"), (2, "new"), (3, "old")]
 
 
 # ---------------------------------------------------------------- skew-safe primitives
-def test_segmented_lag_and_prefix_max_equal_plain(spark):
+def test_split_hot_keys_equal_plain_windows(spark):
     rnd = random.Random(7)
     data = [(rnd.choice(["hot", "hot", "hot", "a", "b", None]), i, rnd.randint(0, 50)) for i in range(400)]
     df = spark.createDataFrame(data, "k string, arrival long, v long")
-    plain = keyed_lag(df, ["k"], ["arrival"], ["v"])
-    seg = keyed_lag(df, ["k"], ["arrival"], ["v"], segment=arrival_segment("arrival", 16))
-    assert rows(plain) == rows(seg)
-    p2 = keyed_prefix_max(df, ["k"], ["arrival"], "v")
-    s2 = keyed_prefix_max(df, ["k"], ["arrival"], "v", segment=arrival_segment("arrival", 16))
-    assert rows(p2) == rows(s2)
-
-
-def test_top_n_salted_equals_plain(spark):
+    assert rows(keyed_lag(df, ["k"], ["arrival"], ["v"])) == rows(keyed_lag(df, ["k"], ["arrival"], ["v"], hot_rows=30))
+    assert rows(keyed_prefix_max(df, ["k"], ["arrival"], "v")) == rows(keyed_prefix_max(df, ["k"], ["arrival"], "v", hot_rows=30))
+    assert rows(keyed_is_last(df, ["k"], ["arrival"])) == rows(keyed_is_last(df, ["k"], ["arrival"], hot_rows=30))
+
+
+def test_a_hot_key_is_dealt_to_many_tasks(spark):
+    """A key with a third of the rows: no window partition holds more than its share."""
+    from tidemill.operators import keyed as K
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                  F.col("id").alias("arrival"))
+    cold, hot = K._split_hot(df, ["k"], K.arrival_number(df, "arrival"), 100)
+    assert cold.where("k = 'hot'").count() == 0 and cold.count() + hot.count() == 3000
+    assert hot.groupBy("k", "__seg").count().agg(F.max("count")).first()[0] <= 101
+
+
+def test_retract_on_ties_and_two_partitions(spark):
+    same = spark.createDataFrame([("x", 1, 10.0), ("x", 1, 10.0)], "id string, arrival long, amt double")
+    out = D.retract_duplicates(same, ["id"], ["arrival"], ["amt"])
+    assert out.agg(F.sum("amt")).first()[0] == 10.0 and out.count() == 3
+    from tidemill.sources import kafka_records
+    raw = spark.createDataFrame([(1, 0, 5, b"a"), (1, 1, 5, b"b"), (0, 1, 9, b"c")], "t long, partition int, offset long, value binary")
+    topic = kafka_records(raw.withColumn("timestamp", F.timestamp_seconds("t")).drop("t"))
+    assert [r["value"] for r in topic.orderBy("arrival").collect()] == ["c", "a", "b"]
+    first = D.daily_unique(topic.withColumn("mid", F.lit("m")).withColumn("ts", F.lit(0).cast("long")), ["mid"], ["arrival"])
+    assert first.agg(F.sum("uv_ct")).first()[0] == 1
+
+
+def test_top_n(spark):
     rnd = random.Random(3)
-    df = spark.createDataFrame([(rnd.choice(["g1", "g2"]), i, rnd.randint(0, 9)) for i in range(300)],
-                               "g string, id long, score long")
-    order = [F.col("score").desc(), F.col("id").asc()]
-    assert rows(top_n(df, ["g"], order, 5)) == rows(top_n(df, ["g"], order, 5, salt_buckets=8))
-    assert top_n(df, ["g"], order, 5).count() == 10
+    data = [(rnd.choice(["g1", "g2"]), i, rnd.randint(0, 9)) for i in range(300)]
+    got = top_n(spark.createDataFrame(data, "g string, id long, score long"), ["g"], [F.col("score").desc(), F.col("id").asc()], 5)
+    want = [(g, i, s, k + 1) for g in ("g1", "g2")
+            for k, (_, i, s) in enumerate(sorted((x for x in data if x[0] == g), key=lambda x: (-x[2], x[1]))[:5])]
+    assert rows(got, "g", "id", "score", "ranking") == sorted(want)
 
 
 # ---------------------------------------------------------------- joins
@@ -255,14 +291,14 @@ def test_keyword_udtf_lateral(spark):
     assert got == sorted([(1, "élan"), (1, "vité"), (1, "zwei"), (1, "2x")])
 
 
-def test_segment_size_does_not_change_query_results(spark):
-    """The hot-key split is exact: tiny arrival segments give the same answer."""
+def test_hot_key_bound_does_not_change_query_results(spark):
+    """The hot-key split is exact: a tiny bound gives the same answer."""
     from tidemill.plans import queries as Q
     from conftest import SF_SMALL
     base = rows(Q.QUERIES["login_return_users"](spark, SF_SMALL))
-    spark.conf.set("spark.tidemill.segmentIds", "7")
+    spark.conf.set("spark.tidemill.hotRows", "3")
     try:
         tiny = rows(Q.QUERIES["login_return_users"](spark, SF_SMALL))
     finally:
-        spark.conf.unset("spark.tidemill.segmentIds")
+        spark.conf.unset("spark.tidemill.hotRows")
     assert base == tiny and len(base) > 0

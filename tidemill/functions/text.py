@@ -23,9 +23,9 @@ def is_empty(col) -> Column:
 
 
 def is_blank(col) -> Column:
-    """F13 isBlank: null or only white space."""
+    """F13 isBlank: null or only white space and control characters (up to U+0020)."""
     c = _c(col)
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | c.rlike(r"^[\x00-\x20]*$")
 
 
 def matches_allowed(col, pattern: str = r"^[\p{L}\p{N}\p{P}\p{Zs}\n\r\t]*$") -> Column:

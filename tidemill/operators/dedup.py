@@ -10,15 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.time import DAY_MS, ms_to_date_str, days_since_date
-from .keyed import (first_per_key, flag_first_per_key, flag_last_per_key, keyed_lag,
-                    keyed_prefix_max, _null_safe_join)
+from ..functions.time import days_since_date, ms_to_date_str
+from .keyed import _null_safe_join, keyed_is_last, keyed_lag, keyed_prefix_max
 
 __all__ = ["retract_duplicates", "keep_last", "monotone_latest", "exact_dedup", "dedup_on_keys",
            "repair_new_visitor", "daily_unique", "daily_unique_pairs", "daily_login",
-           "first_seen_flag", "latest_non_null"]
+           "latest_non_null"]
 
 
 def retract_duplicates(df: DataFrame, ids: Sequence[str], order: Sequence[str | Column],
@@ -28,28 +27,32 @@ def retract_duplicates(df: DataFrame, ids: Sequence[str], order: Sequence[str |
 
     In batch this is: every row, plus a negated copy of every row that is not
     the last of its id (the copy keeps the old row's fields, so it lands in the
-    old row's window and nets it to zero).
+    old row's window and nets it to zero).  One exchange by id: a window tells
+    the last row, and a row that is not last is exploded into itself and its copy.
     """
-    marked = flag_last_per_key(df, ids, order, "__is_last")
-    rows = df.withColumn(flag, F.lit(0))
-    retract = (marked.where(~F.col("__is_last")).drop("__is_last")
-               .select(*[(-F.col(c)).alias(c) if c in amounts else F.col(c) for c in df.columns])
-               .withColumn(flag, F.lit(1)))
-    return rows.unionByName(retract)
+    marked = keyed_is_last(df, ids, order, "__is_last")
+    row = F.struct(*[F.col(c) for c in df.columns], F.lit(0).alias(flag))
+    copy = F.struct(*[(-F.col(c)).cast(df.schema[c].dataType).alias(c) if c in amounts else F.col(c) for c in df.columns],
+                    F.lit(1).alias(flag))
+    both = F.when(F.col("__is_last"), F.array(row)).otherwise(F.array(row, copy))
+    return marked.select(F.explode(both).alias("__row")).select("__row.*")
+
+
+def _ranked_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row per key; planned as a group limit before the exchange."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def keep_last(df: DataFrame, ids: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """D2 hold-and-emit-last: one row per id, the one greatest in ``order``."""
-    ordkey = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    cols = [c for c in df.columns if c not in ids]
-    agg = df.groupBy(*ids).agg(F.max_by(F.struct(*cols), ordkey).alias("__row"))
-    return agg.select(*ids, "__row.*").select(*df.columns)
+    return _ranked_first(df, ids, [(F.col(o) if isinstance(o, str) else o).desc() for o in order])
 
 
 def monotone_latest(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
-                    ts: str = "ts_ms", segment: Column | None = None) -> DataFrame:
+                    ts: str = "ts_ms", hot_rows: int | None = None, arrival: str | Column | None = None) -> DataFrame:
     """D3: pass a row only if ``ts`` is greater than every earlier ``ts`` of its key."""
-    m = keyed_prefix_max(df, key, order, ts, segment, out="__prev_max")
+    m = keyed_prefix_max(df, key, order, ts, hot_rows, out="__prev_max", arrival=arrival)
     return m.where(F.col("__prev_max").isNull() | (F.col(ts) > F.col("__prev_max"))).drop("__prev_max")
 
 
@@ -60,10 +63,7 @@ def exact_dedup(df: DataFrame) -> DataFrame:
 
 def dedup_on_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """D5 (exact form of the Bloom filter): first row per ``keys`` in arrival order."""
-    ordkey = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    cols = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*cols), ordkey).alias("__row"))
-    return agg.select(*keys, "__row.*").select(*df.columns)
+    return _ranked_first(df, keys, [F.col(o) if isinstance(o, str) else o for o in order])
 
 
 def repair_new_visitor(df: DataFrame, mid: str, order: Sequence[str | Column], ts_ms: str = "ts",
@@ -73,14 +73,13 @@ def repair_new_visitor(df: DataFrame, mid: str, order: Sequence[str | Column], t
     record on another date is corrected to ``'0'``.
     """
     out = out or is_new
-    first = first_per_key(df, [mid], order, [ts_ms, is_new], prefix="__f_")
-    state = first.select(
-        mid,
-        F.when(F.col(f"__f_{is_new}") == "1", ms_to_date_str(f"__f_{ts_ms}", tz))
-         .otherwise(ms_to_date_str(F.col(f"__f_{ts_ms}") - DAY_MS, tz)).alias("__first_date"))
+    day = F.datediff(ms_to_date_str(ts_ms, tz).cast("date"), F.lit("1970-01-01").cast("date"))
+    # fixed-width buffers (a day number by the least arrival) keep this a hash aggregate
+    at = F.col(order[0]) if isinstance(order[0], str) else order[0]
+    by = at if len(order) == 1 else F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    state = df.groupBy(mid).agg(F.min_by(day - F.when(F.col(is_new) == "1", 0).otherwise(1), by).alias("__first_day"))
     j = _null_safe_join(df, state, [mid])
-    fixed = (F.when((F.col(is_new) == "1") & (F.col("__first_date") != ms_to_date_str(ts_ms, tz)), F.lit("0"))
-             .otherwise(F.col(is_new)))
+    fixed = F.when((F.col(is_new) == "1") & (F.col("__first_day") != day), F.lit("0")).otherwise(F.col(is_new))
     cols = [fixed.alias(out) if c == out else F.col(c) for c in df.columns]
     if out not in df.columns:
         cols.append(fixed.alias(out))
@@ -88,22 +87,22 @@ def repair_new_visitor(df: DataFrame, mid: str, order: Sequence[str | Column], t
 
 
 def daily_unique(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], ts_ms: str = "ts",
-                 out: str = "uv_ct", tz: str = "UTC", segment: Column | None = None) -> DataFrame:
+                 out: str = "uv_ct", tz: str = "UTC", hot_rows: int | None = None) -> DataFrame:
     """``out`` = 1 when the key's previous record (arrival order) is on
     another date or there is none, else 0 (state = last visit date)."""
     d = df.withColumn("__date", ms_to_date_str(ts_ms, tz))
-    lagged = keyed_lag(d, key, order, ["__date"], segment)
+    lagged = keyed_lag(d, key, order, ["__date"], hot_rows)
     flag = (F.col("__date_prev").isNull() | (F.col("__date_prev") != F.col("__date"))).cast("long")
     return lagged.select(*[F.col(c) for c in df.columns], flag.alias(out))
 
 
 def daily_unique_pairs(df: DataFrame, mid: str, page: str, order: Sequence[str | Column],
                        gates: dict[str, str], ts_ms: str = "ts", tz: str = "UTC",
-                       segment: Column | None = None) -> DataFrame:
+                       hot_rows: int | None = None) -> DataFrame:
     """One independent daily gate per (device, page) for each page in ``gates``
     (page value -> output column); rows where no gate fires are dropped."""
     g = daily_unique(df.where(F.col(page).isin(list(gates))), [mid, page], order, ts_ms,
-                     "__fire", tz, segment)
+                     "__fire", tz, hot_rows)
     outs = [F.when((F.col(page) == p) & (F.col("__fire") == 1), 1).otherwise(0).cast("long").alias(o)
             for p, o in gates.items()]
     res = g.select("*", *outs).drop("__fire")
@@ -111,12 +110,12 @@ def daily_unique_pairs(df: DataFrame, mid: str, page: str, order: Sequence[str |
 
 
 def daily_login(df: DataFrame, uid: str, order: Sequence[str | Column], ts_ms: str = "ts",
-                back_days: int = 8, tz: str = "UTC", segment: Column | None = None) -> DataFrame:
+                back_days: int = 8, tz: str = "UTC", hot_rows: int | None = None) -> DataFrame:
     """``uu_ct`` = first login of the day; ``back_ct`` = that login comes
     ``back_days`` or more whole days after the previous login date.  Only rows
     with ``uu_ct = 1`` are emitted (as in the reference)."""
     d = df.withColumn("__date", ms_to_date_str(ts_ms, tz))
-    lagged = keyed_lag(d, [uid], order, ["__date"], segment)
+    lagged = keyed_lag(d, [uid], order, ["__date"], hot_rows)
     uu = F.col("__date_prev").isNull() | (F.col("__date_prev") != F.col("__date"))
     back = F.col("__date_prev").isNotNull() & uu & (days_since_date(ts_ms, "__date_prev", tz) >= back_days)
     res = lagged.select(*[F.col(c) for c in df.columns], uu.cast("long").alias("uu_ct"),
@@ -124,29 +123,6 @@ def daily_login(df: DataFrame, uid: str, order: Sequence[str | Column], ts_ms: s
     return res.where((F.col("uu_ct") == 1) | (F.col("back_ct") == 1))
 
 
-def first_seen_flag(df: DataFrame, visitor: str, order: Sequence[str | Column],
-                    has_field: str | Column | None = None, target: str = "is_new_visitor",
-                    only_if_present: bool = True) -> DataFrame:
-    """Global set of seen visitor ids; a record is new when its visitor
-    id has not been seen before (over every record that carries one).
-
-    ``only_if_present=True`` (U2) writes the flag only where ``has_field`` is
-    true; ``False`` (U3) writes it on every record with a visitor id.
-    """
-    carrying = df.where(F.col(visitor).isNotNull())
-    flagged = flag_first_per_key(carrying, [visitor], order, "__first")
-    flagged = flagged.unionByName(df.where(F.col(visitor).isNull()).withColumn("__first", F.lit(None).cast("boolean")))
-    new_val = F.col("__first").cast("int")
-    if only_if_present and has_field is not None:
-        hf = F.col(has_field) if isinstance(has_field, str) else has_field
-        cur = F.col(target) if target in df.columns else F.lit(None).cast("int")
-        new_val = F.when(hf & F.col("__first").isNotNull(), new_val).otherwise(cur)
-    cols = [new_val.alias(target) if c == target else F.col(c) for c in df.columns]
-    if target not in df.columns:
-        cols.append(new_val.alias(target))
-    return flagged.select(*cols)
-
-
 def latest_non_null(df: DataFrame, key: Sequence[str], order: str | Column,
                     columns: Sequence[str], skip_op: str | None = None) -> DataFrame:
     """One row per key; each column is its latest non-null value

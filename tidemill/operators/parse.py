@@ -8,7 +8,7 @@ input once and writes each projection, so the JSON is parsed a single time.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 __all__ = ["APP_LOG_SCHEMA", "CDC_SCHEMA", "drop_null_payload", "split_dirty", "split_log",
            "unpack_cdc", "route_by_table", "ODS_TABLES"]
@@ -46,16 +46,48 @@ def drop_null_payload(df: DataFrame, value: str = "value") -> DataFrame:
 def split_dirty(raw: DataFrame, schema: StructType | str = APP_LOG_SCHEMA, value: str = "value",
                 keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Records whose payload is not a JSON object go to ``dirty`` verbatim;
-    the rest are parsed with ``schema`` into ``clean`` (its fields + ``keep``)."""
+    the rest are parsed with ``schema`` into ``clean`` (its fields + ``keep``).
+
+    One parse serves both: the scalar fields are read as strings (as the
+    reference's coercing getters take them) and cast afterwards, so a record is
+    dirty only if its text is malformed, and numbers in quotes count as numbers.
+    """
     v = F.col(value)
-    ok = F.try_parse_json(v).isNotNull() & F.ltrim(v).startswith("{")
-    tagged = raw.withColumn("__ok", F.coalesce(ok, F.lit(False)))
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    loose = StructType([*[StructField(f.name, _loose(f.dataType)) for f in wanted.fields], StructField(_BAD, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "maxStringLen": str(2**31 - 1)}
+    tagged = raw.withColumn("__r", F.from_json(v, loose, options))
+    ok = F.coalesce(F.col(f"__r.{_BAD}").isNull() & F.col("__r").isNotNull() & v.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
+    tagged = tagged.withColumn("__ok", ok)
     dirty = tagged.where(~F.col("__ok")).select(*keep, value)
-    clean = (tagged.where(F.col("__ok"))
-             .select(*keep, F.from_json(v, schema).alias("__r")).select(*keep, "__r.*"))
+    clean = tagged.where(F.col("__ok")).select(
+        *keep, *[_strict(F.col(f"__r.{f.name}"), f.dataType).alias(f.name) for f in wanted.fields])
     return {"dirty": dirty, "clean": clean}
 
 
+_BAD = "__corrupt"
+
+
+def _loose(kind: DataType) -> DataType:
+    """The same shape with every scalar as a string."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _loose(f.dataType)) for f in kind.fields])
+    if isinstance(kind, (ArrayType, MapType)):
+        return kind
+    return StringType()
+
+
+def _strict(col: Column, kind: DataType) -> Column:
+    """Cast the strings of a loosely parsed column; what is no such value becomes null."""
+    if isinstance(kind, StructType):
+        if _loose(kind) == kind:
+            return col
+        return F.when(col.isNotNull(), F.struct(*[_strict(col[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, (ArrayType, MapType, StringType)):
+        return col
+    return F.trim(col).try_cast(kind)
+
+
 def split_log(log: DataFrame, keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """The log splitter.
 
@@ -98,10 +130,3 @@ def route_by_table(df: DataFrame, routes: dict[str, str] | None = None, table: s
     routes = routes or {t: topic_prefix + t for t in ODS_TABLES}
     m = F.create_map(*[x for a, b in routes.items() for x in (F.lit(a), F.lit(b))])
     return df.withColumn("topic", m[F.col(table)]).where(F.col("topic").isNotNull()).drop(table)
-
-
-def field(data: str | Column, name: str, dtype: str = "string") -> Column:
-    """Coercing getter on a row image (``getLong``/``getString``)."""
-    d = F.col(data) if isinstance(data, str) else data
-    v = d[name]
-    return v if dtype == "string" else v.try_cast(dtype)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-__all__ = ["top_n", "newest_n", "scan_limit"]
+__all__ = ["top_n", "newest_n"]
 
 
 def _cols(xs) -> list[Column]:
@@ -21,31 +21,17 @@ def _cols(xs) -> list[Column]:
 
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int,
-          rank_col: str = "ranking", salt_buckets: int = 0,
-          salt_on: Sequence[str] | None = None) -> DataFrame:
+          rank_col: str = "ranking") -> DataFrame:
     """Keep the first ``n`` rows of each group in ``order`` and number them 1..n.
 
-    ``order`` must be total inside a group (add tie-breakers).
-    ``salt_buckets > 1`` enables the two-level ranking for hot groups.
+    ``order`` must be total inside a group (add tie-breakers).  Spark plans a rank filter
+    as a group limit before the exchange, so a hot group sends at most ``n`` rows a task.
     """
-    group = list(group)
-    order_c = _cols(order)
-    src = df
-    if salt_buckets and salt_buckets > 1:
-        cols = salt_on or [c for c in df.columns if c not in group]
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
-        w1 = Window.partitionBy(*group, "__salt").orderBy(*order_c)
-        src = salted.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= n).drop("__r1", "__salt")
-    w = Window.partitionBy(*group).orderBy(*order_c)
-    return src.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= n)
+    w = Window.partitionBy(*group).orderBy(*_cols(order))
+    return df.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= n)
 
 
 def newest_n(df: DataFrame, time_col: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
     """T4: ``ORDER BY time DESC LIMIT n`` (planned as TakeOrderedAndProject:
     each task keeps its own top n, the driver merges n x tasks rows)."""
     return df.orderBy(F.col(time_col).desc(), *[F.col(t).desc() for t in tie]).limit(n)
-
-
-def scan_limit(df: DataFrame, n: int) -> DataFrame:
-    """T5: first ``n`` rows of a scan (the limit is the feature here)."""
-    return df.limit(n)

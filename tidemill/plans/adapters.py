@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.parse import APP_LOG_SCHEMA  # noqa: F401 - the schema the log topic is parsed with
+#: Raise it when a rule that builds a topic changes.
+ADAPTER_VERSION = 2
 
 __all__ = ["load", "events_base", "app_log_fields", "app_log_json", "ods_fields", "cdc_envelopes",
            "order_details", "DIALECT", "APP_LOG", "ODS", "ODS_COLUMNS", "SQL"]
@@ -143,30 +144,25 @@ def topic_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 
     A topic is data at rest in the reference too; writing it also cuts the
     lineage so the optimizer cannot inline the record-building expressions
-    into every downstream filter.  The folder name carries the source path and
-    the source files' sizes and times, so a changed input gets a new topic.
+    into every downstream filter.  The folder name carries the source path, the
+    sizes and times of all its files as the file system reports them, and
+    ``ADAPTER_VERSION``, so a changed input or rule gets a new topic.
     """
     import hashlib
-    import os
 
     from ..session import checkpoint_dir
 
     src = sf_dir.rstrip("/")
-    stamp = []
-    for t in ("events", "lineitem", "documents"):
-        f = f"{src}/{t}.parquet"
-        if os.path.exists(f):
-            st = os.stat(f)
-            stamp.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
-    key = hashlib.sha1(f"{src}|{'|'.join(stamp)}".encode()).hexdigest()[:16]
-    path = os.path.join(checkpoint_dir(spark), "topics", f"{name}-{key}")
-    try:
-        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        done = fs.exists(jpath.suffix("/_SUCCESS"))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): local path check
-        done = os.path.exists(os.path.join(path, "_SUCCESS"))
-    if not done:
+    fs_of, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(src)
+    stamp = [str(ADAPTER_VERSION), src]
+    for table in sorted(folder.getFileSystem(fs_of).listStatus(folder), key=lambda x: x.getPath().getName()):
+        files = table.getPath().getFileSystem(fs_of).listStatus(table.getPath())
+        stamp += sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files)
+    key = hashlib.sha256("|".join(stamp).encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/topics/{name}-{key}"
+    done = hadoop.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(fs_of).exists(done):
         build(spark, sf_dir).write.mode("overwrite").parquet(path)
     return path
 
@@ -213,12 +209,6 @@ def app_log_json(events: DataFrame, corrupt: bool = True) -> DataFrame:
     return staged.select("arrival", js.alias("value"))
 
 
-def parse_app_log(topic: DataFrame) -> DataFrame:
-    """Parse the topic's JSON with the fixed app-log schema (keeps ``arrival``)."""
-    return (topic.select("arrival", F.from_json("value", APP_LOG_SCHEMA).alias("r"))
-            .select("arrival", "r.*"))
-
-
 def ods_fields(events: DataFrame) -> DataFrame:
     """Flat ODS fields per event (table, op and every candidate column)."""
     return events_base(events).selectExpr("event_id", "ts", "ts_ms", "k",

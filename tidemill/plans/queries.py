@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.keyed import arrival_segment
 from ..operators.parse import split_dirty, split_log
 from . import adapters as AD
 from . import retail as R
@@ -19,13 +18,6 @@ from . import retail as R
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-# Arrival ids per segment of the skew-safe keyed state (see operators.keyed).  Small
-# enough that the checks exercise the segment hand-over; on a cluster set
-# ``spark.tidemill.segmentIds`` to a few million so each (key, segment) group is a
-# task-sized slice of a hot key while the per-segment summary stays small.
-SEGMENT_IDS = 4096
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -35,13 +27,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _seg():
-    from pyspark.sql import SparkSession
-    active = SparkSession.getActiveSession()
-    ids = int(active.conf.get("spark.tidemill.segmentIds", str(SEGMENT_IDS))) if active else SEGMENT_IDS
-    return arrival_segment("arrival", ids)
-
-
 # ---------------------------------------------------------------- shared Spark stages
 
 def app_log_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -93,7 +78,7 @@ SELECT {_bounds('10 seconds')}, vc, ch, ar, is_new,
 FROM b GROUP BY ALL
 """)
 def q_page_view_window(spark, sf_dir):
-    return R.page_view_job(page_rows(spark, sf_dir), segment=_seg())
+    return R.page_view_job(page_rows(spark, sf_dir))
 
 
 def _bounds_key(width: str, ts: str) -> str:
@@ -114,7 +99,7 @@ SELECT {_bounds('5 seconds')}, CAST(sum(h) AS BIGINT) AS home_uv_ct, CAST(sum(g)
 FROM f WHERE h + g > 0 GROUP BY ALL
 """)
 def q_home_detail_uv(spark, sf_dir):
-    return R.home_detail_job(page_rows(spark, sf_dir), segment=_seg())
+    return R.home_detail_job(page_rows(spark, sf_dir))
 
 
 @register("login_return_users", f"""
@@ -128,7 +113,7 @@ SELECT {_bounds('1 second')}, CAST(sum(back) AS BIGINT) AS back_ct, CAST(sum(uu)
 FROM f WHERE uu = 1 OR back = 1 GROUP BY ALL
 """)
 def q_login_return_users(spark, sf_dir):
-    return R.login_job(page_rows(spark, sf_dir), segment=_seg())
+    return R.login_job(page_rows(spark, sf_dir))
 
 
 _CART = f"(SELECT event_id AS arrival, user_id, ts_ms FROM {AD.SQL('base')} b WHERE event_type = 'purchase')"
@@ -145,7 +130,7 @@ SELECT {_bounds('5 seconds')}, CAST(count(*) AS BIGINT) AS cart_add_uu_ct
 FROM b WHERE pd IS NULL OR pd <> d GROUP BY ALL
 """)
 def q_cart_unique_users(spark, sf_dir):
-    return R.cart_job(cart_adds(spark, sf_dir), segment=_seg())
+    return R.cart_job(cart_adds(spark, sf_dir))
 
 
 @register("new_visitor_repair", f"""
@@ -354,15 +339,18 @@ def q_province_order_window(spark, sf_dir):
 from . import traffic as G  # noqa: E402
 
 
-def ods(spark, sf_dir):
-    """Change-envelope topic at rest -> U1 + U2 + P18."""
-    env = AD.topic(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
-    return G.ods_records(env)
+def envelopes(spark, sf_dir):
+    return AD.topic(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
+
+
+def ods(spark, sf_dir, flag: bool = True):
+    """Change-envelope topic at rest -> U1 + U2 (where the flag is read) + P18."""
+    return G.ods_records(envelopes(spark, sf_dir), flag=flag)
 
 
 def _dwd(spark, sf_dir):
-    o = ods(spark, sf_dir)
-    return {"uv": G.dwd_user_visit(o), "pi": G.dwd_product_interaction(o), "pay": G.dwd_order_pay(o),
+    o = ods(spark, sf_dir, flag=False)
+    return {"uv": G.dwd_user_visit(ods(spark, sf_dir)), "uv_plain": G.dwd_user_visit(o), "pi": G.dwd_product_interaction(o), "pay": G.dwd_order_pay(o),
             "se": G.dwd_search(o), "pc": G.dwd_page_click(o), "cr": G.dwd_crowd_attribute(o)}
 
 
@@ -380,7 +368,7 @@ uv AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_ti
               traffic_source_first, traffic_source_second, CAST(first_flag AS INTEGER) AS is_new_visitor,
               CAST(page_view AS INTEGER) AS page_view, CAST(stay_time AS INTEGER) AS stay_time,
               {_HOUR} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
-       FROM f WHERE tbl = 'ods_user_visit_log' AND trim(visitor_id) <> '' AND evt_time IS NOT NULL),
+       FROM f WHERE tbl = 'ods_user_visit_log' AND NOT regexp_full_match(visitor_id, '[\\x00-\\x20]*') AND evt_time IS NOT NULL),
 pi AS (SELECT event_id AS arrival, CAST(log_id AS BIGINT) AS log_id, CAST(evt_time AS BIGINT) AS interact_time,
               visitor_id, terminal_type, CAST(product_id AS BIGINT) AS product_id, interact_type,
               CAST(is_cancel AS INTEGER) AS is_cancel, {_HOUR} AS stat_time, CAST(10001 AS BIGINT) AS shop_id
@@ -455,6 +443,17 @@ def q_first_seen_flag(spark, sf_dir):
     return u.select("arrival", d["visitor_id"].alias("visitor_id"), d["is_new_visitor"].alias("is_new_visitor"))
 
 
+@register("visitor_split", f"""
+WITH {_G}
+SELECT event_id AS arrival, tbl, vid AS visitor_id, CASE WHEN first_flag = '1' THEN 'new' ELSE 'old' END AS stream
+FROM f WHERE vid IS NOT NULL
+""")
+def q_visitor_split(spark, sf_dir):
+    from ..operators.parse import unpack_cdc
+    split = G.visitor_split(unpack_cdc(envelopes(spark, sf_dir), keep=("arrival",)))
+    return split.select("arrival", F.col("_table").alias("tbl"), F.col("data")["visitor_id"].alias("visitor_id"), "stream")
+
+
 for _name, _key, _cte in [("dwd_user_visit", "uv", "uv"), ("dwd_product_interaction", "pi", "pi"),
                           ("dwd_order_pay", "pay", "pay"), ("dwd_search", "se", "se"),
                           ("dwd_page_click", "pc", "pc"), ("dwd_crowd_attribute", "cr", "cr")]:
@@ -467,9 +466,9 @@ _ARRAYS = ["sub_source_list", "traffic_source_json", "module_click_json", "guide
 
 def _dws(spark, sf_dir):
     w = _dwd(spark, sf_dir)
-    return {"ov": G.dws_traffic_overview(w["uv"]), "src": G.dws_traffic_source(w["uv"]),
-            "kw": G.dws_keyword(w["se"]), "pt": G.dws_product_traffic(w["uv"]),
-            "pg": G.dws_page_traffic(w["uv"]), "cf": G.dws_crowd_feature(w["cr"])}
+    return {"ov": G.dws_traffic_overview(w["uv"]), "src": G.dws_traffic_source(w["uv_plain"]),
+            "kw": G.dws_keyword(w["se"]), "pt": G.dws_product_traffic(w["uv_plain"]),
+            "pg": G.dws_page_traffic(w["uv_plain"]), "cf": G.dws_crowd_feature(w["cr"])}
 
 
 for _name, _key in [("dws_traffic_overview", "ov"), ("dws_traffic_source", "src"), ("dws_keyword", "kw"),
@@ -695,7 +694,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts_ms FROM x WHERE prev_m
 def q_dedup_latest_ts(spark, sf_dir):
     li = AD.load(spark, sf_dir, "lineitem").withColumn(
         "ts_ms", F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate"))
-    out = D.monotone_latest(li, ["l_orderkey"], _D3_ORDER, "ts_ms", segment=F.col("l_linenumber").cast("long"))
+    place = F.col("l_linenumber") * 100_000 + F.datediff("l_shipdate", F.lit("1970-01-01").cast("date"))
+    out = D.monotone_latest(li, ["l_orderkey"], _D3_ORDER, "ts_ms", arrival=place)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ts_ms")
 
 
@@ -741,7 +741,7 @@ _ALLOWED = r"[\p{L}\p{N}\p{P}\p{Zs}\n\r\t]*"
 
 
 @register("quality_filter", f"""
-SELECT doc_id, lang, text IS NULL OR trim(text) = '' AS is_blank,
+SELECT doc_id, lang, text IS NULL OR regexp_full_match(text, '[\\x00-\\x20]*') AS is_blank,
        coalesce(regexp_full_match(text, '{_ALLOWED}'), false) AS allowed_chars
 FROM documents
 """)

@@ -7,7 +7,7 @@ Each job is a ``DataFrame -> DataFrame`` function over already-parsed records
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import is_empty, word_tokens
 from ..functions.time import ms_to_wall
@@ -31,12 +31,12 @@ def flatten_page(page_stream: DataFrame) -> DataFrame:
 
 
 def page_view_job(pages: DataFrame, size: str = "10 seconds", tz: str = "UTC",
-                  segment: Column | None = None) -> DataFrame:
+                  hot_rows: int | None = None) -> DataFrame:
     """D7 + A6: per (vc, ch, ar, is_new) and 10 s event window — unique visitors
     (first page of a device per day), sessions (no last page), page views, duration."""
     beans = daily_unique(pages.select("arrival", "mid", "vc", "ch", "ar", "is_new", "last_page_id",
                                       "during_time", "ts"),
-                         ["mid"], ["arrival"], "ts", "uv_ct", tz, segment)
+                         ["mid"], ["arrival"], "ts", "uv_ct", tz, hot_rows)
     beans = beans.select("vc", "ch", "ar", "is_new", "uv_ct",
                          is_empty("last_page_id").cast("long").alias("sv_ct"),
                          F.lit(1).cast("long").alias("pv_ct"),
@@ -46,32 +46,32 @@ def page_view_job(pages: DataFrame, size: str = "10 seconds", tz: str = "UTC",
 
 
 def home_detail_job(pages: DataFrame, size: str = "5 seconds", tz: str = "UTC",
-                    segment: Column | None = None) -> DataFrame:
+                    hot_rows: int | None = None) -> DataFrame:
     """P15 + D8 + A4: daily-unique home and good_detail visitors per 5 s window."""
     fired = daily_unique_pairs(pages.select("arrival", "mid", "page_id", "ts"), "mid", "page_id",
                                ["arrival"], {"home": "home_uv_ct", "good_detail": "good_detail_uv_ct"},
-                               "ts", tz, segment)
+                               "ts", tz, hot_rows)
     fired = fired.withColumn("et", ms_to_wall("ts"))
     return A.global_sum_window(fired, "et", size, {"home_uv_ct": "home_uv_ct",
                                                    "good_detail_uv_ct": "good_detail_uv_ct"})
 
 
 def login_job(pages: DataFrame, size: str = "1 second", tz: str = "UTC", back_days: int = 8,
-              segment: Column | None = None, time_col: str = "ts") -> DataFrame:
+              hot_rows: int | None = None, time_col: str = "ts") -> DataFrame:
     """P16 + D10 + A5: logins (uid set, coming from the login page or starting a
     session), daily-unique and returning (>= 8 days) users per 1 s window of
     arrival (processing) time; ``time_col`` is the ms column used as that time."""
     logins = pages.where(~is_empty("uid") & ((F.col("last_page_id") == "login") | is_empty("last_page_id")))
-    beans = daily_login(logins.select("arrival", "uid", "ts"), "uid", ["arrival"], "ts", back_days, tz, segment)
+    beans = daily_login(logins.select("arrival", "uid", "ts"), "uid", ["arrival"], "ts", back_days, tz, hot_rows)
     beans = beans.withColumn("pt", ms_to_wall(time_col))
     return A.global_sum_window(beans, "pt", size, {"back_ct": "back_ct", "uu_ct": "uu_ct"})
 
 
 def cart_job(cart_adds: DataFrame, size: str = "5 seconds", tz: str = "UTC",
-             segment: Column | None = None) -> DataFrame:
+             hot_rows: int | None = None) -> DataFrame:
     """D9 + A3: daily-unique cart users counted per 5 s window (arrival time)."""
     g = daily_unique(cart_adds.select("arrival", "user_id", "ts"), ["user_id"], ["arrival"], "ts",
-                     "__uu", tz, segment)
+                     "__uu", tz, hot_rows)
     g = g.where(F.col("__uu") == 1).withColumn("pt", ms_to_wall("ts"))
     return A.global_count_window(g, "pt", size, "cart_add_uu_ct")
 

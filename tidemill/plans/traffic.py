@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import is_blank
 from ..functions.time import ms_to_date_str, ms_to_wall, stat_day_ms, stat_hour_ms
 from ..operators import aggregate as A
-from ..operators.keyed import flag_first_per_key
 from ..operators.parse import route_by_table, unpack_cdc
 from ..operators.topn import top_n
 
-__all__ = ["ods_records", "flag_new_visitors", "dwd_user_visit", "dwd_product_interaction", "dwd_order_pay",
+__all__ = ["ods_records", "flag_new_visitors", "first_seen", "visitor_split", "dwd_user_visit", "dwd_product_interaction", "dwd_order_pay",
            "dwd_search", "dwd_page_click", "dwd_crowd_attribute", "dws_traffic_overview", "dws_traffic_source",
            "dws_keyword", "dws_product_traffic", "dws_page_traffic", "dws_crowd_feature", "SHOP_ID",
            "ads_traffic_summary", "ads_traffic_source_topn", "ads_keyword_topn", "ads_product_topn",
@@ -27,17 +26,23 @@ __all__ = ["ods_records", "flag_new_visitors", "dwd_user_visit", "dwd_product_in
 SHOP_ID = 10001  # the reference's literal shop id (ledger Q8); a parameter everywhere
 
 
+def first_seen(unpacked: DataFrame, vid: str = "__vid", out: str = "__first") -> DataFrame:
+    """Add ``vid`` (the row image's visitor id, null without one) and ``out``: whether no earlier
+    record (arrival order, any table) carried it.  One map-side combined minimum per id and one
+    left join; a null id matches nothing and stays null."""
+    data = F.col("data")
+    carrying = unpacked.withColumn(vid, F.when(F.map_contains_key(data, "visitor_id"), data["visitor_id"]))
+    first = (carrying.where(F.col(vid).isNotNull()).groupBy(F.col(vid).alias("__id")).agg(F.min("arrival").alias("__at")))
+    return (carrying.join(first, F.col(vid) == F.col("__id"), "left")
+            .withColumn(out, F.when(F.col("__id").isNotNull(), F.col("arrival") == F.col("__at"))).drop("__id", "__at"))
+
+
 def flag_new_visitors(unpacked: DataFrame, only_if_present: bool = True) -> DataFrame:
     """U2 (``only_if_present=True``) / U3: a record is a new visitor when no
     earlier record (arrival order, any table) carried its ``visitor_id``.
     U2 overwrites ``is_new_visitor`` only where the row image has that field;
     U3 sets it on every record that has a visitor id."""
     data = F.col("data")
-    vid = F.when(F.map_contains_key(data, "visitor_id"), data["visitor_id"])
-    carrying = unpacked.withColumn("__vid", vid)
-    with_vid = flag_first_per_key(carrying.where(F.col("__vid").isNotNull()), ["__vid"], ["arrival"], "__first")
-    without = carrying.where(F.col("__vid").isNull()).withColumn("__first", F.lit(None).cast("boolean"))
-    both = with_vid.unionByName(without)
     flag = F.when(F.col("__first"), F.lit("1")).otherwise(F.lit("0"))
     if only_if_present:
         new = F.when(F.col("__first").isNotNull() & F.map_contains_key(data, "is_new_visitor"),
@@ -47,12 +52,20 @@ def flag_new_visitors(unpacked: DataFrame, only_if_present: bool = True) -> Data
         new = F.when(F.col("__first").isNotNull(),
                      F.map_concat(F.map_filter(data, lambda k, v: k != "is_new_visitor"),
                                   F.create_map(F.lit("is_new_visitor"), flag))).otherwise(data)
-    return both.withColumn("data", new).drop("__vid", "__first")
+    return first_seen(unpacked).withColumn("data", new).drop("__vid", "__first")
+
+
+def visitor_split(unpacked: DataFrame) -> DataFrame:
+    """U2's tagged side streams: every record with a visitor id, ``stream`` = 'new' or 'old'."""
+    seen = first_seen(unpacked).where(F.col("__vid").isNotNull())
+    return seen.withColumn("stream", F.when(F.col("__first"), "new").otherwise("old")).drop("__vid", "__first")
 
 
-def ods_records(envelopes: DataFrame, topic_prefix: str = "") -> DataFrame:
-    """U1 + U2 + P18: unpack, flag new visitors, route to a topic per table."""
-    return route_by_table(flag_new_visitors(unpack_cdc(envelopes, keep=("arrival",))), topic_prefix=topic_prefix)
+def ods_records(envelopes: DataFrame, topic_prefix: str = "", flag: bool = True) -> DataFrame:
+    """U1 + U2 + P18: unpack, flag new visitors, route to a topic per table.  ``flag=False`` leaves
+    U2 out, for readers that do not use ``is_new_visitor``."""
+    unpacked = unpack_cdc(envelopes, keep=("arrival",))
+    return route_by_table(flag_new_visitors(unpacked) if flag else unpacked, topic_prefix=topic_prefix)
 
 
 # ---------------------------------------------------------------- DWD
@@ -217,19 +230,19 @@ def ads_traffic_summary(overview: DataFrame) -> DataFrame:
 def ads_traffic_source_topn(source: DataFrame, n: int = 10) -> DataFrame:
     agg = A.ads_traffic_source(_pt(source, "visit_time"))
     return top_n(agg, ["stat_time", "terminal_type", "shop_id", "window_start"],
-                 [F.col("total_visitor").desc(), F.col("traffic_source").asc_nulls_first()], n, salt_buckets=4)
+                 [F.col("total_visitor").desc(), F.col("traffic_source").asc_nulls_first()], n)
 
 
 def ads_keyword_topn(keyword: DataFrame, n: int = 20) -> DataFrame:
     agg = A.ads_keyword(_pt(keyword, "search_time"))
     return top_n(agg, ["stat_time", "stat_dimension", "terminal_type", "shop_id", "window_start"],
-                 [F.col("total_search_visitor").desc(), F.col("keyword").asc_nulls_first()], n, salt_buckets=4)
+                 [F.col("total_search_visitor").desc(), F.col("keyword").asc_nulls_first()], n)
 
 
 def ads_product_topn(product: DataFrame, n: int = 15) -> DataFrame:
     agg = A.ads_product(_pt(product, "visit_time"))
     return top_n(agg, ["stat_time", "terminal_type", "shop_id", "window_start"],
-                 [F.col("total_visitor").desc(), F.col("product_id").asc_nulls_first()], n, salt_buckets=4)
+                 [F.col("total_visitor").desc(), F.col("product_id").asc_nulls_first()], n)
 
 
 def ads_page_performance(page: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Spark session defaults and the shared checkpoint folder.
 
 The defaults are chosen for a large cluster: AQE re-plans joins and partition
-counts at runtime (including skew-join splitting), shuffle partitions are sized
-from the input, and the session time zone is UTC so that every epoch-millisecond
+counts at runtime (including skew-join splitting), :func:`shuffle_partitions_for` sizes
+shuffle partitions from the bytes of the input, and the session time zone is UTC so that every epoch-millisecond
 conversion is repeatable.  Nothing here is needed for correctness: every query
 in :mod:`tidemill.plans` is written to be time-zone independent.
 """
@@ -60,8 +60,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a shared file system every
-    executor can reach).  Only when it is unset — local tests — a fresh local
-    folder is created and registered.
+    executor can reach).  Only when it is unset on a local master (tests) a fresh
+    local folder is created and registered; elsewhere that is an error, since
+    executors could not read each other's files.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -71,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not cur and sc is not None:
         cur = sc.getCheckpointDir()
     if not cur:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         cur = tempfile.mkdtemp(prefix="tidemill-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc is not None and not sc.getCheckpointDir():
@@ -78,6 +82,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def shuffle_partitions_for(spark: SparkSession, path: str, mb: int = 128, least: int = 8) -> int:
+    """Shuffle partitions for an input folder: its bytes over ``mb`` each (AQE coalesces from there)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return max(least, -(-fs.getContentSummary(jpath).getLength() // (mb << 20)))
+
+
 def state_dir(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint location under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)

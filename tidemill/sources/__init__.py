@@ -19,15 +19,19 @@ __all__ = ["read_topic", "topic_table", "read_jdbc", "read_json_lines", "scan_li
 def read_topic(spark: SparkSession, topic: str, *, kafka_servers: str | None = None, path: str | None = None,
                starting_offsets: str = "earliest", schema: str = "arrival long, value string",
                fmt: str = "parquet", stream: bool = True, files_per_trigger: int | None = None,
-               null_safe: bool = True) -> DataFrame:
-    """A topic as ``(arrival, value)``; ``arrival`` is the Kafka offset
-    (or the stored arrival column of a directory topic).  Null payloads are
-    dropped when ``null_safe`` (S2)."""
+               null_safe: bool = True, offsets_per_trigger: int | None = None) -> DataFrame:
+    """A topic as ``(arrival, value)``.  An offset is unique only inside a
+    partition, so a Kafka record's ``arrival`` is a sortable string of timestamp,
+    partition and offset; a directory topic stores its own arrival column.  Null payloads
+    are dropped when ``null_safe`` (S2); ``files_per_trigger`` and ``offsets_per_trigger``
+    bound a micro-batch."""
     if kafka_servers:
         r = spark.readStream if stream else spark.read
         df = (r.format("kafka").option("kafka.bootstrap.servers", kafka_servers).option("subscribe", topic)
-              .option("startingOffsets", starting_offsets).load()
-              .select(F.col("offset").alias("arrival"), F.col("value").cast("string").alias("value")))
+              .option("startingOffsets", starting_offsets))
+        if stream and offsets_per_trigger:
+            df = df.option("maxOffsetsPerTrigger", offsets_per_trigger)
+        df = kafka_records(df.load())
     else:
         base = f"{path.rstrip('/')}/topic={topic}" if path else topic
         if stream:
@@ -40,6 +44,14 @@ def read_topic(spark: SparkSession, topic: str, *, kafka_servers: str | None = N
     return drop_null_payload(df) if null_safe else df
 
 
+def kafka_records(raw: DataFrame) -> DataFrame:
+    """``(arrival, value)`` of Kafka rows; arrivals order records over all partitions: 20 digits
+    of microseconds, 10 of the partition, 20 of the offset."""
+    digits = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    arrival = F.concat(digits(F.unix_micros("timestamp"), 20), digits(F.col("partition"), 10), digits(F.col("offset"), 20))
+    return raw.select(arrival.alias("arrival"), F.col("value").cast("string").alias("value"))
+
+
 def topic_table(raw: DataFrame, ddl: str, view: str | None = None, ms_field: str = "ts",
                 et: str = "et", lateness: str | None = "5 seconds", wall_clock: bool = False) -> DataFrame:
     """A SQL-declared topic table — ``from_json`` with a DDL schema, a
@@ -63,8 +75,11 @@ def read_jdbc(spark: SparkSession, url: str, query: str, camel: bool = False, pr
     """A JDBC query as a DataFrame (column labels kept); ``camel`` renames
     snake_case columns to camelCase (F16).  Give a partition column and bounds
     to read in parallel."""
-    r = spark.read.format("jdbc").option("url", url).option("query", query)
-    if partition_column:
+    r = spark.read.format("jdbc").option("url", url)
+    if not partition_column:
+        r = r.option("query", query)
+    else:
+        r = r.option("dbtable", f"({query}) q")  # bounds go with a table expression, not with a query
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))
     for k, v in (properties or {}).items():

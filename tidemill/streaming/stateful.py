@@ -184,6 +184,9 @@ def apply_processor(stream: DataFrame, keys: list[str], processor: KeyedProcesso
 
     spark = stream.sparkSession
     ship_package(spark)
+    if "arrival" in stream.columns and stream.schema["arrival"].dataType.simpleString() == "string":
+        output_schema = output_schema.replace("arrival long", "arrival string")
+        processor.state_schema = processor.state_schema.replace("arrival long", "arrival string")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return stream.groupBy(*keys).transformWithStateInPandas(
