@@ -3,6 +3,7 @@ SQL-declared topic table, catalog DDL, word list, day partitions."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill import sinks as K
@@ -24,15 +25,86 @@ def test_topic_round_trip_and_routing(spark, tmpdir_path):
     assert odd.count() == 2
 
 
-def test_versioned_upsert_is_idempotent(spark, tmpdir_path):
+def test_versioned_upsert_replays_and_restarts(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "ads")
-    b0 = spark.createDataFrame([(1, "x", 10), (2, "y", 20)], "k long, s string, n long")
-    b1 = spark.createDataFrame([(2, "y2", 99), (3, "z", 30)], "k long, s string, n long")
-    K.write_versioned(spark, b0, path, 0, ["k"], ["s"])
-    first = sorted(tuple(r) for r in K.write_versioned(spark, b1, path, 1, ["k"], ["s"]).collect())
-    again = sorted(tuple(r) for r in K.write_versioned(spark, b1, path, 1, ["k"], ["s"]).collect())  # replay
-    assert first == again == [(1, "x", 10), (2, "y2", 20), (3, "z", 30)]
-    assert sorted(tuple(r) for r in K.read_latest(spark, path).collect()) == first
+    put = lambda rows, n, q="q": sorted(tuple(r) for r in K.write_versioned(
+        spark, spark.createDataFrame(rows, "k long, s string, n long"), path, n, ["k"], ["s"], order=["n"], query_id=q).collect())
+    put([(1, "x", 10), (2, "y", 20)], 0)
+    first = put([(2, "y2", 99), (3, "z", 30), (3, "older", 3)], 1)
+    assert first == [(1, "x", 10), (2, "y2", 20), (3, "z", 30)]
+    assert put([(2, "other", 99)], 1) == put([(7, "late", 1)], 0) == first          # repeated batches change nothing
+    assert put([(9, "new", 1)], 0, "restarted") == [*first, (9, "new", 1)]           # a new checkpoint counts from 0
+    assert sorted(tuple(r) for r in K.read_latest(spark, path).collect()) == [*first, (9, "new", 1)]
+    before = {d: os.path.getmtime(os.path.join(path, "data", d)) for d in os.listdir(os.path.join(path, "data"))}
+    K.vacuum(spark, path)
+    assert set(os.listdir(os.path.join(path, "data"))) <= set(before)
+    assert sorted(tuple(r) for r in K.read_latest(spark, path).collect()) == [*first, (9, "new", 1)]
+    with pytest.raises(ValueError):
+        K.write_versioned(spark, spark.createDataFrame([(1, "x")], "k long, s string"), path, 5, ["k"], ["s"], order=[])
+
+
+def test_streaming_sinks(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    spark.createDataFrame([(1, "a", "t1"), (2, "b", "t2")], "skuId long, v string, tbl string").write.parquet(src)
+    stream = lambda: spark.readStream.schema("skuId long, v string, tbl string").parquet(src)
+    out = os.path.join(tmpdir_path, "topics")
+    name = os.path.basename(tmpdir_path)
+    assert K.topic_sink(stream(), out, topic_col="tbl", name=f"{name}/routed").awaitTermination(60)
+    back = S.read_topic(spark, "t1", path=out, stream=False, fmt="json", schema="value string")
+    assert [r["value"] for r in back.collect()] == ['{"skuId":1,"v":"a"}']
+    olap = os.path.join(tmpdir_path, "olap")
+    assert K.olap_load(stream(), olap, name=f"{name}/olap").awaitTermination(60)
+    assert sorted(r["value"] for r in spark.read.text(olap).select("value").collect())[0] == '{"sku_id":1,"v":"a","tbl":"t1"}'
+    assert K.console(stream(), name=f"{name}/console").awaitTermination(60)
+
+
+def test_readers(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "lines")
+    spark.createDataFrame([(1, "a"), (2, None)], "id long, v string").write.json(path)
+    assert sorted(tuple(r) for r in S.read_json_lines(spark, path, "id long, v string").collect()) == [(1, "a"), (2, None)]
+    topic = os.path.join(tmpdir_path, "t")
+    spark.createDataFrame([(1, "a"), (2, None)], "arrival long, value string").write.parquet(topic)
+    assert S.read_topic(spark, topic, stream=False).count() == 1                     # a null payload is dropped
+    assert S.read_topic(spark, topic, stream=False, null_safe=False).count() == 2
+    asked = {}
+
+    class Reader:
+        def format(self, kind):
+            return self
+
+        def option(self, k, v):
+            asked[k] = v
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(1,)], "sku_id long")
+
+    class Session:
+        read = Reader()
+
+    S.read_jdbc(Session(), "jdbc:x", "select 1", partition_column="id", lower=0, upper=9, num_partitions=3)
+    assert "query" not in asked and asked["dbtable"] == "(select 1) q" and asked["partitionColumn"] == "id"
+    assert S.read_jdbc(Session(), "jdbc:x", "select 1", camel=True).columns == ["skuId"]
+
+
+def test_topics_follow_their_input(spark, tmpdir_path):
+    from tidemill.plans import adapters as AD
+    src = os.path.join(tmpdir_path, "in")
+    build = lambda s, d: AD.load(s, d, "events")
+    spark.range(3).write.parquet(f"{src}/events.parquet")
+    first = AD.topic_path(spark, src, "probe", build)
+    assert AD.topic_path(spark, src, "probe", build) == first
+    spark.range(5).write.mode("overwrite").parquet(f"{src}/events.parquet")
+    second = AD.topic_path(spark, src, "probe", build)
+    assert second != first and spark.read.parquet(second).count() == 5
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+    from tidemill.session import checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=sc))
 
 
 def test_topic_table_sql_and_catalog(spark, tmpdir_path):

@@ -874,3 +874,4 @@ def q_keyword_count_sql(spark, sf_dir):
 
 # ================================================================ streaming twins
 from . import stream_queries  # noqa: E402,F401  registers the stream_* queries
+from . import io_queries  # noqa: E402,F401  registers the queries that write and read back

@@ -9,40 +9,43 @@ exactly-once results even when executors are lost and batches are replayed.
 
 from __future__ import annotations
 
-import os
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.keys import camel_to_snake
+from ..functions.keys import camel_to_snake, md5_key
 from ..functions.time import ms_to_wall, to_millis
 from ..operators.dedup import keep_last, latest_non_null
 
-__all__ = ["topic_sink", "write_routed", "json_lines", "upsert_merge", "write_versioned", "read_latest",
-           "day_partition", "write_day_partitioned", "dim_upsert", "delete_keys", "console"]
+__all__ = ["topic_sink", "write_routed", "json_lines", "olap_load", "upsert_merge", "write_versioned", "read_latest",
+           "vacuum", "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route", "delete_keys", "console"]
 
 
 # ---------------------------------------------------------------- K1 / K3 topic sinks
-def topic_sink(df: DataFrame, target: str, topic: str | None = None, topic_col: str | None = None,
-               kafka_servers: str | None = None, fmt: str = "json"):
-    """K1/K3: write records as JSON strings to a topic.
+def topic_sink(df: DataFrame, target: str | None = None, topic: str | None = None, topic_col: str | None = None,
+               kafka_servers: str | None = None, fmt: str = "json", name: str | None = None, trigger: dict | None = None):
+    """K1/K2/K3: write records as JSON strings to a topic.
 
     With ``kafka_servers`` the Kafka sink is used (``topic`` option, or a
     ``topic`` column for per-row routing); otherwise a directory stands for the
     topic (``target/topic=<name>/``), which is how tests and replays run.
-    Returns the writer's result for batch frames.
+    A streaming frame starts a query called ``name`` and returns it; a batch
+    frame returns the writer's result.
     """
     payload_cols = [c for c in df.columns if c != (topic_col or "")]
-    out = df.select(F.to_json(F.struct(*payload_cols)).alias("value"),
-                    *([F.col(topic_col).alias("topic")] if topic_col else []))
+    value = F.to_json(F.struct(*payload_cols)).alias("value")
+    named = F.col(topic_col) if topic_col else F.lit(topic)
+    out = df.select(value, named.alias("topic"))
+    if df.isStreaming:
+        from ..streaming.jobs import start
+        options = {"kafka.bootstrap.servers": kafka_servers} if kafka_servers else {}
+        return start(df.sparkSession, out, name or f"topic/{topic or topic_col}", sink="kafka" if kafka_servers else fmt,
+                     path=None if kafka_servers else target, options=options, trigger=trigger,
+                     partition_by=None if kafka_servers else ["topic"])
     if kafka_servers:
-        w = out.write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
-        if topic:
-            w = w.option("topic", topic)
-        return w.save()
-    if topic_col:
-        return out.write.mode("append").partitionBy("topic").format(fmt).save(target)
-    return out.write.mode("append").format(fmt).save(os.path.join(target, f"topic={topic}"))
+        return out.write.format("kafka").option("kafka.bootstrap.servers", kafka_servers).save()
+    return out.write.mode("append").partitionBy("topic").format(fmt).save(target)
 
 
 def write_routed(spark: SparkSession, parts: dict[str, DataFrame], target: str, source: DataFrame | None = None,
@@ -67,6 +70,19 @@ def json_lines(df: DataFrame, snake: bool = True) -> DataFrame:
     return d.select(F.to_json(F.struct(*d.columns)).alias("value"))
 
 
+def olap_load(df: DataFrame, path: str, name: str = "olap", max_records_per_file: int = 1_000_000, trigger: dict | None = None):
+    """K4 loader: JSON lines in files of bounded size; a stream loads batch by batch, each into a
+    folder of its own that a repeated batch writes again."""
+    def load(lines: DataFrame, to: str) -> None:
+        lines.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).text(to)
+
+    lines = json_lines(df)
+    if not df.isStreaming:
+        return load(lines, path)
+    from ..streaming.jobs import start
+    return start(df.sparkSession, lines, name, foreach_batch=lambda batch, number: load(batch, f"{path}/batch={number}"), trigger=trigger)
+
+
 # ---------------------------------------------------------------- K5 upsert
 def upsert_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
                  order: Sequence[str | Column] | None = None) -> DataFrame:
@@ -92,32 +108,71 @@ def upsert_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
     return j.select(*keys, *out)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest version written by :func:`write_versioned` (None if none)."""
-    jp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jp):
+def _fs(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest complete manifest: version, buckets, which version holds each bucket, and the last
+    batch applied of every query."""
+    folder, fs = _fs(spark, f"{path}/manifest")
+    if not fs.exists(folder):
         return None
-    versions = sorted(int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(jp)
-                      if s.getPath().getName().startswith("v=")
-                      and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    return spark.read.parquet(f"{path}/v={versions[-1]}") if versions else None
+    found = sorted(int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(folder)
+                   if fs.exists(_fs(spark, f"{s.getPath()}/_SUCCESS")[0]))
+    if not found:
+        return None
+    return json.loads(spark.read.text(f"{path}/manifest/v={found[-1]}").first()["value"])
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as the newest manifest of :func:`write_versioned` names it (None if none)."""
+    m = _manifest(spark, path)
+    return spark.read.parquet(*[f"{path}/data/v={v}/bucket={b}" for b, v in m["at"].items()]) if m else None
 
 
 def write_versioned(spark: SparkSession, batch: DataFrame, path: str, batch_id: int, keys: Sequence[str],
-                    update_cols: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
-    """K5 writer for ``foreachBatch``: merge the batch into the newest complete
-    version and write version ``batch_id + 1``.  A replayed batch id rewrites the
-    same version from the same input, so the result is idempotent."""
-    target = f"{path}/v={batch_id + 1}"
-    base_path = f"{path}/v={batch_id}"
-    jp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base_path + "/_SUCCESS")
-    fs = jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    cur = spark.read.parquet(base_path) if fs.exists(jp) else read_latest(spark, path)
-    merged = upsert_merge(cur, batch, keys, update_cols, order) if cur is not None else (
-        keep_last(batch, keys, order) if order else batch.dropDuplicates(list(keys)))
-    merged.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+                    update_cols: Sequence[str], order: Sequence[str | Column], query_id: str | None = None,
+                    buckets: int = 16) -> DataFrame:
+    """K5 writer for ``foreachBatch``: merge the batch into the table, rewriting only the key buckets
+    that it touches, and commit by writing the next manifest.
+
+    The manifest remembers the last batch of every query (``query_id``, by default the streaming
+    query that runs the batch), so a repeated batch changes nothing, and a query with a new
+    checkpoint, whose ids start at 0 again, is applied.  Until its manifest is complete a version
+    is not read.  ``order`` decides which row of a key in the batch is the latest.
+    """
+    if not order:
+        raise ValueError("an upsert needs an order of the batch's rows")
+    if query_id is None:
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+    m = _manifest(spark, path) or {"version": -1, "buckets": buckets, "at": {}, "batches": {}}
+    if m["batches"].get(query_id, -1) >= batch_id:
+        return read_latest(spark, path)
+    keys = list(keys)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(m["buckets"])).cast("int")
+    latest = keep_last(batch, keys, order)
+    touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+    held = [f"{path}/data/v={m['at'][str(b)]}/bucket={b}" for b in touched if str(b) in m["at"]]
+    merged = upsert_merge(spark.read.parquet(*held), latest, keys, update_cols, order) if held else latest
+    version = m["version"] + 1
+    (merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+     .parquet(f"{path}/data/v={version}"))
+    m = {"version": version, "buckets": m["buckets"], "at": m["at"] | {str(b): version for b in touched},
+         "batches": m["batches"] | {query_id: batch_id}}
+    spark.createDataFrame([(json.dumps(m),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest/v={version}")
+    return read_latest(spark, path)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Remove the versions that the newest manifest no longer names; the number removed."""
+    m = _manifest(spark, path)
+    folder, fs = _fs(spark, f"{path}/data")
+    if not m or not fs.exists(folder):
+        return 0
+    old = [s.getPath() for s in fs.listStatus(folder) if int(s.getPath().getName().split("=", 1)[1]) not in {*m["at"].values()}]
+    return sum(bool(fs.delete(p, True)) for p in old)
 
 
 # ---------------------------------------------------------------- K6 day partitions
@@ -129,18 +184,21 @@ def day_partition(df: DataFrame, time_col: str, out: str = "day", tz: str = "UTC
     return df.withColumn(out, F.coalesce(day, F.lit("error_bucket")))
 
 
-def write_day_partitioned(df: DataFrame, path: str, time_col: str, max_records_per_file: int = 5_000_000):
-    """K6 writer: one folder per day, files rolled by record count."""
-    (day_partition(df, time_col).repartition("day").write.mode("append")
+def write_day_partitioned(df: DataFrame, path: str, time_col: str, max_records_per_file: int = 5_000_000,
+                          tasks_per_day: int = 8):
+    """K6 writer: one folder per day, files rolled by record count; a day is dealt to several tasks.
+    A streaming frame is written by its own ``foreachBatch`` with this function."""
+    dealt = day_partition(df, time_col).withColumn("__task", F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_day)))
+    (dealt.repartition("day", "__task").drop("__task").write.mode("append")
      .option("maxRecordsPerFile", max_records_per_file).partitionBy("day").parquet(path))
 
 
 # ---------------------------------------------------------------- K7 / K8 dimension maintenance
 def dim_upsert(current: DataFrame | None, changes: DataFrame, key: str, columns: Sequence[str], order: str,
                op_col: str | None = "op") -> DataFrame:
-    """K7: deletes are ignored; per key each column takes its latest non-null
-    change, falling back to the current value when no change set it."""
-    latest = latest_non_null(changes, [key], order, columns, skip_op=op_col)
+    """K7: deletes and changes without a row key are ignored; per key each column takes its
+    latest non-null change, falling back to the current value when no change set it."""
+    latest = latest_non_null(changes.where(F.col(key).isNotNull()), [key], order, columns, skip_op=op_col)
     if current is None:
         return latest
     cur = current.select(key, *[F.col(c).alias(f"__c_{c}") for c in columns])
@@ -148,12 +206,30 @@ def dim_upsert(current: DataFrame | None, changes: DataFrame, key: str, columns:
     return j.select(key, *[F.coalesce(F.col(c), F.col(f"__c_{c}")).alias(c) for c in columns])
 
 
+def dim_config_route(unpacked: DataFrame, config: DataFrame, sep: str = "_") -> DataFrame:
+    """U4: route changes to dimension tables as a config table says.
+
+    ``config`` has a row per source table: ``source_table``, ``sink_table`` and ``row_key``, the
+    comma-separated fields whose values joined by ``sep`` name the row (F8; the key is their
+    md5, F7).  Deletes are ignored; every column is written, null as the text "null".  The config
+    is one row per table, which the planner measures before it broadcasts it.
+    """
+    data = F.transform_values("data", lambda k, v: F.coalesce(v, F.lit("null")))
+    routed = unpacked.where("op <> 'd'").join(config, F.col("_table") == F.col("source_table"))
+    parts = F.transform(F.split("row_key", ","), lambda f: F.coalesce(F.col("data")[F.trim(f)], F.lit("null")))
+    return routed.select(*[c for c in unpacked.columns if c not in ("_table", "data", "op")], "sink_table",
+                         md5_key(F.concat_ws(sep, parts)).alias("row_key"), data.alias("data"))
+
+
 def delete_keys(current: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K8: drop the rows whose key is listed (anti join)."""
     return current.join(keys_df.select(*keys).distinct(), list(keys), "left_anti")
 
 
 # ---------------------------------------------------------------- K9
-def console(df: DataFrame, n: int = 20):
-    """K9: print rows (batch) — streaming frames use ``writeStream.format('console')``."""
+def console(df: DataFrame, n: int = 20, name: str = "console", trigger: dict | None = None):
+    """K9: print rows; a streaming frame starts a console query and returns it."""
+    if df.isStreaming:
+        from ..streaming.jobs import start
+        return start(df.sparkSession, df, name, sink="console", options={"numRows": n, "truncate": "false"}, trigger=trigger)
     df.show(n, truncate=False)

@@ -175,7 +175,7 @@ _SWITCH = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 def start(spark: SparkSession, result: DataFrame, name: str, sink: str = "parquet", output_mode: str = "append",
           trigger: dict | None = None, foreach_batch=None, path: str | None = None, options: dict | None = None,
-          ends: bool = False) -> StreamingQuery:
+          ends: bool = False, partition_by: list[str] | None = None) -> StreamingQuery:
     """Start a query with its checkpoint under the shared folder.
 
     ``trigger`` e.g. ``{"availableNow": True}`` or ``{"processingTime": "30 seconds"}``; ``options`` go
@@ -187,6 +187,7 @@ def start(spark: SparkSession, result: DataFrame, name: str, sink: str = "parque
     w = w.trigger(**(trigger or {"availableNow": True})).queryName(name.replace("/", "-"))
     for k, v in (options or {}).items():
         w = w.option(k, v)
+    w = w.partitionBy(*partition_by) if partition_by else w
     held = spark.conf.get(_SWITCH, "true")
     try:
         if ends:
