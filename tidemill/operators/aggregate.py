@@ -114,6 +114,17 @@ def _ads(df: DataFrame, time_col: str, size: str, keys: list[str], aggs: list[Co
                     F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"))
 
 
+def _entity(keys: list[str], entity: str, legacy_key: bool) -> tuple[list[str], list[Column]]:
+    """The grouping keys with the entity, or (``legacy_key``, as the reference groups) without it, the
+    last entity seen standing for the group."""
+    return (keys, [F.max_by(entity, "arrival").alias(entity)]) if legacy_key else ([*keys, entity], [])
+
+
+def write_time(df: DataFrame, name: str) -> DataFrame:
+    """The writer's clock as epoch ms: ``summary_time`` of A8, ``analysis_time`` of A12."""
+    return df.withColumn(name, F.unix_millis(F.current_timestamp()))
+
+
 def ads_traffic_summary(dws: DataFrame, time_col: str = "pt", size: str = "1 hour") -> DataFrame:
     """Nine totals per (stat_time, terminal_type, shop_id)."""
     return _ads(dws, time_col, size, ["stat_time", "terminal_type", "shop_id"], [
@@ -138,27 +149,33 @@ def ads_traffic_source(dws: DataFrame, time_col: str = "pt", size: str = "1 hour
     return out.withColumnRenamed("traffic_source_first", "traffic_source")
 
 
-def ads_keyword(dws: DataFrame, time_col: str = "pt", size: str = "1 day") -> DataFrame:
+def ads_keyword(dws: DataFrame, time_col: str = "pt", size: str = "1 day", legacy_key: bool = False) -> DataFrame:
     """A10: per keyword, search and click totals and click_rate = click/search."""
-    out = _ads(dws, time_col, size, ["stat_time", "stat_dimension", "terminal_type", "shop_id", "keyword"], [
+    keys, last = _entity(["stat_time", "stat_dimension", "terminal_type", "shop_id"], "keyword", legacy_key)
+    out = _ads(dws, time_col, size, keys, [
+        *last,
         sum_long("search_visitor_count", "total_search_visitor"),
         sum_long("click_visitor_count", "total_click_visitor"),
     ])
     return out.withColumn("click_rate", safe_ratio("total_click_visitor", "total_search_visitor"))
 
 
-def ads_product(dws: DataFrame, time_col: str = "pt", size: str = "2 hours") -> DataFrame:
+def ads_product(dws: DataFrame, time_col: str = "pt", size: str = "2 hours", legacy_key: bool = False) -> DataFrame:
     """Per product six totals."""
-    return _ads(dws, time_col, size, ["stat_time", "terminal_type", "shop_id", "product_id"], [
+    keys, last = _entity(["stat_time", "terminal_type", "shop_id"], "product_id", legacy_key)
+    return _ads(dws, time_col, size, keys, [
+        *last,
         sum_long("visitor_count", "total_visitor"), sum_long("page_view", "total_pv"),
         sum_long("add_cart_count", "total_add_cart"), sum_long("collection_count", "total_collection"),
         sum_long("pay_buyer_count", "total_pay_buyer"), sum_money("pay_amount", "total_pay_amount"),
     ])
 
 
-def ads_page(dws: DataFrame, time_col: str = "pt", size: str = "1 hour") -> DataFrame:
+def ads_page(dws: DataFrame, time_col: str = "pt", size: str = "1 hour", legacy_key: bool = False) -> DataFrame:
     """Per page visitor, pv, click, summed stay; avg_stay = sum_stay div pv."""
-    out = _ads(dws, time_col, size, ["stat_time", "terminal_type", "shop_id", "page_id"], [
+    keys, last = _entity(["stat_time", "terminal_type", "shop_id"], "page_id", legacy_key)
+    out = _ads(dws, time_col, size, keys, [
+        *last,
         sum_long("visitor_count", "total_visitor"), sum_long("page_view", "total_pv"),
         sum_long("click_count", "total_click"), sum_long("avg_stay_time", "sum_stay_time"),
     ])

@@ -558,6 +558,38 @@ def q_ads_page_performance(spark, sf_dir):
     return G.ads_page_performance(_dws(spark, sf_dir)["pg"])
 
 
+def _legacy(cte: str, keys: str, entity: str, win: str, sums: str, n: int | None, by: str | None) -> str:
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY {keys}, window_start ORDER BY {by} DESC, {entity} ASC NULLS FIRST) AS ranking FROM a"
+              if n else "SELECT * FROM a")
+    return f"WITH {_G}, a AS (SELECT {keys}, arg_max_null({entity}, arrival) AS {entity}, {win}, {sums} FROM {cte} GROUP BY ALL) {ranked}"
+
+
+@register("ads_keyword_legacy", "SELECT *, CASE WHEN total_search_visitor > 0 THEN CAST(total_click_visitor AS DOUBLE) / total_search_visitor "
+          "ELSE 0.0 END AS click_rate FROM (" + _legacy(
+              "kw", "stat_time, stat_dimension, terminal_type, shop_id", "keyword", _win("1 day", "search_time"),
+              f"{_sl('search_visitor_count', 'total_search_visitor')}, {_sl('click_visitor_count', 'total_click_visitor')}",
+              20, "total_search_visitor") + ") x")
+def q_ads_keyword_legacy(spark, sf_dir):
+    return G.ads_keyword_topn(_dws(spark, sf_dir)["kw"], legacy_key=True)
+
+
+@register("ads_product_legacy", _legacy(
+    "pt", "stat_time, terminal_type, shop_id", "product_id", _win("2 hours", "visit_time"),
+    f"{_sl('visitor_count', 'total_visitor')}, {_sl('page_view', 'total_pv')}, {_sl('add_cart_count', 'total_add_cart')}, "
+    f"{_sl('collection_count', 'total_collection')}, {_sl('pay_buyer_count', 'total_pay_buyer')}, {_money('pay_amount', 'total_pay_amount')}",
+    15, "total_visitor"))
+def q_ads_product_legacy(spark, sf_dir):
+    return G.ads_product_topn(_dws(spark, sf_dir)["pt"], legacy_key=True)
+
+
+@register("ads_page_legacy", "SELECT *, CAST(CASE WHEN total_pv > 0 THEN sum_stay_time // total_pv ELSE 0 END AS BIGINT) AS avg_stay_time FROM ("
+          + _legacy("pg", "stat_time, terminal_type, shop_id", "page_id", _win("1 hour", "visit_time"),
+                    f"{_sl('visitor_count', 'total_visitor')}, {_sl('page_view', 'total_pv')}, {_sl('click_count', 'total_click')}, "
+                    f"{_sl('avg_stay_time', 'sum_stay_time')}", None, None) + ") x")
+def q_ads_page_legacy(spark, sf_dir):
+    return G.ads_page_performance(_dws(spark, sf_dir)["pg"], legacy_key=True)
+
+
 @register("ads_crowd_analysis", f"""
 WITH {_G}
 SELECT stat_time, terminal_type, shop_id, crowd_type, {_win('1 day', 'update_time')},

@@ -233,20 +233,20 @@ def ads_traffic_source_topn(source: DataFrame, n: int = 10) -> DataFrame:
                  [F.col("total_visitor").desc(), F.col("traffic_source").asc_nulls_first()], n)
 
 
-def ads_keyword_topn(keyword: DataFrame, n: int = 20) -> DataFrame:
-    agg = A.ads_keyword(_pt(keyword, "search_time"))
+def ads_keyword_topn(keyword: DataFrame, n: int = 20, legacy_key: bool = False) -> DataFrame:
+    agg = A.ads_keyword(_pt(keyword, "search_time"), legacy_key=legacy_key)
     return top_n(agg, ["stat_time", "stat_dimension", "terminal_type", "shop_id", "window_start"],
                  [F.col("total_search_visitor").desc(), F.col("keyword").asc_nulls_first()], n)
 
 
-def ads_product_topn(product: DataFrame, n: int = 15) -> DataFrame:
-    agg = A.ads_product(_pt(product, "visit_time"))
+def ads_product_topn(product: DataFrame, n: int = 15, legacy_key: bool = False) -> DataFrame:
+    agg = A.ads_product(_pt(product, "visit_time"), legacy_key=legacy_key)
     return top_n(agg, ["stat_time", "terminal_type", "shop_id", "window_start"],
                  [F.col("total_visitor").desc(), F.col("product_id").asc_nulls_first()], n)
 
 
-def ads_page_performance(page: DataFrame) -> DataFrame:
-    return A.ads_page(_pt(page, "visit_time"))
+def ads_page_performance(page: DataFrame, legacy_key: bool = False) -> DataFrame:
+    return A.ads_page(_pt(page, "visit_time"), legacy_key=legacy_key)
 
 
 def ads_crowd_analysis(crowd: DataFrame) -> DataFrame:
