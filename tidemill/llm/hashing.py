@@ -71,14 +71,22 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(n))
 
 
-def batches(texts: list[str | None], most: int = 1 << 20):
-    """(first, last) row ranges whose texts hold at most ``most`` characters, or one text."""
+def ranges(sizes: np.ndarray, most: int = 1 << 20):
+    """(first, last) row ranges that hold at most ``most`` of ``sizes``, or one row."""
     first, held = 0, 0
-    for i, t in enumerate(texts):
-        size = len(t or "") + 1
-        if held and held + size > most:
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size + 1 > most:
             yield first, i
             first, held = i, 0
-        held += size
-    if first < len(texts):
-        yield first, len(texts)
+        held += size + 1
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def text_ranges(column, most: int = 1 << 20):
+    """(first, last, texts) of an Arrow text column, a bounded number of bytes at a time."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for first, last in ranges(sizes, most):
+        yield first, last, column.slice(first, last - first).to_pylist()

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, on_executors, packed
 from .components import components
-from .hashing import batches, mix, shingle_hashes, text_words
+from .hashing import mix, shingle_hashes, text_ranges, text_words
 
 SHINGLE, BANDS, ROWS, BITS, BLOCK, SLACK = 5, 28, 5, 1024, 256, 0.16
 _SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
@@ -87,9 +87,9 @@ def estimate(odd: int, k: int = BANDS * ROWS) -> float:
 
 def _signatures(rows):
     for batch in rows:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for first, last in batches(texts):
-            sets = text_sets(texts[first:last])
+        ids = batch.column(0)
+        for first, last, texts in text_ranges(batch.column(1)):
+            sets = text_sets(texts)
             full = [i for i, s in enumerate(sets) if len(s)]
             m = np.array([samples(sets[i]) for i in full], np.uint32).reshape(len(full), BANDS * ROWS)
             sketches = dict(zip(full, odd_sketches(m))) if full else {}
@@ -232,10 +232,9 @@ def _exact_forest(percent: int):
 def _sets(rows):
     """Full sets of the documents that the wanted digest names."""
     for batch in rows:
-        texts = batch.column(1).to_pylist()
         d1, d2 = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-        for first, last in batches(texts):
-            sets = text_sets(texts[first:last])
+        for first, last, texts in text_ranges(batch.column(1)):
+            sets = text_sets(texts)
             keep = [k for k, s in enumerate(sets) if digest(s) == (d1[first + k], d2[first + k])]
             part = batch.slice(first, last - first).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(

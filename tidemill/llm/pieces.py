@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import on_executors, packed, unused
-from .hashing import batches, mix
+from .hashing import mix, text_ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GRID = 24
 _SHORT = 8
-_MOST_EDGES = 10_000_000
+_MOST_EDGES = 4_000_000
 
 
 def _stretches(plain: list[str]) -> str:
@@ -301,11 +301,10 @@ def encode(docs: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: floa
     def run(parts):
         lattices, spelling = Lattices(vocabulary), vocabulary.spelling()
         for batch in parts:
-            texts = batch.column(0).field(at).to_pylist()
             keys = batch.column(1).fill_null(-(2**63)).to_numpy()
-            for first, last in batches(texts):
-                own = [t or "" for t in texts[first:last]]
-                here = np.array([t is not None for t in texts[first:last]])
+            for first, last, texts in text_ranges(batch.column(0).field(at), 1 << 19):
+                own = [t or "" for t in texts]
+                here = np.array([t is not None for t in texts])
                 ids, count = encode_texts(own, keys[first:last].copy(), lattices, seed)
                 back = spell(ids, count, spelling)
                 same = [b == t.encode("utf-8") for b, t in zip(back, own)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import on_executors, packed, unused
-from .hashing import batches
+from .hashing import text_ranges
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-token pattern that belongs to the vocabulary.
@@ -153,9 +153,8 @@ def count_tokens(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHA
     def run(parts):
         encode = encoder(table).encode_ordinary
         for batch in parts:
-            texts = batch.column(0).field(at).to_pylist()
-            for first, last in batches(texts):
-                trees = [None if t is None else Tree.of(t, encode, leaf_chars) for t in texts[first:last]]
+            for first, last, texts in text_ranges(batch.column(0).field(at)):
+                trees = [None if t is None else Tree.of(t, encode, leaf_chars) for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, last - first), pa.array([t and t.chars for t in trees], pa.list_(pa.int64())),
                     pa.array([t and t.tokens for t in trees], pa.list_(pa.int64())),
@@ -181,9 +180,8 @@ def apply_edits(counted: DataFrame, edits: str = "edits", ranks: str = RANKS, le
         encode = encoder(table).encode_ordinary
         for batch in parts:
             column = {c: batch.column(0).field(i) for c, i in at.items()}
-            texts = column["text"].to_pylist()
-            for first, last in batches(texts):
-                part = {c: x.slice(first, last - first).to_pylist() for c, x in column.items()}
+            for first, last, texts in text_ranges(column["text"]):
+                part = {c: texts if c == "text" else x.slice(first, last - first).to_pylist() for c, x in column.items()}
                 out = []
                 for text, chars, tokens, changes in zip(*(part[c] for c in at)):
                     if text is None:

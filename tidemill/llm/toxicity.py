@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut, on_executors, packed
-from .hashing import batches
+from .hashing import text_ranges
 
 SAMPLE_ROWS, FOLDS = 12_000, 4
 STEMS = (4, 5, 6)
@@ -192,15 +192,14 @@ def _featured(rows: DataFrame, lexicons: list[dict[str, float]], fold: bool = Fa
     def run(parts):
         built = {}
         for batch in parts:
-            texts = [t or "" for t in batch.column(0).field(text_at).to_pylist()]
-            folds = batch.column(0).field(fold_at).to_pylist() if fold else [len(lexicons) - 1] * len(texts)
-            for first, last in batches(texts):
+            folds = batch.column(0).field(fold_at).to_pylist() if fold else [len(lexicons) - 1] * batch.num_rows
+            for first, last, texts in text_ranges(batch.column(0).field(text_at)):
                 values = np.zeros((last - first, len(FEATURES)))
                 for f in set(folds[first:last]):
-                    own = [i for i in range(first, last) if folds[i] == f]
+                    own = [i for i in range(last - first) if folds[first + i] == f]
                     if f not in built:
                         built[f] = _automaton(lexicons[f])
-                    values[[i - first for i in own]] = dense_features([texts[i] for i in own], built[f])
+                    values[own] = dense_features([texts[i] or "" for i in own], built[f])
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(v) for v in values.T]], names=["row", *FEATURES])
 
