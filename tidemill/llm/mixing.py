@@ -66,7 +66,7 @@ def repetitions(docs: DataFrame, weights: DataFrame, budget_ratio: float = 1.5,
     epochs first and fills only the rest of the budget by weight.
     """
     sized = packed(docs, word_count(F.col("text")).alias("mix_size"), F.col("source").alias("mix_source"),
-                   code_of(F.col("doc_id"), F.col("text"), F.lit(seed)).alias("mix_code"))
+                   code_of(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).alias("mix_code"))
     slim = cut(sized.select("mix_source", "mix_size", "mix_code"), "mix-sizes")
     sums = slim.groupBy("mix_source").agg(F.sum("mix_size").alias("source_size"))
     given = weights.select(F.col("source").alias("w_source"), "weight")

@@ -16,7 +16,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document when sources of weights 5, 2, 1, repeating, share 150 %."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs, mixing.ranked_weights(docs, [5, 2, 1]), budget_ratio=1.5, max_epochs=2.0)
-    return mixed.select("row.doc_id", "row.source", "size", "source_size", "target", "times",
+    return mixed.select("row.doc_id", "row.source", "size", "source_size", "target",
                         (F.col("size") * F.col("times")).alias("taken"))
 
 
@@ -89,6 +89,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
+# Water-filling in closed form: clamped sources are the first by cap and weight, and the level is that
+# of the first source left; then rows in hash order up to the nearer side of what remains.
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS code
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS ss, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w
+      FROM d GROUP BY source),
+t AS (SELECT *, 2.0 * ss AS cap, row_number() OVER o AS k, sum(2.0 * ss) OVER o - 2.0 * ss AS held, sum(w) OVER () - sum(w) OVER o + w AS free,
+             (SELECT 1.5 * sum(ss) FROM s) AS budget FROM s WINDOW o AS (ORDER BY 2.0 * ss / w, source ROWS UNBOUNDED PRECEDING)),
+level AS (SELECT arg_min((budget - held) / free, k) AS l FROM t WHERE (budget - held) / free * w <= cap),
+p AS (SELECT source, ss, least(cap, l * w)::DOUBLE AS target FROM t, level),
+q AS (SELECT *, floor(target / ss + 1e-12) AS whole, target - floor(target / ss + 1e-12) * ss AS rest FROM p),
+c AS (SELECT d.*, q.ss, q.target, q.whole, q.rest, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.code) AS cum,
+             sum(d.size) OVER (PARTITION BY d.source, d.code) AS unit
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, source, size, ss AS source_size, target,
+       (size * (whole + CASE WHEN cum - unit < rest AND (cum < rest OR rest - (cum - unit) >= unit / 2.0) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c
+"""
+
 # Exact classes on the full shingle sets: links by counting shared shingles, reach by recursion.
 OP6_SQL = r"""
 WITH RECURSIVE w AS (
@@ -146,6 +168,7 @@ FROM d LEFT JOIN shown USING (doc_id)
 
 
 ORACLE: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
     "op10_secret_scan": _op10_sql(),
 }
