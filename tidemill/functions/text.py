@@ -1,11 +1,10 @@
-"""String predicates and arithmetic helpers."""
+"""String predicates and arithmetic helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-__all__ = ["is_blank", "is_empty", "matches_allowed", "safe_ratio", "int_div", "negate",
-           "to_json_line", "word_tokens", "WORD_PATTERN", "SPLIT_PATTERN", "last_csv_token"]
+__all__ = ["is_blank", "is_empty", "matches_allowed", "safe_ratio", "int_div", "word_tokens", "WORD_PATTERN", "SPLIT_PATTERN", "last_csv_token"]
 
 # A token is a maximal run of letters or digits (any script).
 WORD_PATTERN = r"[\p{L}\p{N}]+"
@@ -45,16 +44,6 @@ def int_div(num, den) -> Column:
     return F.when(_c(den) > 0, q).otherwise(F.lit(0)).cast("long")
 
 
-def negate(col) -> Column:
-    """numeric negation (the reference prefixes '-' to a string)."""
-    return -_c(col)
-
-
-def to_json_line(*cols) -> Column:
-    """one JSON object per row; null fields are omitted."""
-    return F.to_json(F.struct(*cols) if cols else F.struct("*"))
-
-
 def word_tokens(col) -> Column:
     """Lower-cased word tokens of a text, in order (whole text, no cap)."""
     return F.filter(F.split(F.lower(_c(col)), SPLIT_PATTERN), lambda t: t != "")

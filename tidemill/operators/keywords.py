@@ -9,20 +9,13 @@ registers a Python table function with the same tokenisation (Arrow-batched).
 from __future__ import annotations
 
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
-from ..functions.text import word_tokens
-
-__all__ = ["split_keywords", "register_keyword_udtf"]
+__all__ = ["register_keyword_udtf"]
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
 
-def split_keywords(df: DataFrame, text: str, out: str = "keyword", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per word of ``text`` (whole text, lower-cased, in order)."""
-    return df.select(*keep, F.explode(word_tokens(text)).alias(out))
-
-
 def register_keyword_udtf(spark: SparkSession, name: str = "keyword_udtf"):
     """Register ``name(text) -> TABLE(word STRING)`` for ``LATERAL`` use in SQL."""
     from pyspark.sql.functions import udtf
