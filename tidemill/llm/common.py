@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemill-llm/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the tables that :func:`cut` has written in this application, once the results that
+    read them are stored elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared ``spark.checkpoint.dir`` and read it back.
 
@@ -26,7 +37,7 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     recomputation of what came before) and keeps it columnar and compressed.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemill-llm/{tag}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
