@@ -13,13 +13,16 @@ from pyspark.sql import Window, functions as F
 
 from ..functions.text import is_empty
 from ..functions.time import ms_to_wall
+from ..operators import aggregate as A
 from ..operators.enrich import lookup, snowflake_chain
 from ..operators.parse import split_dirty, unpack_cdc
+from ..operators.topn import top_n
 from ..streaming import jobs as S
 from ..streaming.stateful import DailyGate, DailyLogin, apply_processor
 from . import adapters as AD
 from . import queries as Q
 from . import retail as R
+from . import traffic as G
 
 
 def _stream(spark, path: str, schema):
@@ -167,6 +170,33 @@ def q_stream_interval_join(spark, sf_dir):
     return spark.read.schema(schema).parquet(out)
 
 
+def _layers(spark, sf_dir, name: str, clean, shape):
+    """Pipeline G as streams: change log -> cleaned detail (a topic at rest) -> shaped detail."""
+    path = AD.topic_path(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
+    log = _stream(spark, path, spark.read.parquet(path).schema)
+    return shape(_gated(spark, clean(G.ods_records(log, flag=False)), f"{name}_dwd"))
+
+
+@Q.register("stream_ads_page_performance", Q.ORACLE["ads_page_performance"])
+def q_stream_ads_page_performance(spark, sf_dir):
+    shaped = _layers(spark, sf_dir, "page", G.dwd_user_visit, G.dws_page_traffic)
+    return _table(spark, G.ads_page_performance(shaped), "ads_page", ["stat_time", "terminal_type", "shop_id", "page_id", "window_start"])
+
+
+@Q.register("stream_ads_keyword_topn", Q.ORACLE["ads_keyword_topn"])
+def q_stream_ads_keyword_topn(spark, sf_dir):
+    shaped = _layers(spark, sf_dir, "keyword", G.dwd_search, G.dws_keyword)
+    keys = ["stat_time", "stat_dimension", "terminal_type", "shop_id"]
+    totals = _table(spark, A.ads_keyword(shaped.withColumn("pt", ms_to_wall("search_time"))), "ads_keyword", [*keys, "keyword", "window_start"])
+    return top_n(totals, [*keys, "window_start"], [F.col("total_search_visitor").desc(), F.col("keyword").asc_nulls_first()], 20)
+
+
+@Q.register("stream_ads_crowd_analysis", Q.ORACLE["ads_crowd_analysis"])
+def q_stream_ads_crowd_analysis(spark, sf_dir):
+    shaped = _layers(spark, sf_dir, "crowd", G.dwd_crowd_attribute, G.dws_crowd_feature)
+    return _table(spark, G.ads_crowd_analysis(shaped), "ads_crowd", ["stat_time", "terminal_type", "shop_id", "crowd_type", "window_start"])
+
+
 @Q.register("stream_daily_unique", f"""
 SELECT arrival, mid, ts_ms AS ts,
        CAST(CASE WHEN lag({Q._day()}) OVER (PARTITION BY mid ORDER BY arrival) IS NULL
