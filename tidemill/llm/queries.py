@@ -35,8 +35,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more that a document shares with an earlier one."""
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    """Passages of 50 words and more that a document shares with an earlier one, as start:end in words."""
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    span = lambda a, b: F.concat_ws(":", F.col(a).cast("string"), F.col(b).cast("string"))
+    return found.select("doc_id", "other_id", span("start", "end").alias("passage"),
+                        span("other_start", "other_end").alias("other_passage"), "identity")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
