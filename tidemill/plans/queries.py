@@ -311,11 +311,10 @@ def q_sku_order_window(spark, sf_dir):
     return R.sku_order_job(details(spark, sf_dir), AD.LINEITEM_ARRIVAL, sku_dims(spark, sf_dir))
 
 
-def province_details(spark, sf_dir):
+def with_province(spark, sf_dir, d):
     """Order details carrying the buyer's province (customer nation)."""
     o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = AD.load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    d = details(spark, sf_dir)
     d = d.join(o, d["order_id"] == o["o_orderkey"], "left").join(c, F.col("o_custkey") == c["c_custkey"], "left")
     return d.withColumn("province_id", F.col("c_nationkey")).drop("o_orderkey", "o_custkey", "c_custkey", "c_nationkey")
 
@@ -332,7 +331,7 @@ SELECT a.*, n.n_name AS province_name FROM a LEFT JOIN nation n ON a.province_id
 """)
 def q_province_order_window(spark, sf_dir):
     nation = AD.load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return R.province_order_job(province_details(spark, sf_dir), AD.LINEITEM_ARRIVAL, nation)
+    return R.province_order_job(details(spark, sf_dir), AD.LINEITEM_ARRIVAL, nation, province_of=lambda d: with_province(spark, sf_dir, d))
 
 
 # ================================================================ pipeline G

@@ -106,8 +106,10 @@ def sku_order_job(details: DataFrame, order: list[str], links, size: str = "5 se
 
 
 def province_order_job(details: DataFrame, order: list[str], province_dim: DataFrame,
-                       size: str = "10 seconds") -> DataFrame:
-    """D1 + A2 + J3: order amount and distinct orders per province and 10 s window."""
+                       size: str = "10 seconds", province_of=None) -> DataFrame:
+    """D1 + A2 + J3: order amount and distinct orders per province and 10 s window.
+    ``province_of`` adds ``province_id`` to details that lack it, after they are corrected."""
     d = retract_duplicates(details, ["detail_id"], order, ["split_total_amount"])
+    d = province_of(d) if province_of else d
     agg = A.province_order_window(d, "et", size)
     return lookup(agg, province_dim, "province_id", "id", {"name": "province_name"})

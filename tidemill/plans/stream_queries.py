@@ -88,7 +88,7 @@ def _detail_topic(spark, sf_dir):
     """The order-detail topic: an arrival number inside each detail id, and the buyer's province."""
     order = Window.partitionBy("detail_id").orderBy(*AD.LINEITEM_ARRIVAL)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return Q.province_details(spark, sf_dir).select(
+    return Q.with_province(spark, sf_dir, Q.details(spark, sf_dir)).select(
         "detail_id", F.row_number().over(order).cast("long").alias("arrival"), F.col("order_id").cast("long").alias("order_id"),
         F.col("sku_id").cast("long").alias("sku_id"), F.col("province_id").cast("long").alias("province_id"),
         F.timestamp_diff("MILLISECOND", epoch, "et").alias("et_ms"), *Q._AMTS)
