@@ -38,6 +38,7 @@ from .components import components
 from .hashing import mix, shingle_hashes, text_ranges, text_words
 
 SHINGLE, BANDS, ROWS, BITS, BLOCK, SLACK = 5, 28, 5, 1024, 256, 0.16
+BLOCK_SHINGLES = 1000  # a block holds at most about BLOCK * BLOCK_SHINGLES shingles, or BLOCK texts
 _SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLY = (_rng.integers(1, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -264,7 +265,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     likely = components(bucket.select("key", "i", "j", "side", "rep", "size", "sketch")
                         .mapInArrow(_sketch_forest(least), "a long, b long"))
     likely = cut(likely.select(F.col("node").alias("rep"), "label"), "likely")
-    sizes = likely.groupBy("label").agg(F.count("*").alias("n"))
+    weight = F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))  # groups of long texts get smaller blocks
+    sizes = likely.join(ids, likely["rep"] == ids["doc_id"]).groupBy("label").agg(weight.alias("n"))
     wanted = likely.join(sizes, "label").join(reps.withColumnRenamed("doc_id", "rep"), "rep")
     wanted = wanted.withColumnRenamed("rep", "doc_id")
     sets = (texts.join(wanted, "doc_id").select("doc_id", "text", "label", "n", "d1", "d2")
