@@ -171,6 +171,8 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key: str, before_s:
 
 # ---------------------------------------------------------------- running
 _SWITCH = "spark.sql.streaming.noDataMicroBatches.enabled"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def start(spark: SparkSession, result: DataFrame, name: str, sink: str = "parquet", output_mode: str = "append",
@@ -180,23 +182,26 @@ def start(spark: SparkSession, result: DataFrame, name: str, sink: str = "parque
 
     ``trigger`` e.g. ``{"availableNow": True}`` or ``{"processingTime": "30 seconds"}``; ``options`` go
     to the sink (servers, topic).  ``ends``: a bounded replay of a keyed state with TTL, whose
-    expiry would ask for empty batches for ever; they are off for this query alone (a query takes
-    a copy of the session's settings when it starts).
+    expiry would ask for empty batches for ever; they are off for this query alone.  A query takes a
+    copy of the session's settings when it starts, so the RocksDB state store and that switch are
+    set for the start and put back.
     """
     w = result.writeStream.outputMode(output_mode).option("checkpointLocation", state_dir(spark, name))
     w = w.trigger(**(trigger or {"availableNow": True})).queryName(name.replace("/", "-"))
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w = w.partitionBy(*partition_by) if partition_by else w
-    held = spark.conf.get(_SWITCH, "true")
+    wanted = {_STORE: _ROCKS} | ({_SWITCH: "false"} if ends else {})
+    held = {k: spark.conf.get(k, None) for k in wanted}
     try:
-        if ends:
-            spark.conf.set(_SWITCH, "false")
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         if foreach_batch is not None:
             return w.foreachBatch(foreach_batch).start()
         return w.format(sink).start(path) if path else w.format(sink).start()
     finally:
-        spark.conf.set(_SWITCH, held)
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def to_topic(spark: SparkSession, result: DataFrame, name: str, trigger: dict | None = None, ends: bool = False) -> tuple[StreamingQuery, str]:

@@ -185,17 +185,14 @@ class MonotoneLatest(KeyedProcessor):
 
 def apply_processor(stream: DataFrame, keys: list[str], processor: KeyedProcessor, output_schema: str,
                     output_mode: str = "append") -> DataFrame:
-    """Key the stream and run ``processor`` over it with keyed state in the RocksDB store, which
-    ``transformWithState`` needs (set here, where the query is made)."""
+    """Key the stream and run ``processor`` over it with keyed state (in the RocksDB store, which
+    ``jobs.start`` sets for the query)."""
     from ..session import ship_package
 
-    spark = stream.sparkSession
-    ship_package(spark)
+    ship_package(stream.sparkSession)
     if "arrival" in stream.columns and stream.schema["arrival"].dataType.simpleString() == "string":
         output_schema = output_schema.replace("arrival long", "arrival string")
         processor.state_schema = processor.state_schema.replace("arrival long", "arrival string")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     keyed = stream.groupBy(*keys)
     transform = keyed.transformWithState if processor.by_rows else keyed.transformWithStateInPandas
     return transform(processor, output_schema, output_mode, "ProcessingTime" if processor.ttl_ms else "None")
