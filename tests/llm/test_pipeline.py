@@ -5,32 +5,22 @@ import corpus_pipeline as C
 SF = "/root/testdata/sf0.01"
 
 
-def test_stages_hand_on_documents(spark, edge):
+def test_stages_hand_on_documents_and_runs_agree(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    plain = docs
-    held = {}
+    out = docs
     for name, stage in C.STAGES:
-        before = held.get("docs", docs)
-        out = stage(spark, before, SF)
+        out = stage(spark, out, SF)
         if name != "sentencepiece":
             assert out.columns == docs.columns, name
-        held = {"docs": out.cache()}
-    last = held["docs"]
+    last = out.cache()
     assert last.where("not lossless").count() == 0
-    ids = {r.doc_id for r in last.select("doc_id").distinct().collect()}
-    assert 0 < len(ids) < plain.count()
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    clean = labels.where("toxic = 0").count()
-    kept = last.select("doc_id").distinct().join(labels.where("toxic = 0"), "doc_id").count()
-    assert kept > 0.85 * clean  # what goes beside toxic rows are near copies
-    bare = last.where(F.col("text").rlike("AKIA[A-Z0-9]{16,}"))
-    assert bare.count() == 0
-
-
-def test_run_equals_its_stages_and_reruns(spark):
-    one = C.run(spark, SF).select("doc_id", "pieces").collect()
-    two = C.run(spark, SF).select("doc_id", "pieces").collect()
-    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    assert 0 < last.select("doc_id").distinct().count() < docs.count()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 0")
+    kept = last.select("doc_id").distinct().join(labels, "doc_id").count()
+    assert kept > 0.85 * labels.count()  # what goes beside toxic rows are near copies
+    assert last.where(F.col("text").rlike("AKIA[A-Z0-9]{16,}")).count() == 0
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "pieces").collect()))
+    assert rows(C.run(spark, SF)) == rows(last)
 
 
 def test_stages_on_edge_rows(spark, edge, empty):
