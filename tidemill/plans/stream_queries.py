@@ -42,9 +42,10 @@ def _run(name: str) -> str:
     return f"{name}/{uuid.uuid4().hex[:12]}"
 
 
-def _topic(spark, result, name: str, ends: bool = True):
-    """Replay a stream into a topic at rest: (path, schema).  Gates and joins need no closing batch."""
-    query, path = S.to_topic(spark, result, _run(name), ends=ends)
+def _topic(spark, result, name: str, run: str | None = None):
+    """Replay a stream into a topic at rest: (path, schema).  Gates and joins need no closing batch.
+    A ``run`` that was made before goes on from its checkpoint, with what is new in its source."""
+    query, path = S.to_topic(spark, result, run or _run(name), ends=True)
     query.awaitTermination()
     return path, result.schema
 
@@ -94,15 +95,16 @@ def _detail_topic(spark, sf_dir):
         F.timestamp_diff("MILLISECOND", epoch, "et").alias("et_ms"), *Q._AMTS)
 
 
-def _corrected(spark, sf_dir, name: str):
+def _corrected(spark, sf_dir):
+    """The topic of corrected details, one for the jobs that read it."""
     path = AD.topic_path(spark, sf_dir, "order_detail", _detail_topic)
     details = _stream(spark, path, spark.read.parquet(path).schema)
-    return _topic(spark, S.retract_stream(details, ttl_ms=None), name)
+    return _topic(spark, S.retract_stream(details, ttl_ms=None), "corrected", run=f"corrected/{path.rsplit('/', 1)[-1]}")
 
 
 @Q.register("stream_retract", Q.ORACLE["retract_stream"])
 def q_stream_retract(spark, sf_dir):
-    path, schema = _corrected(spark, sf_dir, "retract")
+    path, schema = _corrected(spark, sf_dir)
     rows = spark.read.schema(schema).parquet(path)
     day = F.date_format(ms_to_wall("et_ms"), "yyyy-MM-dd")
     return rows.select("detail_id", "order_id", "sku_id", day.alias("et"),
@@ -111,14 +113,14 @@ def q_stream_retract(spark, sf_dir):
 
 @Q.register("stream_sku_order_window", Q.ORACLE["sku_order_window"])
 def q_stream_sku_order_window(spark, sf_dir):
-    corrected = _stream(spark, *_corrected(spark, sf_dir, "sku_retract"))
+    corrected = _stream(spark, *_corrected(spark, sf_dir))
     windows = _table(spark, S.sku_order_windows(corrected), "sku_order", ["stt", "sku_id"])
     return snowflake_chain(windows, Q.sku_dims(spark, sf_dir))
 
 
 @Q.register("stream_province_order_window", Q.ORACLE["province_order_window"])
 def q_stream_province_order_window(spark, sf_dir):
-    corrected = _stream(spark, *_corrected(spark, sf_dir, "province_retract"))
+    corrected = _stream(spark, *_corrected(spark, sf_dir))
     windows = _table(spark, S.province_order_windows(corrected), "province_order", ["stt", "province_id"])
     nation = AD.load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     return lookup(windows, nation, "province_id", "id", {"name": "province_name"})
