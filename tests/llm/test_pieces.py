@@ -38,6 +38,33 @@ def test_sampling_follows_the_lattice(vocabulary):
         assert abs(seen.get(way, 0) / n - chance / whole) < 0.015
 
 
+def test_runs_of_spaces_are_cut_by_the_whole_lattice(vocabulary):
+    """A run of spaces and the word behind it: frequencies of all segmentations against their chances."""
+    word = "    a"
+    ways = {}
+
+    def walk(at, ids, weight):
+        if at == len(word):
+            ways[tuple(ids)] = np.exp(weight)
+            return
+        for i, p in enumerate(vocabulary.spelled):
+            if i > 258 and p and word.startswith(p.decode("utf-8", "replace"), at):
+                walk(at + len(p), [*ids, i], weight + vocabulary.weight[i])
+
+    walk(0, [], 0.0)
+    assert len(ways) > 8  # more than spaces one by one
+    n = 20000
+    ids, count = P.encode_texts([word[1:]] * n, np.arange(n), P.Lattices(vocabulary), 5)
+    seen = {}
+    for part in np.split(ids, np.cumsum(count)[:-1]):
+        seen[tuple(part.tolist())] = seen.get(tuple(part.tolist()), 0) + 1
+    assert set(seen) <= set(ways)
+    for way, chance in ways.items():
+        assert abs(seen.get(way, 0) / n - chance / sum(ways.values())) < 0.015
+    assert P.spell(ids, count, vocabulary.spelling()) == [word[1:].encode()] * n
+    assert vocabulary.stretch.findall(" if x\n        y  = 1  ") == [" if", " x", "\n", "        y", "  =", " 1", "  "]
+
+
 def test_no_piece_crosses_a_stretch(vocabulary):
     spelled = [s.decode("utf-8") for i, s in enumerate(vocabulary.spelled) if i > 258 and s]
     assert all(len(vocabulary.stretch.findall("x" + s)) <= 2 for s in spelled)

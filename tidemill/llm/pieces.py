@@ -1,6 +1,6 @@
 """Sampled SentencePiece segmentation and lossless decoding (operator 5).
 
-A text, with the usual one space in front, falls into stretches that begin at each space, at
+A text, with the usual one space in front, falls into stretches that begin at each run of spaces, at
 line ends, and after letters at marks that the vocabulary never joins to one; no piece crosses these, so the lattice of all segmentations is a product of one
 small lattice per stretch.  For every distinct stretch the forward pass sums the weights of
 all segmentations up to each position (filtering); from the end, each step then draws one of
@@ -46,7 +46,7 @@ def _stretches(plain: list[str]) -> str:
     joined = set(re.findall(rf"(?<=[{letter}])[!-/:-@\[-`{{-~]", "\n".join(plain)))
     marks = "".join(re.escape(c) for c in "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~\\" if c not in joined)
     on = rf"[{letter}]*(?:[^{letter} \n{marks}][^{letter} \n]*[{letter}]*)*"
-    return rf" [^{letter} \n]*{on}|[^{letter} \n]+{on}|[{letter}]+{on}|\n"
+    return rf" +[^{letter} \n]*{on}|[^{letter} \n]+{on}|[{letter}]+{on}|\n"
 
 
 class Vocabulary:
@@ -69,7 +69,7 @@ class Vocabulary:
                 self.bytes[int(piece[1:-1], 16)] = i
                 self.spelled[i] = bytes([int(piece[1:-1], 16)])
                 continue
-            if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or "▁" in piece[1:] or "\n" in piece:
+            if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or "▁" in piece.lstrip("▁") or "\n" in piece:
                 continue
             plain = piece.replace("▁", " ")
             plains.append(plain)
