@@ -16,6 +16,16 @@ def test_features_find_disguised_words_and_second_person():
     assert stem[f["_tox_top"]] == 4.0 and inside[f["_tox_hits"]] == 0
 
 
+def test_features_find_runs_of_symbols():
+    """Words whose only disguises are several symbols in a row, also at the ends of the batch."""
+    lexicon = X._automaton({"asshole": 5.0, "shiit": 4.0})
+    f = {n: i for i, n in enumerate(X.FEATURES)}
+    one, two, none, ends = X.dense_features(["what an a$$hole", "this is sh!!t", "it costs 100 $$ or so!! yes", "$$a!!"], lexicon)
+    assert one[f["_tox_top"]] == 5.0 and two[f["_tox_top"]] == 4.0
+    assert one[f["_tox_obfuscated"]] == 2 / 15 and two[f["_tox_obfuscated"]] == 2 / 13
+    assert none[f["_tox_obfuscated"]] == ends[f["_tox_obfuscated"]] == 0
+
+
 def test_held_out_accuracy(spark):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     model = X.fit(docs.select("doc_id", "text"), labels, ~X.held_out("doc_id"))

@@ -7,7 +7,7 @@ by a hash of ``doc_id``), the one bound of this module; scoring covers every who
   more often than in the others, weighted by log-odds.  For the features of the sample itself
   each fold uses the counts of the other folds, so the trees do not learn from leaked words.
 * **Dense features**: lexicon densities, second-person proximity, rates of capitals,
-  punctuation, digits, exclamation, obfuscation (symbols or digits inside a word) and
+  punctuation, digits, exclamation, obfuscation (a symbol or digit, or a run of those that disguise, inside a word) and
   repeated characters, and the length.
 * **Trees and calibration**: ``GBTClassifier`` on all folds but the last, isotonic regression
   of its probabilities on the last.
@@ -54,6 +54,7 @@ _PERSON = re.compile(r"\b(?:" + "|".join(SECOND_PERSON.split()) + r")\b")
 _LETTERS = re.compile(r"[^\W\d_]{4,}")
 _DISGUISED = re.compile(r"[^\W\d_]+(?:[0134578@$!*]+[^\W\d_]+)+")
 _PLAIN = str.maketrans(DISGUISE)
+_SYMBOLS = np.array([ord(c) for c in [*DISGUISE, "8", "*"]], np.uint32)
 _NEAR = 80
 
 
@@ -160,13 +161,20 @@ def dense_features(texts: list[str], lexicon) -> np.ndarray:
     other = (kind == 0) | (kind == 3)
     inside = np.zeros(len(code), bool)
     inside[1:-1] = other[1:-1] & letter[:-2] & letter[2:]
+    symbol = np.concatenate(([False], np.isin(code, _SYMBOLS), [False]))
+    begin, end = np.flatnonzero(symbol[1:] & ~symbol[:-1]), np.flatnonzero(symbol[:-1] & ~symbol[1:])
+    between = (begin > 0) & (end < len(code))
+    between[between] = letter[begin[between] - 1] & letter[end[between]]
+    step = np.zeros(len(code) + 1, np.int64)
+    step[begin[between]], step[end[between]] = 1, -1
+    inside |= np.cumsum(step[:-1]) > 0
     again = np.zeros(len(code), bool)
     again[2:] = (code[2:] == code[1:-1]) & (code[1:-1] == code[:-2])
     length = np.maximum(size, 1)
     for column, flag in ((7, kind == 2), (8, kind == 0), (9, kind == 3), (10, code == ord("!")), (11, inside), (12, again)):
         out[:, column] = np.add.reduceat(flag.astype(np.int32), at) / length if len(texts) else 0
     for i, text in enumerate(texts):
-        low = _lowered(text) if out[i, 11] else text.lower()
+        low = _lowered(text)
         found = _hits(low, lexicon)
         out[i, 0] = math.log1p(len(text))
         if found:
