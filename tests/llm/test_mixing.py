@@ -46,6 +46,15 @@ def test_least_epochs_keep_every_row(spark):
     assert counts.count() == docs.count() and counts.agg(F.max("count")).first()[0] == 2
 
 
+def test_sources_without_words_stand_least_epochs_times(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "", "y"), (3, None, "y"), (4, " ", None)], "doc_id long, text string, source string")
+    weights = X.ranked_weights(docs, [5, 2, 1])
+    mixed = X.mixed_documents(docs, weights, least_epochs=1.0).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in mixed if r.doc_id > 1} == {2: 1, 3: 1, 4: 1}
+    assert {r.doc_id for r in X.mixed_documents(docs, weights, least_epochs=2.0, max_epochs=3.0).collect()} == {1, 2, 3, 4}
+    assert X.mixed_documents(docs, weights).where("doc_id > 1").count() == 0
+
+
 def test_hot_source_and_unweighted(spark):
     docs = spark.range(900).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"),
                                    F.when(F.col("id") < 600, "hot").when(F.col("id") < 890, "cold").alias("source"))

@@ -9,7 +9,8 @@ sizes meet the fraction of the source.  The cut in that order comes from distrib
 quantiles, so the words taken miss the target by at most one document, and reruns agree.
 
 Edge cases: a null source is a source like others; null and empty texts have size 0 and are
-taken as often as their neighbours in hash order; rows repeated in the input each count; a
+taken as often as their neighbours in hash order, and ``least_epochs`` whole times where a
+source has no words at all; rows repeated in the input each count; a
 source without weight (null, zero or negative) gets no words; an empty table gives an empty
 result; other columns pass through untouched.
 """
@@ -74,7 +75,7 @@ def repetitions(docs: DataFrame, weights: DataFrame, budget_ratio: float = 1.5,
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     filled = water_fill(sources, (budget_ratio - least_epochs) * total, max_epochs - least_epochs)
     filled = filled.withColumn("target", F.col("target") + F.col("source_size") * F.lit(float(least_epochs)))
-    epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(float(least_epochs)))
     filled = filled.withColumn("whole", F.floor(epochs + 1e-12))
     filled = cut(filled.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
     cuts = weighted_cuts(slim.select(F.col("mix_source").alias("g"), F.col("mix_size").alias("w"), F.col("mix_code").alias("code")),
