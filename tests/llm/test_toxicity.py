@@ -37,6 +37,18 @@ def test_held_out_accuracy(spark):
     assert (flagged & (rows["toxic"] == 1)).sum() / flagged.sum() > 0.9
 
 
+def test_folds_that_lack_a_kind_of_label(spark):
+    """All toxic rows in the folds that are fitted, or all in the one that calibrates."""
+    ids = spark.range(600).select(F.col("id").alias("doc_id"), F.pmod(F.xxhash64("id", F.lit(12)), F.lit(X.FOLDS)).alias("fold"))
+    fold = {r.doc_id: r.fold for r in ids.collect()}
+    for last in (False, True):
+        toxic = [i for i in fold if (fold[i] == X.FOLDS - 1) == last][:40]
+        rows = [(i, "you stupid moron, get lost" if i in toxic else f"a fine day in town number {i}", int(i in toxic)) for i in fold]
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        scored = X.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic")).score(df).select("row.toxic", "score").collect()
+        assert min(r.score for r in scored if r.toxic) >= 0.3 > max(r.score for r in scored if not r.toxic)
+
+
 def test_edges(spark, edge, empty):
     labels = table(spark, SF, "labels")
     docs = table(spark, SF, "documents")

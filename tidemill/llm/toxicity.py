@@ -10,7 +10,7 @@ by a hash of ``doc_id``), the one bound of this module; scoring covers every who
   punctuation, digits, exclamation, obfuscation (a symbol or digit, or a run of those that disguise, inside a word) and
   repeated characters, and the length.
 * **Trees and calibration**: ``GBTClassifier`` on all folds but the last, isotonic regression
-  of its probabilities on the last.
+  of its probabilities on the last; a part that lacks a kind of label gives way to all rows.
 
 Labels, language, source and ``doc_id`` are never inputs of a score.  Edge cases: null text
 counts as empty and scores like any other row; several labels of one ``doc_id`` count as
@@ -242,6 +242,12 @@ def _calibrated(trees, calibration, rows: DataFrame) -> DataFrame:
         F.lit(0.0), 0.99 * F.col("_steps") + 0.01 * F.col("_raised"))))
 
 
+def _both_kinds(rows: DataFrame, part) -> DataFrame:
+    """The rows of a part, or all rows where the part lacks a kind of label."""
+    chosen = rows.where(part)
+    return chosen if chosen.select("y").distinct().count() == 2 else rows
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn=None, sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> ToxicityModel:
     """Fit on at most ``sample_rows`` rows of ``labels`` (doc_id, toxic) that meet ``learn``.
 
@@ -259,17 +265,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample_rows: int = SAMPL
     counts = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     calibrate = F.col("fold") == FOLDS - 1
-    held = {r["y"] for r in sample.where(~calibrate).select("y").distinct().collect()}
-    if len(counts) < 2 or len(held) < 2:
+    if len(counts) < 2:
         return ToxicityModel(None, None, None, share)
     lexicons = learn_lexicon(sample)
     rows = cut(_featured(packed(sample), lexicons, fold=True).select("row.doc_id", "row.y", "row.fold", *FEATURES)
                .coalesce(1).sortWithinPartitions("doc_id", *FEATURES), "toxic-features")
     trees = GBTClassifier(featuresCol="_features", labelCol="y", predictionCol="_predicted", maxIter=24, maxDepth=3, stepSize=0.2, seed=seed,
                           minInstancesPerNode=5)
-    trees = trees.setRawPredictionCol("_raw").setProbabilityCol("_probability").fit(_assembled(rows.where(~calibrate)))
-    last = rows.where(calibrate)
-    last = last if last.limit(1).count() else rows
+    trees = trees.setRawPredictionCol("_raw").setProbabilityCol("_probability").fit(_assembled(_both_kinds(rows, ~calibrate)))
+    last = _both_kinds(rows, calibrate)
     calibration = IsotonicRegression(featuresCol="_raised", labelCol="_y", predictionCol="_steps").fit(
         _raised(trees, last).select("_raised", F.col("y").cast("double").alias("_y")))
     return ToxicityModel(lexicons, trees, calibration, share)
