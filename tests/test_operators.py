@@ -294,7 +294,7 @@ def test_keyword_udtf_lateral(spark):
 def test_hot_key_bound_does_not_change_query_results(spark):
     """The hot-key split is exact: a tiny bound gives the same answer."""
     from tidemill.plans import queries as Q
-    from conftest import SF_SMALL
+    from table_paths import SF_SMALL
     base = rows(Q.QUERIES["login_return_users"](spark, SF_SMALL))
     spark.conf.set("spark.tidemill.hotRows", "3")
     try:

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 from tidemill.plans import queries as Q
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -14,7 +14,7 @@ from tidemill.plans import queries as Q
 from tidemill.plans import retail as R
 from tidemill.streaming import jobs as S
 from tidemill.streaming.stateful import DailyGate, DailyLogin, apply_processor
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 SWITCH = "spark.sql.streaming.noDataMicroBatches.enabled"
 
