@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprints, hnsw, minhash, mixing, passages, pieces, secrets, sharding, token_counts, toxicity
+from . import (alignment, bpe, fingerprints, hnsw, minhash, mixing, passages, pieces, secrets, sharding, token_counts, toxicity,
+               whitening)
 from .common import table
 
 
@@ -79,6 +80,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by merges, and digests of the ids and of what they decode to."""
+    return bpe.report(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight components of all, each with unit variance."""
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies that end together in every text, and how common these links are."""
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_hnsw": op2_hnsw,
@@ -90,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kd_sharding": op8_kd_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_secret_scan": op10_secret_scan,
+    "op11_bpe": op11_bpe,
+    "op12_whitening": op12_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # Water-filling in closed form: clamped sources are the first by cap and weight, and the level is that
