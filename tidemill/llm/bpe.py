@@ -1,12 +1,14 @@
 """Byte-pair encoding by backtracking over longest matches, and decoding by offsets (operator 11).
 
 The vocabulary is a file of merges whose words end in marked symbols (``</w>``).  A word is a row of
-symbols, its bytes, of which the last is the marked form.  One pass of an Aho-Corasick automaton of
-all reversed tokens over the reversed word gives the longest token that begins at every symbol.
-Encoding goes from left to right: it takes the longest token that may stand behind the one before
-it, else the next shorter one, which is its longest prefix among the tokens; where none fits, the
-place is marked as dead and the token before it is tried shorter.  A prefix of a word has one
-encoding only, so no place is entered twice and the work is linear in the word.
+symbols, its bytes, of which the last is the marked form.  An Aho-Corasick automaton cuts it from
+left to right into longest tokens; where each may stand behind the one before it, that is the
+encoding.  Else one pass of an automaton of all reversed tokens over the reversed word gives the
+longest token that begins at every symbol, and encoding goes from left to right with ways back: it
+takes the longest token that may stand behind the one before it, else the next shorter one, which is
+its longest prefix among the tokens; where none fits, the place is marked as dead and the token
+before it is tried shorter.  A prefix of a word has one encoding only, so no place is entered twice
+and the work is linear in the word.
 
 Two tokens may stand side by side if merging their text from scratch leaves exactly these two.
 That is a table over pairs, filled as pairs come up: the symbols on either side of the border live
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +46,8 @@ from .common import on_executors, packed, unused
 from .hashing import ranges
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
-#: What a task keeps of encoded pieces: at most so many bytes of them, and as many ids.
-KEPT = 1 << 25
+#: What a task keeps of encoded pieces (bytes, with 64 for each), and of the pairs it has looked at.
+KEPT, KEPT_PAIRS = 1 << 25, 1 << 19
 _NEVER = 1 << 62
 
 
@@ -92,16 +95,19 @@ class Vocabulary:
         known = {s: i for i, s in self.symbols.items()}
         # Tokens that their own merges do not spell again can never come out of an encoding.
         self.reachable = {i for i in known.values() if i not in self.made or self._side_by_side(*self.made[i][:2], self.made[i][2])}
+        self.whole = {s: i for s, i in known.items() if i in self.reachable}
         self.shorter = [-1] * size
-        self.found = ahocorasick.Automaton()
+        self.ahead, self.found = ahocorasick.Automaton(), ahocorasick.Automaton()
         for s, i in known.items():
             if i in self.reachable:
-                self.found.add_word(s[::-1], (len(s), i))
+                self.ahead.add_word(s, i)
+                self.found.add_word(s[::-1], i)
                 for n in range(len(s) - 1, 0, -1):
                     p = known.get(s[:n], -1)
                     if p in self.reachable:
                         self.shorter[i] = p
                         break
+        self.ahead.make_automaton()
         self.found.make_automaton()
         self.fits: dict[int, bool] = {}
 
@@ -128,7 +134,7 @@ class Vocabulary:
         key = a << 32 | b
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 1 << 21:
+            if len(self.fits) > KEPT_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self._side_by_side(a, b)
         return known
@@ -138,32 +144,74 @@ class Vocabulary:
         row = text.decode("latin-1")
         if self.marked:
             row = row[:-1] + chr(256 + ord(row[-1]))
+        whole = self.whole.get(row)
+        if whole is not None:
+            return [whole]
+        out = [token for _, token in self.ahead.iter_long(row)]
+        if all(map(self.may_follow, out, out[1:])):
+            return out
+        return self._searched(row)
+
+    def _searched(self, row: str) -> list[int]:
         n = len(row)
-        size, longest = [0] * n, [-1] * n
-        for end, (long, token) in self.found.iter(row[::-1]):
-            at = n - 1 - end
-            if long > size[at]:
-                size[at], longest[at] = long, token
+        # Every symbol is a token, so matches end at each; those that end at one come with the longest first.
+        longest, before = [], -1
+        for end, token in self.found.iter(row[::-1]):
+            if end != before:
+                longest.append(token)
+                before = end
         out: list[int] = []
-        dead = bytearray(n + 1)
-        at, token = 0, longest[0]
-        length, shorter = self.length, self.shorter
-        while at < n:
-            while token >= 0 and (dead[at + length[token]] or (out and not self.may_follow(out[-1], token))):
+        dead: set[int] = set()
+        at, last, token = 0, -1, longest[n - 1]
+        length, shorter, fits = self.length, self.shorter, self.fits
+        while True:
+            while token >= 0:
+                if at + length[token] not in dead:
+                    if last < 0:
+                        break
+                    fit = fits.get(last << 32 | token)
+                    if fit or fit is None and self.may_follow(last, token):
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at += length[token]
-                token = longest[at] if at < n else -1
+                if at == n:
+                    return out
+                last, token = token, longest[n - 1 - at]
             else:
-                dead[at] = 1
-                last = out.pop()
+                dead.add(at)
+                token = shorter[out.pop()]
                 at -= length[last]
-                token = shorter[last]
-        return out
+                last = out[-1] if out else -1
+
+
+class Slots(dict):
+    """Pieces of text with a slot each, numbered as they come; those seen once go when memory is full."""
+
+    def __init__(self):
+        super().__init__()
+        self.hits, self.held = np.empty(0, np.int64), 0
+
+    def seen(self, slots: np.ndarray) -> np.ndarray:
+        hits = np.bincount(slots, minlength=len(self))
+        hits[:len(self.hits)] += self.hits
+        self.hits = hits
+        return slots
+
+    def survivors(self) -> np.ndarray:
+        """The slots seen more than once, or none if they are most; they are numbered anew in their order."""
+        keep = np.flatnonzero(self.hits > 1)
+        if len(keep) * 2 > len(self):
+            keep = keep[:0]
+        pieces, held = list(self), self.held * len(keep) // max(1, len(self))
+        self.clear()
+        self.update((pieces[k], i) for i, k in enumerate(keep.tolist()))
+        self.hits, self.held = self.hits[keep] // 2, held
+        return keep
 
 
-class Pieces(dict):
+class Pieces(Slots):
     """Encoded pieces of text between white space: a slot for each, with its ids in flat arrays."""
 
     _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
@@ -177,19 +225,19 @@ class Pieces(dict):
         self.normal, self.pre = library.normalizer, library.pre_tokenizer
         self.byte = {s: b for b, s in enumerate(_byte_signs())}
         self.special = re.compile("(" + "|".join(map(re.escape, self.vocabulary.special)) + ")") if self.vocabulary.special else None
-        self._begin()
-
-    def _begin(self) -> None:
-        self.clear()
         self.ids, self.ends = np.empty(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
         self.new_ids: list[int] = []
         self.new_ends: list[int] = []
-        self.n_ids = self.held = 0
+        self.n_ids = 0
 
     def bound(self) -> None:
-        """Forget all pieces once they are many; called between texts only."""
+        """Forget pieces once they are many; called between texts only."""
         if self.held > KEPT or self.n_ids > KEPT >> 3:
-            self._begin()
+            keep = self.survivors()
+            size = self.ends[keep + 1] - self.ends[keep]
+            self.ids = self.ids[runs(self.ends[keep], size)]
+            self.ends = np.concatenate(([0], np.cumsum(size)))
+            self.n_ids = len(self.ids)
 
     def _settle(self) -> None:
         """Move the ids of new pieces into the flat arrays, which grow by doubling."""
@@ -224,12 +272,13 @@ class Pieces(dict):
         """The ids of all texts one after another, and the number of each."""
         self.bound()
         cut = [t.split() if t else [] for t in texts]
-        flat = [self[c] for cs in cut for c in cs]
-        slots = np.array(flat, np.int64)
+        number = np.array([len(cs) for cs in cut], np.int64)
+        slots = np.fromiter(map(self.__getitem__, chain.from_iterable(cut)), np.int64, int(number.sum()))
         self._settle()
+        self.seen(slots)
         size = self.ends[slots + 1] - self.ends[slots]
         ids = self.ids[runs(self.ends[slots], size)]
-        owner = np.repeat(np.arange(len(texts)), [len(cs) for cs in cut])
+        owner = np.repeat(np.arange(len(texts)), number)
         return ids, np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
 
 
@@ -248,11 +297,12 @@ def _read(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text") -> DataFrame:
-    """``docs`` with the token ids of a text column (``ids``) and their number (``n_tokens``)."""
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``keep``, or all) with the token ids of a text column (``ids``) and their number (``n_tokens``)."""
     on_executors(docs.sparkSession)
     text = _read(vocabulary)
-    rows = packed(docs, F.col(f"`{column}`").cast("binary").alias("raw"))
+    columns = docs.columns if keep is None else keep
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{column}`").cast("binary").alias("raw"))
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
 
     def run(parts):
@@ -266,7 +316,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text")
                     [batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(count)],
                     names=["row", "ids", "n_tokens"])
 
-    named = [F.col(c).alias(unused(c, docs.columns)) for c in ("ids", "n_tokens")]
+    named = [F.col(c).alias(unused(c, columns)) for c in ("ids", "n_tokens")]
     return rows.mapInArrow(run, schema).select("row.*", *named)
 
 
@@ -301,7 +351,6 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, column: str = "ids"
 
 def report(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Number of tokens of each document, and digests of its ids and of their decoding."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    done = decode(encode(rows, vocabulary).select("doc_id", "ids", "n_tokens"), vocabulary)
+    done = decode(encode(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"]), vocabulary)
     return done.select("doc_id", "n_tokens", F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
