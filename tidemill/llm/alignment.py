@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import _byte_signs, runs
-from .common import cut, on_executors, packed, unused
+from .bpe import Slots, _byte_signs, runs
+from .common import cut, on_executors, unused
 from .hashing import ranges
 
 BYTES_FILE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -135,6 +135,7 @@ class Pair:
             self.b_spelled.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode("utf-8"))
         self.b_width = len(self.b_spelled)
         self.width = self.b_width * len(self.a_spelled)
+        self.a_size, self.b_size = (np.array([len(x) for x in s], np.int64) for s in (self.a_spelled, self.b_spelled))
         # Texts may be cut between a word and a space only if no piece goes over that place.
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b_width))
 
@@ -142,68 +143,79 @@ class Pair:
         """The text with a space in front, cut where tokens of both always end."""
         return _CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch(pieces, add_special_tokens=False)]
-        return a, self.b.encode([p[1:] for p in pieces], num_threads=1)
-
-
-def _joined(parts: list, kind=np.int64) -> np.ndarray:
-    return np.fromiter((x for p in parts for x in p), kind, sum(map(len, parts)))
-
-
-class Blocks(dict):
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bool]]:
+        """(A's ids, B's ids, how many of each a piece has, whether both spell it) of pieces one after another."""
+        whole = "".join(pieces)
+        ends = np.cumsum([len(p.encode("utf-8")) for p in pieces])
+        ids = [np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64), np.array(self.b.encode(whole[1:]), np.int64)]
+        counts = []
+        for own, size, spelled in zip(ids, (self.a_size, self.b_size), (self.a_spelled, self.b_spelled)):
+            stops = np.cumsum(size[own])
+            at = np.searchsorted(stops, ends)
+            if b"".join(map(spelled.__getitem__, own.tolist())) != whole.encode("utf-8") or (stops[at] != ends).any():
+                break
+            counts.append(np.diff(at + 1, prepend=0))
+        if len(counts) == 2:
+            return *ids, *counts, [True] * len(pieces)
+        if len(pieces) > 1:  # some piece isn't spelled again, or has no border to the next: find it by halves
+            half = len(pieces) // 2
+            one, two = self.encode(pieces[:half]), self.encode(pieces[half:])
+            return *(np.concatenate((x, y)) for x, y in zip(one[:4], two[:4])), one[4] + two[4]
+        none = np.empty(0, np.int64)
+        return none, none, np.zeros(1, np.int64), np.zeros(1, np.int64), [False]
+
+
+class Blocks(Slots):
     """Aligned pieces: for each a slot, with counts and links of ids in flat arrays."""
 
     def __init__(self, pair: Pair, kind: str = "ends"):
         super().__init__()
         self.pair, self.kind = pair, kind
-        self._begin()
-
-    def _begin(self) -> None:
-        self.clear()
         self.n = np.zeros((0, 4), np.int64)  # of each slot: tokens of A and B, groups, whether it's spelled again
         self.shown: list[str] = []
         self.links, self.ends = np.empty(0, np.int64), np.zeros(1, np.int64)
-        self.held = 0
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Align all pieces that are new, at once: their matrices are one matrix of blocks."""
-        if len(self.links) > KEPT or self.held > KEPT * 8:
-            self._begin()
-        new = list({p for t in texts for p in t if p not in self})
-        for first, last in ranges(np.array([len(p) for p in new], np.int64)) if new else ():
-            self._align(new[first:last])
+    def slots(self, pieces: list[str]) -> np.ndarray:
+        """The slots of pieces; those that are new are aligned at once, their matrices being one of blocks."""
+        if len(self.links) > KEPT or self.held > KEPT * 4:
+            keep = self.survivors()
+            size = self.ends[keep + 1] - self.ends[keep]
+            self.n, self.shown = self.n[keep], [self.shown[k] for k in keep.tolist()]
+            self.links = self.links[runs(self.ends[keep], size)]
+            self.ends = np.concatenate(([0], np.cumsum(size)))
+        new = list({p for p in pieces if p not in self})
+        if new:
+            # Pieces that end in white space, at the end of a text, have no sure border to the next one.
+            new.sort(key=lambda p: p[-1].isspace())
+            firm = sum(not p[-1].isspace() for p in new)
+            for first, last in ranges(np.array([len(p) for p in new[:firm]], np.int64)) if firm else ():
+                self._align(new[first:last])
+            for p in new[firm:]:
+                self._align([p])
+        return self.seen(np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces)))
 
     def _align(self, new: list[str]) -> None:
-        a, b = self.pair.encode(new)
-        raw = [p.encode("utf-8") for p in new]
-        spelled = [b"".join(map(self.pair.a_spelled.__getitem__, x)) == r == b"".join(map(self.pair.b_spelled.__getitem__, y))
-                   for x, y, r in zip(a, b, raw)]
-        a, b = ([x if ok else [] for x, ok in zip(ids, spelled)] for ids in (a, b))
-        raw = [r if ok else b"" for r, ok in zip(raw, spelled)]
-        width = sum(map(len, raw))
-        a_ids, b_ids = _joined(a), _joined(b)
-        a_size, b_size = (np.array([len(s) for s in t], np.int64) for t in (self.pair.a_spelled, self.pair.b_spelled))
-        a_ends, b_ends = np.cumsum(a_size[a_ids]), np.cumsum(b_size[b_ids])
+        pair = self.pair
+        a_ids, b_ids, n_a, n_b, spelled = pair.encode(new)
+        a_ends, b_ends = np.cumsum(pair.a_size[a_ids]), np.cumsum(pair.b_size[b_ids])
+        width = int(a_ends[-1]) if len(a_ends) else 0
         i, j, _ = linked(a_ends, b_ends, width, self.kind)
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
         owner = np.repeat(np.arange(len(new)), n_a)
         n_links = np.bincount(owner[i], minlength=len(new))
         last_a, last_b, _ = linked(a_ends, b_ends, width) if self.kind != "ends" else (i, j, None)
         n_groups = np.bincount(owner[last_a], minlength=len(new))
         self.shown += _shown(a_ids, b_ids, last_a, last_b, n_groups)
         self.n = np.concatenate((self.n, np.stack([n_a, n_b, n_groups, np.array(spelled, np.int64)], 1)))
-        self.links = np.concatenate((self.links, a_ids[i] * self.pair.b_width + b_ids[j]))
+        self.links = np.concatenate((self.links, a_ids[i] * pair.b_width + b_ids[j]))
         self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(n_links)))
-        for p in new:
-            self[p] = len(self)
-        self.held += sum(map(len, raw)) + 64 * len(new)
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.held += width + 64 * len(new)
 
 
 def _shown(a_ids, b_ids, last_a, last_b, n_groups) -> list[str]:
     """The groups of each piece: ids of A, ``|``, ids of B; ``;`` between groups."""
     out, parts = [], []
-    a, b = a_ids.astype(str).tolist(), b_ids.astype(str).tolist()
+    a, b = (list(map(str, x.tolist())) for x in (a_ids, b_ids))
     i = j = 0
     for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
         parts.append(",".join(a[i:x]) + "|" + ",".join(b[j:y]))
@@ -226,12 +238,14 @@ _FOUND = [T.StructField("n_a", T.LongType()), T.StructField("n_b", T.LongType())
           T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.LongType()))]
 
 
-def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str = BYTES_FILE, b_file: str = PIECES_FILE) -> DataFrame:
-    """``docs`` with ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups`` (ids as ``a1,a2|b1;a3|b2,b3``), and
+def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str = BYTES_FILE, b_file: str = PIECES_FILE,
+          keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (its columns ``keep``, or all) with ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups`` (ids as ``a1,a2|b1;a3|b2,b3``), and
     the links of the kind by their ids: ``pairs`` (A's id times the size of B's vocabulary plus B's id) and,
     for each, how many ``times`` it is linked."""
     on_executors(docs.sparkSession)
-    rows = packed(docs, F.col(f"`{column}`").alias("whole"))
+    columns = docs.columns if keep is None else keep
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{column}`").alias("whole"))
 
     def run(parts):
         blocks = Blocks(Pair(a_file, b_file), kind)
@@ -239,9 +253,8 @@ def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str
             column = batch.column(1)
             for first, last in ranges(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
                 texts = [blocks.pair.pieces(t) if t else [] for t in column.slice(first, last - first).to_pylist()]
-                blocks.learn(texts)
                 size = np.array([len(t) for t in texts], np.int64)
-                slots = np.fromiter((blocks[p] for t in texts for p in t), np.int64, int(size.sum()))
+                slots = blocks.slots([p for t in texts for p in t])
                 owner = np.repeat(np.arange(len(texts)), size)
                 found = blocks.n[slots]
                 bad = np.bincount(owner, weights=1 - found[:, 3], minlength=len(texts)) > 0
@@ -250,9 +263,9 @@ def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str
                 begin, ends = blocks.ends[slots[keep]], blocks.ends[slots[keep] + 1]
                 n_links = np.bincount(owner[keep], weights=ends - begin, minlength=len(texts)).astype(np.int64)
                 shown, at = [], 0
-                own = slots.tolist()
+                own = list(map(blocks.shown.__getitem__, slots.tolist()))
                 for k, s in enumerate(size.tolist()):
-                    shown.append("" if bad[k] else ";".join([blocks.shown[x] for x in own[at:at + s]]))
+                    shown.append("" if bad[k] else ";".join(own[at:at + s]))
                     at += s
                 pairs, times, different = _tally(np.repeat(np.arange(len(texts)), n_links), blocks.links[runs(begin, ends - begin)],
                                                  blocks.pair.width, len(texts))
@@ -262,7 +275,7 @@ def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str
                     [batch.column(0).slice(first, last - first), *map(pa.array, n), pa.array(n_links), pa.array(shown, pa.string()), *lists],
                     names=["row", *[f.name for f in _FOUND]])
 
-    named = [F.col(f.name).alias(unused(f.name, docs.columns)) for f in _FOUND]
+    named = [F.col(f.name).alias(unused(f.name, columns)) for f in _FOUND]
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], *_FOUND])).select("row.*", *named)
 
 
@@ -324,7 +337,7 @@ def score_links(rows: DataFrame, counts: DataFrame, key: str, sent_pairs: int =
 
 def report(docs: DataFrame, sent_pairs: int = SENT_PAIRS, a_file: str = BYTES_FILE, b_file: str = PIECES_FILE) -> DataFrame:
     """Tokens, groups and links of each document, and how common its links are in all documents."""
-    found = align(docs.select("doc_id", "text"), "ends", a_file=a_file, b_file=b_file)
+    found = align(docs.select("doc_id", "text"), "ends", a_file=a_file, b_file=b_file, keep=["doc_id"])
     rows = cut(found.select(
         F.monotonically_increasing_id().alias("key"), "doc_id", "n_a", "n_b", "n_groups", "n_links", "pairs", "times",
         F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")), "aligned")
