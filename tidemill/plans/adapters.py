@@ -138,7 +138,28 @@ def topic(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return spark.read.parquet(topic_path(spark, sf_dir, name, build))
 
 
-def topic_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+#: Rows of one step of a topic written in arrival order; ``spark.tidemill.topicRows`` overrides it.
+TOPIC_ROWS = 1 << 20
+#: Files of a step, which a stream takes at a time.
+TOPIC_FILES = 8
+
+
+def _write_in_order(df: DataFrame, path: str, order: str) -> None:
+    """Append ``df`` in steps of about ``TOPIC_ROWS`` rows along ``order``, each of at most ``TOPIC_FILES``
+    files: a stream that takes so many files at a time replays the arrival order in bounded batches."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}-made")
+    made = spark.read.parquet(f"{path}-made")
+    steps = -(-made.count() // int(spark.conf.get("spark.tidemill.topicRows", str(TOPIC_ROWS)))) or 1
+    cuts = made.approxQuantile(order, [k / steps for k in range(1, steps)], 0.1 / steps) if steps > 1 else []
+    bounds = [None, *sorted(set(cuts)), None]
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = made if low is None else made.where(F.col(order) > low)
+        part = part if high is None else part.where((F.col(order) <= high) if low is not None else (F.col(order) <= high) | F.col(order).isNull())
+        part.repartition(TOPIC_FILES).sortWithinPartitions(order).write.mode("append" if k else "overwrite").parquet(path)
+
+
+def topic_path(spark: SparkSession, sf_dir: str, name: str, build, order: str | None = None) -> str:
     """A derived topic at rest: ``build(spark, sf_dir)`` written once as parquet
     under the shared checkpoint folder (``spark.checkpoint.dir``), then read.
 
@@ -146,7 +167,8 @@ def topic_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     lineage so the optimizer cannot inline the record-building expressions
     into every downstream filter.  The folder name carries the source path, the
     sizes and times of all its files as the file system reports them, and
-    ``ADAPTER_VERSION``, so a changed input or rule gets a new topic.
+    ``ADAPTER_VERSION``, so a changed input or rule gets a new topic.  ``order``: the column along
+    which it is written in bounded steps, for streams.
     """
     import hashlib
 
@@ -161,9 +183,16 @@ def topic_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
         stamp += sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files)
     key = hashlib.sha256("|".join(stamp).encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark).rstrip('/')}/topics/{name}-{key}"
-    done = hadoop.Path(f"{path}/_SUCCESS")
+    if order is not None:
+        path = f"{path}-by-{order}-{spark.conf.get('spark.tidemill.topicRows', str(TOPIC_ROWS))}"
+    done = hadoop.Path(f"{path}/_SUCCESS" if order is None else f"{path}-made/_ORDERED")
     if not done.getFileSystem(fs_of).exists(done):
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        made = build(spark, sf_dir)
+        if order is None:
+            made.write.mode("overwrite").parquet(path)
+        else:
+            _write_in_order(made, path, order)
+            done.getFileSystem(fs_of).create(done).close()
     return path
 
 

@@ -43,6 +43,40 @@ def q_dim_config_route(spark, sf_dir):
     return routed.select("arrival", "sink_table", "row_key", d["visitor_id"].alias("visitor_id"), shown.alias("shown"))
 
 
+# U4 with a config that changes: at the middle of its log a table moves to another sink table and row
+# key, one loses its mapping, one gets it only then.  Changes of the config are derived from the log.
+_LATE, _DROPPED = "ods_order_pay_log", "ods_search_log"
+
+
+def _config_changes(spark, sf_dir):
+    log = AD.ods_fields(AD.load(spark, sf_dir, "events")).groupBy("tbl").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
+    first = log.where(F.col("tbl") != _LATE).select(F.col("lo").alias("arrival"), F.lit("r").alias("op"), F.col("tbl").alias("source_table"),
+                                                    F.concat(F.lit("dim_"), "tbl").alias("sink_table"), F.lit("log_id").alias("row_key"))
+    gone = F.col("tbl") == _DROPPED
+    later = log.select(F.floor((F.col("lo") + F.col("hi")) / 2).cast("long").alias("arrival"), F.when(gone, "d").otherwise("u").alias("op"),
+                       F.col("tbl").alias("source_table"), F.when(~gone, F.concat(F.lit("dim2_"), "tbl")).alias("sink_table"),
+                       F.when(~gone, F.lit("log_id, terminal_type")).alias("row_key"))
+    return first.unionByName(later)
+
+
+_ROUTED_AS_OF = f"""
+WITH o AS (SELECT * FROM {AD.SQL("ods")} x),
+m AS (SELECT tbl, (min(event_id) + max(event_id)) // 2 AS mid FROM o GROUP BY tbl)
+SELECT event_id AS arrival, CASE WHEN event_id >= mid THEN 'dim2_' ELSE 'dim_' END || tbl AS sink_table,
+       md5(CASE WHEN event_id < mid THEN log_id WHEN tbl = 'ods_crowd_attribute_log' THEN log_id || '_null'
+                ELSE log_id || '_' || terminal_type END) AS row_key, log_id
+FROM o JOIN m USING (tbl)
+WHERE op IN ('r', 'c', 'u') AND CASE tbl WHEN '{_LATE}' THEN event_id >= mid WHEN '{_DROPPED}' THEN event_id < mid ELSE true END
+"""
+
+
+@Q.register("dim_config_route_as_of", _ROUTED_AS_OF)
+def q_dim_config_route_as_of(spark, sf_dir):
+    unpacked = unpack_cdc(Q.envelopes(spark, sf_dir), keep=("arrival",))
+    routed = K.dim_config_route_as_of(unpacked, _config_changes(spark, sf_dir))
+    return routed.select("arrival", "sink_table", "row_key", F.col("data")["log_id"].alias("log_id"))
+
+
 # K5: two batches, a repeated one, and one of a restarted query whose ids begin again.
 _ORDERS = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders)"
 

@@ -11,15 +11,19 @@ import uuid
 
 from pyspark.sql import Window, functions as F
 
+from .. import sinks as K
 from ..functions.text import is_empty
 from ..functions.time import ms_to_wall
 from ..operators import aggregate as A
 from ..operators.enrich import lookup, snowflake_chain
 from ..operators.parse import split_dirty, unpack_cdc
 from ..operators.topn import top_n
+from ..session import state_dir
 from ..streaming import jobs as S
+from ..streaming.hold import close_holds, hold_last
 from ..streaming.stateful import DailyGate, DailyLogin, apply_processor
 from . import adapters as AD
+from . import io_queries as IQ
 from . import queries as Q
 from . import retail as R
 from . import traffic as G
@@ -29,9 +33,63 @@ def _stream(spark, path: str, schema):
     return spark.readStream.schema(schema).parquet(path)
 
 
+def _replay(spark, path: str, schema):
+    """A topic written in arrival order, one bounded step a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", AD.TOPIC_FILES).parquet(path)
+
+
+# ---------------------------------------------------------------- U4: routing by a config that changes
+@Q.register("stream_dim_config_route", IQ._ROUTED_AS_OF)
+def q_stream_dim_config_route(spark, sf_dir):
+    """The change log as a stream, the config's change log as a topic that each micro-batch reads anew."""
+    config = AD.topic_path(spark, sf_dir, "dim_config", IQ._config_changes)
+    path = AD.topic_path(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")), order="arrival")
+    unpacked = unpack_cdc(_replay(spark, path, spark.read.parquet(path).schema), keep=("arrival",))
+    run = _run("dim_route")
+    query, out = K.dim_config_route_stream(unpacked, lambda: spark.read.parquet(config), f"{state_dir(spark, run)}-rows", run)
+    query.awaitTermination()
+    schema = "arrival long, sink_table string, row_key string, data map<string,string>"
+    routed = spark.read.schema(schema).parquet(f"{out}/batch=*")
+    return routed.select("arrival", "sink_table", "row_key", F.col("data")["log_id"].alias("log_id"))
+
+
+# ---------------------------------------------------------------- D2: hold by a timer, emit the last once
+def _held_topic(spacing_ms: int):
+    """The order details with the time of arrival: an id's records come ``spacing_ms`` apart."""
+    def build(spark, sf_dir):
+        rows = _detail_topic(spark, sf_dir)
+        at = F.crc32(F.col("detail_id").cast("binary")) % 3_600_000 + (F.col("arrival") - 1) * spacing_ms
+        return close_holds(rows.select("detail_id", "order_id", "sku_id", *Q._AMTS, "arrival", at.alias("at_ms")), "at_ms", "closing", 3_600_000)
+    return build
+
+
+def _held(spark, sf_dir, spacing_ms: int):
+    path = AD.topic_path(spark, sf_dir, f"held_detail_{spacing_ms}", _held_topic(spacing_ms), order="at_ms")
+    records = _replay(spark, path, spark.read.parquet(path).schema)
+    out, schema = _topic(spark, hold_last(records, ["detail_id"], ["arrival"], "at_ms", marker="closing"), f"held_{spacing_ms}", ends=False)
+    held = spark.read.schema(schema).parquet(out)
+    return held.select("detail_id", "order_id", "sku_id", *[F.col(a).cast("double").alias(a) for a in Q._AMTS], "arrival")
+
+
+@Q.register("stream_keep_last_detail", Q.ORACLE["keep_last_detail"])
+def q_stream_keep_last_detail(spark, sf_dir):
+    """Corrections follow within 100 ms: one hold of five seconds has all records of an id."""
+    return _held(spark, sf_dir, 100).drop("arrival")
+
+
+# Corrections two seconds apart: a hold of five seconds takes three, the fourth begins the next hold.
+@Q.register("stream_hold_last", f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(AD.LINEITEM_ARRIVAL)}) AS arrival FROM {Q._DETAILS} x),
+h AS (SELECT *, max(arrival) OVER (PARTITION BY detail_id, (arrival - 1) // 3) AS last_of_hold FROM d)
+SELECT detail_id, order_id, sku_id, {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in Q._AMTS)}, arrival FROM h WHERE arrival = last_of_hold
+""")
+def q_stream_hold_last(spark, sf_dir):
+    return _held(spark, sf_dir, 2000)
+
+
 def _log(spark, sf_dir):
-    path = AD.topic_path(spark, sf_dir, "app_log", lambda s, d: AD.app_log_json(AD.load(s, d, "events")))
-    return split_dirty(_stream(spark, path, "arrival long, value string"), keep=("arrival",))["clean"]
+    path = AD.topic_path(spark, sf_dir, "app_log", lambda s, d: AD.app_log_json(AD.load(s, d, "events")), order="arrival")
+    return split_dirty(_replay(spark, path, "arrival long, value string"), keep=("arrival",))["clean"]
 
 
 def _pages(spark, sf_dir):
@@ -42,10 +100,10 @@ def _run(name: str) -> str:
     return f"{name}/{uuid.uuid4().hex[:12]}"
 
 
-def _topic(spark, result, name: str, run: str | None = None):
-    """Replay a stream into a topic at rest: (path, schema).  Gates and joins need no closing batch.
+def _topic(spark, result, name: str, run: str | None = None, ends: bool = True):
+    """Replay a stream into a topic at rest: (path, schema).  Gates and joins need no closing batch (``ends``).
     A ``run`` that was made before goes on from its checkpoint, with what is new in its source."""
-    query, path = S.to_topic(spark, result, run or _run(name), ends=True)
+    query, path = S.to_topic(spark, result, run or _run(name), ends=ends)
     query.awaitTermination()
     return path, result.schema
 
@@ -80,8 +138,8 @@ def q_stream_login_return_users(spark, sf_dir):
 
 @Q.register("stream_cart_unique_users", Q.ORACLE["cart_unique_users"])
 def q_stream_cart_unique_users(spark, sf_dir):
-    adds = AD.topic_path(spark, sf_dir, "cart_adds", Q.cart_adds)
-    gated = _gated(spark, S.cart_gate(_stream(spark, adds, "arrival long, user_id long, ts long")), "cart_gate")
+    adds = AD.topic_path(spark, sf_dir, "cart_adds", Q.cart_adds, order="arrival")
+    gated = _gated(spark, S.cart_gate(_replay(spark, adds, "arrival long, user_id long, ts long")), "cart_gate")
     return _table(spark, S.cart_windows(gated, processing_time=False), "cart", ["stt"])
 
 
@@ -97,8 +155,8 @@ def _detail_topic(spark, sf_dir):
 
 def _corrected(spark, sf_dir):
     """The topic of corrected details, one for the jobs that read it."""
-    path = AD.topic_path(spark, sf_dir, "order_detail", _detail_topic)
-    details = _stream(spark, path, spark.read.parquet(path).schema)
+    path = AD.topic_path(spark, sf_dir, "order_detail", _detail_topic, order="arrival")
+    details = _replay(spark, path, spark.read.parquet(path).schema)
     return _topic(spark, S.retract_stream(details, ttl_ms=None), "corrected", run=f"corrected/{path.rsplit('/', 1)[-1]}")
 
 
@@ -139,8 +197,8 @@ WITH {Q._G}
 SELECT event_id AS arrival, vid AS visitor_id, first_flag = '1' AS is_first FROM f WHERE vid IS NOT NULL
 """)
 def q_stream_first_seen_flag(spark, sf_dir):
-    path = AD.topic_path(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")))
-    unpacked = unpack_cdc(_stream(spark, path, spark.read.parquet(path).schema), keep=("arrival",))
+    path = AD.topic_path(spark, sf_dir, "cdc", lambda s, d: AD.cdc_envelopes(AD.load(s, d, "events")), order="arrival")
+    unpacked = unpack_cdc(_replay(spark, path, spark.read.parquet(path).schema), keep=("arrival",))
     visitors = unpacked.select("arrival", F.col("data")["visitor_id"].alias("visitor_id"))
     out, schema = _topic(spark, S.first_seen_stream(visitors), "first_seen")
     return spark.read.schema(schema).parquet(out)
@@ -153,8 +211,8 @@ SELECT arrival, user_id, ts_ms FROM x WHERE prev_max IS NULL OR ts_ms > prev_max
 """)
 def q_stream_monotone_latest(spark, sf_dir):
     path = AD.topic_path(spark, sf_dir, "user_times", lambda s, d: AD.events_base(AD.load(s, d, "events")).selectExpr(
-        "event_id AS arrival", "user_id", "ts_ms"))
-    out, schema = _topic(spark, S.latest_stream(_stream(spark, path, "arrival long, user_id long, ts_ms long"), "user_id", ttl_ms=None),
+        "event_id AS arrival", "user_id", "ts_ms"), order="arrival")
+    out, schema = _topic(spark, S.latest_stream(_replay(spark, path, "arrival long, user_id long, ts_ms long"), "user_id", ttl_ms=None),
                          "latest")
     return spark.read.schema(schema).parquet(out)
 

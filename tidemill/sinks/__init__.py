@@ -12,14 +12,15 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.keys import camel_to_snake, md5_key
 from ..functions.time import ms_to_wall, to_millis
 from ..operators.dedup import keep_last, latest_non_null
 
 __all__ = ["topic_sink", "write_routed", "json_lines", "olap_load", "upsert_merge", "write_versioned", "read_latest",
-           "vacuum", "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route", "delete_keys", "console"]
+           "vacuum", "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route",
+           "config_versions", "dim_config_route_as_of", "dim_config_route_stream", "delete_keys", "console"]
 
 
 # ---------------------------------------------------------------- K1 / K3 topic sinks
@@ -214,13 +215,59 @@ def dim_config_route(unpacked: DataFrame, config: DataFrame, sep: str = "_") ->
     md5, F7).  Deletes are ignored; every column is written, null as the text "null".  The config
     is one row per table, which the planner measures before it broadcasts it.
     """
+    return _dim_rows(unpacked.where("op <> 'd'").join(config, F.col("_table") == F.col("source_table")), unpacked.columns, sep)
+
+
+def _dim_rows(routed: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
+    """The rows to write for changes beside their ``sink_table`` and ``row_key`` fields."""
     data = F.transform_values("data", lambda k, v: F.coalesce(v, F.lit("null")))
-    routed = unpacked.where("op <> 'd'").join(config, F.col("_table") == F.col("source_table"))
     parts = F.transform(F.split("row_key", ","), lambda f: F.coalesce(F.col("data")[F.trim(f)], F.lit("null")))
-    return routed.select(*[c for c in unpacked.columns if c not in ("_table", "data", "op")], "sink_table",
+    return routed.select(*[c for c in columns if c not in ("_table", "data", "op")], "sink_table",
                          md5_key(F.concat_ws(sep, parts)).alias("row_key"), data.alias("data"))
 
 
+def config_versions(changes: DataFrame, order: str = "arrival") -> DataFrame:
+    """The versions of a config from its change log (``order``, ``op``, ``source_table``, ``sink_table``,
+    ``row_key``): (source_table, sink_table, row_key, valid_from, valid_to), valid up to but without
+    ``valid_to`` (null: still).  A delete ends a version and begins none; of changes of a table at the
+    same time deletes come first and the last by sink table and row key holds.  A log without any
+    change of a table has no version of it.
+    """
+    w = Window.partitionBy("source_table").orderBy(order, (F.col("op") != "d").cast("int"), "sink_table", "row_key")
+    spans = changes.where("source_table is not null").select(
+        "op", "source_table", "sink_table", "row_key", F.col(order).alias("valid_from"), F.lead(order).over(w).alias("valid_to"))
+    return spans.where("op <> 'd' and (valid_to is null or valid_from < valid_to)").drop("op")
+
+
+def dim_config_route_as_of(unpacked: DataFrame, changes: DataFrame, order: str = "arrival", sep: str = "_") -> DataFrame:
+    """U4 with a config that changes: each change is routed as the config version valid at its arrival
+    says (a version holds from its own arrival on), so it comes out the same however late it is read.
+    Changes of tables without a valid version go nowhere, as do deletes.
+
+    Versions are few and small beside the changes: the planner broadcasts them when it measures them
+    so; else the join shuffles by table, and AQE splits the tables that hold most changes.
+    """
+    versions = config_versions(changes, order)
+    own = unpacked.where("op <> 'd'")
+    at = F.col(order)
+    valid = (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
+    return _dim_rows(own.join(versions, (F.col("_table") == F.col("source_table")) & valid), unpacked.columns, sep)
+
+
+def dim_config_route_stream(unpacked: DataFrame, read_changes, path: str, name: str, order: str = "arrival", sep: str = "_",
+                            trigger: dict | None = None):
+    """The same on a stream of changes: (query, path).  ``read_changes()`` gives the config's change log
+    as it stands; it is called again for each micro-batch, so a batch sees every config change that
+    came before it.  A batch writes one part of its own under ``path``; a repeated one writes it again,
+    and routes alike, as versions are found by arrival and not by the time of reading."""
+    from ..streaming.jobs import start
+
+    def write(batch: DataFrame, number: int) -> None:
+        dim_config_route_as_of(batch, read_changes(), order, sep).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return start(unpacked.sparkSession, unpacked, name, foreach_batch=write, trigger=trigger), path
+
+
 def delete_keys(current: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K8: drop the rows whose key is listed (anti join)."""
     return current.join(keys_df.select(*keys).distinct(), list(keys), "left_anti")
