@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.parse import split_dirty, split_log
+from ..operators.segment import segment
 from . import adapters as AD
 from . import retail as R
 
@@ -700,6 +701,43 @@ def q_word_batch_check(spark, sf_dir):
     return J.batch_membership(conv, _word_list(spark, sf_dir), "words", ["conv_id", "turn"])
 
 
+# Runs of letters of all documents cut by longest match with the words of the benchmark; each
+# distinct run is cut once.
+_LETTERS = "[a-z\u00e0-\u00ff]+"
+
+
+@register("segment_longest", f"""
+WITH RECURSIVE words AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '{_LETTERS}')) AS w FROM benchmark) t
+                         WHERE length(w) > 1),
+runs AS (SELECT run, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{_LETTERS}')) AS run FROM documents) t GROUP BY run),
+lens AS (SELECT DISTINCT length(w) AS l FROM words),
+cand AS (SELECT run, pos, l, substr(run, pos, l) AS w FROM (SELECT run, unnest(range(1, length(run) + 1)) AS pos FROM runs) r, lens
+         WHERE pos + l - 1 <= length(run)),
+longest AS (SELECT run, pos, max(l) AS l FROM cand SEMI JOIN words USING (w) GROUP BY run, pos),
+step AS (SELECT run, n, 1::BIGINT AS pos, 0::BIGINT AS l FROM runs
+         UNION ALL SELECT s.run, s.n, s.pos + s.l, coalesce(x.l, 1) FROM (SELECT * FROM step WHERE pos + l <= length(run)) s
+         LEFT JOIN longest x ON x.run = s.run AND x.pos = s.pos + s.l)
+SELECT substr(run, pos, l) AS word, CAST(sum(n) AS BIGINT) AS n FROM step WHERE l > 0 GROUP BY 1
+""")
+def q_segment_longest(spark, sf_dir):
+    return _segmented(spark, sf_dir, "longest")
+
+
+def _segmented(spark, sf_dir, mode: str):
+    letters = lambda t: F.regexp_extract_all(F.lower(t), F.lit(f"({_LETTERS})"))
+    words = AD.load(spark, sf_dir, "benchmark").select(F.explode(letters("text")).alias("word")).where("length(word) > 1")
+    runs = AD.load(spark, sf_dir, "documents").select(F.explode(letters("text")).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
+    dictionary = words.groupBy("word").agg(F.count("*").alias("weight"))
+    cut = segment(runs, "run", dictionary, pattern=_LETTERS, mode=mode)
+    return cut.select(F.explode("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+@register("segment_best")
+def q_segment_best(spark, sf_dir):
+    """The same along the best path; what SQL has no form for is tested against all cuts of short runs."""
+    return _segmented(spark, sf_dir, "best")
+
+
 # Hold-and-emit-last — the last version of every order-detail id.
 @register("keep_last_detail", f"""
 WITH d AS (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY {', '.join(c + ' DESC' for c in AD.LINEITEM_ARRIVAL)}) AS rd
