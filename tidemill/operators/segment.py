@@ -52,7 +52,7 @@ class DoubleArrayTrie:
         size = 2 * len(children) + len(signs) + 2
         base, check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
         value = np.full(size, np.nan)
-        place, check[0], free, tail = {0: 0}, 0, 1, 1
+        place, check[0], free, tail = {0: 0}, 0, len(signs) + 1, 1
         for node, below in enumerate(children):  # parents come before their children
             at = place[node]
             if node in ends:
@@ -63,7 +63,7 @@ class DoubleArrayTrie:
             while free < len(check) and check[free] >= 0:
                 free += 1
             # Nodes with several children go near the end; holes that they leave are filled by the others.
-            low = max(free if len(codes) == 1 else tail - 4 * _STRETCH, 1 + int(codes[0]))
+            low = free if len(codes) == 1 else max(free, tail - 4 * _STRETCH)
             while True:  # the first places that are free for all children, looked for a stretch at a time
                 if low + _STRETCH + codes[-1] >= len(check):
                     more = len(check) + _STRETCH
