@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.bloom import bloom_dedup
 from ..operators.parse import split_dirty, split_log
 from ..operators.segment import segment
 from . import adapters as AD
@@ -775,6 +776,13 @@ def q_dedup_full(spark, sf_dir):
     return D.exact_dedup(li)
 
 
+def _dedup_lines(spark, sf_dir):
+    return AD.load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate").alias("ts_ms"),
+        "l_linenumber", *AD.LINEITEM_ARRIVAL)
+
+
 # First record per (order id, ts) in arrival order (exact form of the Bloom filter).
 @register("dedup_key", f"""
 WITH x AS (SELECT l_orderkey AS order_id, epoch_ms(l_shipdate) AS ts_ms, l_linenumber, l_partkey,
@@ -782,11 +790,23 @@ WITH x AS (SELECT l_orderkey AS order_id, epoch_ms(l_shipdate) AS ts_ms, l_linen
 SELECT order_id, ts_ms, l_linenumber, l_partkey FROM x WHERE rn = 1
 """)
 def q_dedup_key(spark, sf_dir):
-    li = AD.load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "l_shipdate").alias("ts_ms"),
-        "l_linenumber", *AD.LINEITEM_ARRIVAL)
-    out = D.dedup_on_keys(li, ["order_id", "ts_ms"], AD.LINEITEM_ARRIVAL)
+    out = D.dedup_on_keys(_dedup_lines(spark, sf_dir), ["order_id", "ts_ms"], AD.LINEITEM_ARRIVAL)
+    return out.select("order_id", "ts_ms", "l_linenumber", "l_partkey")
+
+
+# D5 with a filter: the lines of a second delivery (the fifth line of an order and later) whose order
+# and time the first delivery did not have.
+@register("bloom_dedup_key", f"""
+WITH x AS (SELECT l_orderkey AS order_id, epoch_ms(l_shipdate) AS ts_ms, l_linenumber, {_ARR} FROM lineitem),
+n AS (SELECT *, row_number() OVER (PARTITION BY order_id, ts_ms ORDER BY {_ARR}) AS rn FROM x WHERE l_linenumber > 4)
+SELECT order_id, ts_ms, l_linenumber, l_partkey FROM n
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM x s WHERE s.l_linenumber <= 4 AND s.order_id = n.order_id AND s.ts_ms = n.ts_ms)
+""")
+def q_bloom_dedup_key(spark, sf_dir):
+    lines = _dedup_lines(spark, sf_dir)
+    late = F.col("l_linenumber") > 4
+    n = max(1000, lines.where(~late).count())
+    out = bloom_dedup(lines.where(late), lines.where(~late), ["order_id", "ts_ms"], AD.LINEITEM_ARRIVAL, n)
     return out.select("order_id", "ts_ms", "l_linenumber", "l_partkey")
 
 

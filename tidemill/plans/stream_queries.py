@@ -15,6 +15,7 @@ from .. import sinks as K
 from ..functions.text import is_empty
 from ..functions.time import ms_to_wall
 from ..operators import aggregate as A
+from ..operators.bloom import bloom_stream, settle_doubtful
 from ..operators.enrich import lookup, snowflake_chain
 from ..operators.parse import split_dirty, unpack_cdc
 from ..operators.topn import top_n
@@ -38,6 +39,24 @@ def _replay(spark, path: str, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", AD.TOPIC_FILES).parquet(path)
 
 
+# ---------------------------------------------------------------- D5: Bloom filter in keyed state
+def _line_topic(spark, sf_dir):
+    keys = ["order_id", "ts_ms"]
+    rows = Q._dedup_lines(spark, sf_dir)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*AD.LINEITEM_ARRIVAL)).cast("long")
+    return rows.select(*keys, "l_linenumber", "l_partkey", place.alias("arrival"))
+
+
+@Q.register("stream_bloom_dedup", Q.ORACLE["dedup_key"])
+def q_stream_bloom_dedup(spark, sf_dir):
+    """The filter passes what is surely new; the exact check settles the rest from the topic at rest."""
+    path = AD.topic_path(spark, sf_dir, "order_lines", _line_topic, order="arrival")
+    records = spark.read.parquet(path)
+    gated = bloom_stream(_replay(spark, path, records.schema), ["order_id", "ts_ms"], "arrival", max(1000, records.count()))
+    out, schema = _topic(spark, gated, "bloom_gate")
+    return settle_doubtful(spark.read.schema(schema).parquet(out), ["order_id", "ts_ms"], ["arrival"]).drop("arrival")
+
+
 # ---------------------------------------------------------------- U4: routing by a config that changes
 @Q.register("stream_dim_config_route", IQ._ROUTED_AS_OF)
 def q_stream_dim_config_route(spark, sf_dir):
