@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.bloom import bloom_dedup
-from ..operators.parse import split_dirty, split_log
+from ..operators.parse import split_dirty, split_log, unpack_cdc
 from ..operators.segment import segment
+from ..operators.user_aggregate import QuantileSketch, aggregate
 from . import adapters as AD
 from . import retail as R
 
@@ -810,6 +811,28 @@ def q_bloom_dedup_key(spark, sf_dir):
     return out.select("order_id", "ts_ms", "l_linenumber", "l_partkey")
 
 
+# An aggregate of one's own, mergeable quantiles of stay times with a relative error of 1 %.
+_Q = (0.5, 0.9, 0.99)
+
+
+@register("stay_time_quantiles", f"""
+WITH v AS (SELECT terminal_type, visit_object_type, CAST(stay_time AS DOUBLE) AS x FROM {AD.SQL('ods')} o
+           WHERE tbl = 'ods_user_visit_log' AND op <> 't'),
+b AS (SELECT terminal_type, visit_object_type, CASE WHEN x <= 0 THEN -2147483648 ELSE CAST(ceil(ln(x) / ln(1.01 / 0.99)) AS BIGINT) END AS i,
+             count(*) AS n FROM v WHERE x IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY terminal_type, visit_object_type ORDER BY i) AS upto,
+             sum(n) OVER (PARTITION BY terminal_type, visit_object_type) AS total FROM b)
+SELECT terminal_type, visit_object_type,
+       {', '.join(f"round((SELECT CASE WHEN m = -2147483648 THEN 0.0 ELSE 2 * pow(1.01 / 0.99, m) / (1.01 / 0.99 + 1) END FROM (SELECT min(d.i) AS m FROM c d WHERE d.terminal_type = g.terminal_type AND d.visit_object_type = g.visit_object_type AND d.upto >= {q} * d.total) t), 4) AS p{round(q * 100)}" for q in _Q)}
+FROM (SELECT DISTINCT terminal_type, visit_object_type FROM v) g
+""")
+def q_stay_time_quantiles(spark, sf_dir):
+    visits = unpack_cdc(envelopes(spark, sf_dir)).where("_table = 'ods_user_visit_log'").select(
+        *[F.col("data")[c].alias(c) for c in ("terminal_type", "visit_object_type")], F.col("data")["stay_time"].cast("double").alias("stay_time"))
+    found = aggregate(visits, ["terminal_type", "visit_object_type"], ["stay_time"], QuantileSketch("stay_time", _Q), "array<double>", "q")
+    return found.select("terminal_type", "visit_object_type", *[F.round(F.get("q", F.lit(i)), 4).alias(f"p{round(p * 100)}") for i, p in enumerate(_Q)])
+
+
 # salt/bucket assignment with a hot-key override (fixed values: the override map).
 HOT_CUSTOMERS = {"customer#000000001": 0, "customer#000000002": 1}
 
