@@ -16,7 +16,8 @@ from tidemill.streaming.hold import close_holds, hold_last
 
 KEYED = ["stream_page_view_window", "stream_home_detail_uv", "stream_login_return_users", "stream_cart_unique_users", "stream_retract",
          "stream_first_seen_flag", "stream_monotone_latest", "stream_daily_unique", "stream_new_visitor_repair", "stream_login_flags",
-         "stream_keep_last_detail", "stream_hold_last", "stream_dim_config_route"]
+         "stream_keep_last_detail", "stream_hold_last", "stream_dim_config_route", "stream_bloom_dedup",
+         "stream_log_topics"]
 
 
 @pytest.mark.parametrize("name", KEYED)

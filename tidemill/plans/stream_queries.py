@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window, functions as F
 
 from .. import sinks as K
@@ -22,6 +23,7 @@ from ..operators.topn import top_n
 from ..session import state_dir
 from ..streaming import jobs as S
 from ..streaming.hold import close_holds, hold_last
+from ..streaming.side_outputs import log_topics, to_topics
 from ..streaming.stateful import DailyGate, DailyLogin, apply_processor
 from . import adapters as AD
 from . import io_queries as IQ
@@ -39,6 +41,41 @@ def _replay(spark, path: str, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", AD.TOPIC_FILES).parquet(path)
 
 
+# ---------------------------------------------------------------- X5: one keyed operator, five topics
+# The field of each topic's payload that the query shows.
+_SHOWN = {"err": "error_code", "start": "entry", "display": "item", "action": "item", "page": "page_id"}
+
+
+@Q.register("stream_log_topics", f"""
+WITH p AS (SELECT * FROM {Q._CLEAN} c),
+f AS (SELECT mid, arg_min(is_new, arrival) AS fi, arg_min(ts_ms, arrival) AS ft FROM p GROUP BY mid),
+s AS (SELECT mid, CASE WHEN fi = '1' THEN {Q._day('ft')} ELSE {Q._day('(ft - 86400000)')} END AS fd FROM f),
+r AS (SELECT p.* EXCLUDE (is_new), CASE WHEN p.is_new = '1' AND s.fd <> {Q._day('p.ts_ms')} THEN '0' ELSE p.is_new END AS is_new
+      FROM p JOIN s USING (mid))
+SELECT 'err' AS topic, arrival, mid, is_new, NULL::BIGINT AS ts, err_code AS shown FROM r WHERE err_code IS NOT NULL
+UNION ALL SELECT 'start', arrival, mid, is_new, ts_ms, start_entry FROM r WHERE is_start
+UNION ALL SELECT 'display', arrival, mid, is_new, ts_ms, CAST(k + i AS VARCHAR)
+          FROM (SELECT *, unnest(range(n_displays)) AS i FROM r WHERE NOT is_start AND n_displays > 0) x
+UNION ALL SELECT 'action', arrival, mid, is_new, NULL, CAST(k + i AS VARCHAR)
+          FROM (SELECT *, unnest(range(n_actions)) AS i FROM r WHERE NOT is_start AND n_actions > 0) x
+UNION ALL SELECT 'page', arrival, mid, is_new, ts_ms, page_id FROM r WHERE NOT is_start
+""")
+def q_stream_log_topics(spark, sf_dir):
+    """The log is split and its flag repaired in one pass; each topic is read from its own folder."""
+    query, path = to_topics(spark, log_topics(_log(spark, sf_dir), ttl_ms=None), _run("log_topics"), ends=True)
+    query.awaitTermination()
+    out = None
+    for topic, field in _SHOWN.items():
+        try:
+            rows = spark.read.schema("arrival long, mid string, is_new string, ts long, body string").parquet(f"{path}/topic={topic}")
+        except AnalysisException:  # a topic that got no row has no folder
+            continue
+        shown = rows.select(F.lit(topic).alias("topic"), "arrival", "mid", "is_new", "ts", F.get_json_object("body", f"$.{field}").alias("shown"))
+        out = shown if out is None else out.unionByName(shown)
+    none = "topic string, arrival long, mid string, is_new string, ts long, shown string"
+    return spark.createDataFrame([], none) if out is None else out
+
+
 # ---------------------------------------------------------------- D5: Bloom filter in keyed state
 def _line_topic(spark, sf_dir):
     keys = ["order_id", "ts_ms"]
