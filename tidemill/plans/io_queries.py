@@ -13,6 +13,7 @@ from ..functions import keys as FK
 from ..functions import time as FT
 from ..operators.parse import unpack_cdc
 from ..session import checkpoint_dir
+from ..sources.handover import change_source
 from . import adapters as AD
 from . import queries as Q
 
@@ -43,6 +44,52 @@ def q_dim_config_route(spark, sf_dir):
     return routed.select("arrival", "sink_table", "row_key", d["visitor_id"].alias("visitor_id"), shown.alias("shown"))
 
 
+# S3: orders change while a snapshot of them is read in chunks of 500 keys.  Every order is created,
+# updated, and one in five deleted; a chunk's marks are 400 positions apart, the rows are those of some
+# position between them.  SQL tells the table at each chunk's high mark from the log alone.
+_VERSIONS = {
+    "chunk": "CAST(floor(o_orderkey / 500) AS BIGINT)",
+    "made": "CAST(o_custkey * 37 % 3000 AS BIGINT)",
+    "changed": "CAST(o_custkey * 37 % 3000 + 1 + o_orderkey * 13 % 900 AS BIGINT)",
+    "gone": "CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_custkey * 37 % 3000 + 901 + o_orderkey * 7 % 700 AS BIGINT) END",
+}
+_LOW, _READ, _HIGH = ("chunk * 97 % 2600", "chunk * 97 % 2600 + 1 + o_orderkey % 399", "chunk * 97 % 2600 + 400")
+_VERSIONED = "SELECT o_orderkey, o_orderstatus, " + ", ".join(f"{e} AS {n}" for n, e in _VERSIONS.items())
+
+
+def _order_versions(spark, sf_dir):
+    o = AD.load(spark, sf_dir, "orders").dropDuplicates(["o_orderkey"])
+    return o.selectExpr("o_orderkey", "o_orderstatus", *[f"{e} AS {n}" for n, e in _VERSIONS.items()])
+
+
+def _order_log(versions):
+    image = lambda version: F.create_map(F.lit("status"), F.lit(version))
+    change = lambda at, op, before, after: F.struct(F.col(at).alias("position"), F.lit(op).alias("op"),
+                                                    before.alias("before"), after.alias("after"))
+    none = F.lit(None).cast("map<string,string>")
+    changes = F.array(change("made", "c", none, image("new")), change("changed", "u", image("new"), image("paid")),
+                      change("gone", "d", image("paid"), none))
+    return versions.select("o_orderkey", "chunk", F.explode(changes).alias("e")).select("o_orderkey", "chunk", "e.*").where("position is not null")
+
+
+@Q.register("cdc_snapshot_then_log", f"""
+WITH v AS (SELECT *, {_HIGH} AS high FROM ({_VERSIONED} FROM (SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus FROM orders) o) x)
+SELECT o_orderkey, high AS "position", 'r' AS op, CASE WHEN changed <= high THEN 'paid' ELSE 'new' END AS status FROM v
+WHERE made <= high AND (gone IS NULL OR gone > high)
+UNION ALL SELECT o_orderkey, made, 'c', 'new' FROM v WHERE made > high
+UNION ALL SELECT o_orderkey, changed, 'u', 'paid' FROM v WHERE changed > high
+UNION ALL SELECT o_orderkey, gone, 'd', 'paid' FROM v WHERE gone > high
+""")
+def q_cdc_snapshot_then_log(spark, sf_dir):
+    versions = _order_versions(spark, sf_dir)
+    marks = versions.select("chunk").distinct().selectExpr("chunk", f"{_LOW} AS low", f"{_HIGH} AS high")
+    read = versions.selectExpr("*", f"{_READ} AS seen").where("made <= seen and (gone is null or gone > seen)")
+    status = F.when(F.col("changed") <= F.col("seen"), "paid").otherwise("new")
+    snapshot = read.select("o_orderkey", "chunk", F.create_map(F.lit("status"), status).alias("after"))
+    told = change_source("initial", _order_log(versions), ["o_orderkey"], snapshot, marks)
+    return told.select("o_orderkey", "position", "op", F.coalesce(F.col("after")["status"], F.col("before")["status"]).alias("status"))
+
+
 # U4 with a config that changes: at the middle of its log a table moves to another sink table and row
 # key, one loses its mapping, one gets it only then.  Changes of the config are derived from the log.
 _LATE, _DROPPED = "ods_order_pay_log", "ods_search_log"
