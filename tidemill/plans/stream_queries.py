@@ -23,6 +23,7 @@ from ..operators.topn import top_n
 from ..session import state_dir
 from ..streaming import jobs as S
 from ..streaming.hold import close_holds, hold_last
+from ..streaming.lookups import DimensionCopy, lookup_stream
 from ..streaming.side_outputs import log_topics, to_topics
 from ..streaming.stateful import DailyGate, DailyLogin, apply_processor
 from . import adapters as AD
@@ -41,6 +42,22 @@ def _replay(spark, path: str, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", AD.TOPIC_FILES).parquet(path)
 
 
+# ---------------------------------------------------------------- J1 J4: lookups in a running stream
+@Q.register("stream_dict_lookup", Q.ORACLE["dict_lookup_na"])
+def q_stream_dict_lookup(spark, sf_dir):
+    """Events by arrival, each batch joined to the dictionary as of its last read; misses are ``N/A``."""
+    path = AD.topic_path(spark, sf_dir, "event_types", lambda s, d: AD.load(s, d, "events").select("event_id", "event_type"), order="event_id")
+    dic = AD.topic_path(spark, sf_dir, "event_dic", lambda s, d: AD.load(s, d, "events").where("event_type <> 'error'").select(
+        F.col("event_type").alias("code"), F.upper("event_type").alias("dic_name")).distinct())
+    copy = DimensionCopy(lambda: spark.read.parquet(dic))
+    run = _run("dict_lookup")
+    query, out = lookup_stream(_replay(spark, path, "event_id long, event_type string"), copy, "event_type", "code", {"dic_name": "dic_name"},
+                               f"{state_dir(spark, run)}-rows", run)
+    query.awaitTermination()
+    copy.close()
+    return spark.read.schema("event_id long, event_type string, dic_name string").parquet(f"{out}/batch=*")
+
+
 # ---------------------------------------------------------------- X5: one keyed operator, five topics
 # The field of each topic's payload that the query shows.
 _SHOWN = {"err": "error_code", "start": "entry", "display": "item", "action": "item", "page": "page_id"}
