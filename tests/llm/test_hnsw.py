@@ -44,3 +44,31 @@ def test_few_and_odd_rows(spark):
     assert {r.query_id for r in got} == {1, 2, 20}
     none = H.vectors(frame(spark, []))
     assert H.search_index(H.build_index(none), none).count() == 0
+
+
+def test_repeated_ids_are_one_row(spark):
+    """Rows of one id, equal or not, are one query and one candidate: twenty neighbours are twenty ids."""
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(f) for f in v]) for i, v in enumerate(rng.normal(size=(42, 6)).astype(np.float32))]
+    rows += [rows[20], rows[20], (20, [9.0] * 6), (7, [8.0] * 6), (7, [-9.0] * 6)]
+    least = {}
+    for i, v in rows:
+        least[i] = min(least.get(i, v), v)
+    x = np.array([least[i] for i in range(42)])
+    found = H.vectors(frame(spark, rows))
+    got = H.search_index(H.build_index(found), found.where("id in (7, 20)"), k=20).toPandas()
+    assert len(got) == 40
+    for q, g in got.groupby("query_id"):
+        assert g.sort_values("rank")["vec_id"].tolist() == exact(np.arange(42), x, q, 20)
+
+
+def test_recall_on_embeddings_through_the_graph(spark):
+    from tidemill.llm import queries as Q
+
+    sf = "/root/testdata/sf0.1"
+    own = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    x = np.stack(own["embedding"]).astype(float)
+    ids = own["vec_id"].to_numpy()
+    got = Q.op2_hnsw(spark, sf).toPandas()
+    hits = sum(len(set(g["vec_id"]) & set(exact(ids, x, q, 20))) for q, g in got.groupby("query_id"))
+    assert len(got) == 20 * len(ids[ids % 20 == 0]) and hits >= 0.95 * len(got)

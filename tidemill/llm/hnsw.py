@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard (operator 2).
 
 Vectors are dealt by a hash of their id into shards of at most ``SHARD_ROWS`` rows on average (and
-at least ``SHARDS`` of them, for parallel work).  Each shard is one row of the index: ids,
+``SHARDS`` of them for parallel work, where each has ``LEAST_ROWS`` or more).  Each shard is one row of the index: ids,
 vectors, and for each level flat arrays of members and neighbours (``links`` a member, -1 where
 there are fewer).  Every query searches every shard and the shard results are merged.
 
@@ -14,7 +14,7 @@ one length; scores are inner products of the original vectors in double precisio
 
 Edge cases: rows whose vector is null, empty, zero, of another length than most, or holds null
 or non-finite components take no part, neither as queries nor as candidates; so do null ids;
-of repeated rows of one id the first of a shard counts; fewer candidates than ``k`` are all
+of repeated rows of one id the one with the least vector counts, as query and candidate; fewer candidates than ``k`` are all
 returned; an empty table gives an empty result.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, on_executors
 
-SHARD_ROWS, SHARDS, QUERY_ROWS = 50_000, 12, 4096
+SHARD_ROWS, SHARDS, LEAST_ROWS, QUERY_ROWS = 50_000, 12, 1000, 4096
 LINKS, EF_BUILD, EF_SEARCH, BATCH, SEED = 16, 64, 128, 512, 3
 
 
@@ -203,7 +203,11 @@ _INDEX = ("shard int, ids binary, points binary, owner binary, levels array<stru
 
 def _build_shard(most: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="stable").drop_duplicates("id")
+        pdf = pdf.sort_values("id", kind="stable")
+        twice = pdf["id"].duplicated(keep=False)
+        if twice.any():  # one row of an id: the least vector, as one_each() takes it
+            least = pdf[twice].assign(by=[tuple(v) for v in pdf.loc[twice, "v"]]).sort_values(["id", "by"]).drop_duplicates("id")
+            pdf = pd.concat([pdf[~twice], least.drop(columns="by")]).sort_values("id", kind="stable")
         x = _good_vectors(pdf["v"])
         points, owner = np.unique(x, axis=0, return_inverse=True)
         levels = build(_lifted(points, most))
@@ -236,8 +240,6 @@ def _search_shard(k: int, ef: int):
             own = asked.iloc[low:low + 512]
             q = _good_vectors(own["v"])
             found = search(lifted, levels, np.concatenate((q, np.zeros((len(q), 1))), axis=1), min(ef, max(len(points), 1)))
-            if len(points) <= ef:
-                found = np.broadcast_to(np.arange(len(points)), (len(q), len(points)))
             score = np.einsum("qkd,qd->qk", points[found], q)
             each = np.where(found >= 0, np.minimum(count[found], k + 1), 0)
             who = np.repeat(np.arange(len(q)), each.sum(axis=1))
@@ -262,12 +264,17 @@ def vectors(df: DataFrame, id_column: str = "vec_id", column: str = "embedding")
     return rows.where(F.size("v") == sizes[0]["size"]) if sizes else rows
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """(id, v): of rows with one id the least vector."""
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
+
+
 def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS, shards: int = SHARDS) -> DataFrame:
     """One row of flat arrays per shard of (id, v) rows, cut at the shared folder."""
     on_executors(rows.sparkSession)
     length = F.expr("aggregate(v, 0D, (a, x) -> a + x * x)")
     r = rows.agg(F.count("*").alias("n"), F.max(length).alias("most")).first()
-    number = max(1, min(shards, r["n"]), math.ceil(r["n"] / shard_rows))
+    number = max(1, min(shards, r["n"] // LEAST_ROWS), math.ceil(r["n"] / shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(number)).cast("int"))
     return cut(dealt.groupBy("shard").applyInPandas(_build_shard(float(r["most"] or 0.0)), _INDEX), "hnsw")
 
@@ -277,6 +284,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF
 
     Queries travel to each shard in blocks of about ``QUERY_ROWS``; a block and one shard meet in a task.
     """
+    queries = one_each(queries.select("id", "v"))
     blocks = max(1, math.ceil(queries.count() / QUERY_ROWS))
     last = index.agg(F.max("shard")).first()[0] or 0
     asked = (queries.select("id", "v").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
