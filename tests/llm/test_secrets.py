@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import duckdb
 
@@ -68,3 +70,49 @@ def test_query_matches_sql(spark):
     want = {r[names.index("doc_id")]: dict(zip(names, r)) for r in cur.fetchall()}
     got = {r.doc_id: r.asDict() for r in Q.op10_secret_scan(spark, SF).collect()}
     assert got == want
+
+
+def _by_sql(rows):
+    """The query's SQL over these (doc_id, text) rows."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cur = con.execute(Q.ORACLE["op10_secret_scan"])
+    names = [d[0] for d in cur.description]
+    return {r[names.index("doc_id")]: dict(zip(names, r)) for r in cur.fetchall()}
+
+
+def test_parts_far_behind_and_ahead_match_sql(spark):
+    rnd = random.Random(4)
+    bits = ["secret=", "user=abc/", "https://a.b/c ", "B" * 40, "=", " ", KEY, "é ", "a1" * 14, "token: xyzxyz ", "x" * 90 + " ", "login=bob "]
+    rows = [(0, "secret=" + "user=abc/" * 120 + "=" + "B" * 40 + "="), (1, "user=abc/" * 150 + " secret=hunter22")]
+    rows += [(k, "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 400)))) for k in range(2, 60)]
+    got = {r.doc_id: r.asDict() for r in S.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _by_sql(rows)
+    assert got[0]["spans"] == "assign:0:1129"
+
+
+def test_redaction_of_many_overlapping_parts(spark):
+    rnd = random.Random(8)
+    bits = ["secret=abcdefgh", "user=abc ", "https://a.b/c ", "B" * 40 + " ", KEY + " ", "é\U0001F600 ", "token=" + "a1" * 14 + " ", "some words "]
+    rows = [(k, "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 600)))) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = {r["row"]["doc_id"]: [tuple(p) for p in r["parts"]] for r in S.scan(df).collect()}
+    for r in S.redact(df).collect():
+        text, out, at = rows[r.doc_id][1], [], 0
+        for start, kind, end in parts[r.doc_id]:
+            if start >= at:
+                out += [text[at:start], f"[{S.KINDS[kind].upper()}]"]
+            at = max(at, end)
+        assert r.text == "".join(out) + text[at:]
+
+
+def test_twenty_thousand_parts_in_one_text(spark):
+    text = " ".join(f"{k:024x} user=abc" for k in range(10_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string").cache()
+    df.count()
+    began = time.time()
+    row = S.report(df).first()
+    assert row["n_hex"] == 10_000 and len(row["spans"].split(",")) == 20_000
+    assert "user" not in S.redact(df).first()["text"]
+    assert time.time() - began < 30

@@ -10,8 +10,11 @@ their beginnings: a weak part is reported only if a part of another role begins
 part inside a strong one is not reported twice.
 
 Everything happens within the row, so there is no shuffle: matches and the text between them
-give the positions, the parts are sorted by position, and each weak part looks at the
-``AROUND`` neighbours on either side, which is more than can begin within the scope.
+give the positions, and the parts are sorted by position.  The parts of one kind never overlap, so
+of each kind one part decides: the last that begins before a weak part's end covers it or none
+does, and the last that begins up to ``SCOPE`` behind its beginning is near it or none is.  Which
+one that is comes from sorting the beginnings of a kind and the places in question together; sums
+run over chunks of ``CHUNK`` entries and then over the chunks' totals.
 
 Edge cases: null text counts as empty and has no parts; several rows of one ``doc_id`` are
 scanned each for itself; other columns pass through.
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import packed
 
-SCOPE, AROUND = 200, 100
+SCOPE, CHUNK = 200, 128
 
 # The patterns, in the order in which kinds are listed.
 PATTERNS = {
@@ -48,6 +51,40 @@ BARE_SIZE = 40
 _PART = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value, use):
+    """``use(value)`` with the value worked out once, also where it stands inside a function of entries."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _chunks(entries):
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(entries) - 1) / CHUNK).cast("int")),
+                       lambda c: F.slice(entries, c * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _running(values, combine):
+    """For each entry of an array of whole numbers what ``combine`` makes of those before it (0 for the
+    first); an array copied entry by entry would cost the square of its size, so chunks are."""
+    grown = lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x)))
+    inside = lambda chunks: F.transform(chunks, lambda chunk: F.aggregate(chunk, F.array(F.lit(0)), grown))
+
+    def put_together(runs):
+        before = F.aggregate(runs, F.array(F.lit(0)), lambda acc, x: grown(acc, F.element_at(x, -1)))
+        return F.flatten(F.transform(F.arrays_zip(runs.alias("run"), F.slice(before, 1, F.size(runs)).alias("at")), lambda x: F.transform(
+            F.slice(x["run"], 1, F.size(x["run"]) - 1), lambda v: combine(x["at"], v))))
+
+    return _let(values, lambda own: F.when(F.size(own) > 0, _let(inside(_chunks(own)), put_together)).otherwise(F.array().cast("array<int>")))
+
+
+def _below(starts, at):
+    """For each entry of ``at`` how many ``starts`` are less."""
+    marks = F.concat(F.transform(starts, lambda v: F.struct(v.alias("v"), F.lit(1).alias("is_start"), F.lit(-1).alias("i"))),
+                     F.transform(at, lambda v, i: F.struct(v.alias("v"), F.lit(0).alias("is_start"), i.alias("i"))))
+    placed = F.transform(F.array_sort(marks), lambda x, place: F.struct(x["i"].alias("i"), place.alias("place"), x["is_start"].alias("is_start")))
+    asked = F.filter(placed, lambda x: x["is_start"] == 0)
+    counts = F.transform(asked, lambda x, k: F.struct(x["i"].alias("i"), (x["place"] - k).alias("n")))
+    return F.transform(F.array_sort(counts), lambda x: x["n"])
+
+
 def _tried(text, kind: str, group: int):
     found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(group))
     gate = None
@@ -60,46 +97,59 @@ def _located(text, matches, values, kind: str):
     """Parts of one kind: the text between matches and the matches themselves give positions."""
     number = KINDS.index(kind)
     between = F.slice(F.split(text, PATTERNS[kind], -1), 1, F.size(matches))
-    zipped = F.arrays_zip(between.alias("g"), matches.alias("m"), (matches if values is None else values).alias("v"))
+    zipped = F.transform(F.arrays_zip(between.alias("g"), matches.alias("m"), (matches if values is None else values).alias("v")),
+                         lambda x: F.struct(F.char_length(x["g"]).alias("g"), F.char_length(x["m"]).alias("m"), F.char_length(x["v"]).alias("v")))
 
-    def step(acc, x):
-        start = acc["at"] + F.char_length(x["0"])
-        end = start + F.char_length(x["1"])
-        good = F.lit(True)
-        if kind in LEAST_VALUE:
-            good = F.char_length(x["2"]) >= LEAST_VALUE[kind]
-        elif kind == "bare":
-            good = F.char_length(x["1"]) == BARE_SIZE
-        part = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["parts"], part)).otherwise(acc["parts"]).alias("parts"))
+    def part(x):
+        start = x["at"] + x["x"]["g"]
+        return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + x["x"]["m"]).alias("end"))
+
+    good = lambda x: F.lit(True)
+    if kind in LEAST_VALUE:
+        good = lambda x: x["x"]["v"] >= LEAST_VALUE[kind]
+    elif kind == "bare":
+        good = lambda x: x["x"]["m"] == BARE_SIZE
+    def placed(entries):
+        before = _running(F.transform(entries, lambda x: x["g"] + x["m"]), lambda a, b: a + b)
+        return F.transform(F.filter(F.arrays_zip(before.alias("at"), entries.alias("x")), good), part)
+
+    return F.when(F.size(matches) > 0, _let(zipped, placed)).otherwise(F.array().cast(_PART))
 
-    zipped = F.transform(zipped, lambda x: F.struct(x["g"].alias("0"), x["m"].alias("1"), x["v"].alias("2")))
-    none = F.array().cast(_PART)
-    folded = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("parts")), step, lambda acc: acc["parts"])
-    return F.when(F.size(matches) > 0, folded).otherwise(none)
 
+def _complements(kind: str, weak: str) -> bool:
+    """Whether a part of ``kind`` beside a weak part makes that one worth reporting."""
+    return ROLES[kind] != ROLES[weak] and (kind in STRONG or "secret" in (ROLES[kind], ROLES[weak]))
 
-def _role(kind):
-    out = None
-    for name, role in ROLES.items():
-        is_kind = kind == KINDS.index(name)
-        out = F.when(is_kind, role) if out is None else out.when(is_kind, role)
-    return out
 
+def _with_linked(found: DataFrame) -> DataFrame:
+    """``found`` (an array ``p_<kind>`` of each kind's parts) with ``parts``: the strong ones, and the weak ones
+    whose scope holds a complementary part and that no strong one covers."""
+    weak = F.concat(*[F.col(f"p_{k}") for k in KINDS[len(STRONG):]])
+    out = found.withColumn("weak", weak)
+    starts = lambda k: F.transform(f"p_{k}", lambda p: p["start"])
+    for k in KINDS:
+        out = out.withColumn(f"near_{k}", _below(starts(k), F.transform("weak", lambda w: w["start"] + SCOPE + 1)))
+        if k in STRONG:
+            out = out.withColumn(f"over_{k}", _below(starts(k), F.transform("weak", lambda w: w["end"])))
 
-def _linked(parts):
-    """The strong parts, and the weak ones whose scope holds a complementary part."""
-    n_strong = len(STRONG)
+    def last(k, n, i, holds):
+        """Whether the last of the first so many parts of a kind is what is asked for."""
+        count = F.get(f"{n}_{k}", i)
+        return F.coalesce((count > 0) & holds(F.get(f"p_{k}", count - 1)), F.lit(False))
 
-    def stays(part, i):
-        near = F.slice(parts, F.greatest(F.lit(1), i + 1 - AROUND), F.lit(2 * AROUND + 1))
-        covered = F.exists(near, lambda p: (p["kind"] < n_strong) & (p["start"] < part["end"]) & (part["start"] < p["end"]))
-        beside = F.exists(near, lambda p: (F.abs(p["start"] - part["start"]) <= SCOPE)
-                          & (_role(p["kind"]) != _role(part["kind"]))
-                          & ((p["kind"] < n_strong) | (_role(p["kind"]) == "secret") | (_role(part["kind"]) == "secret")))
-        return (part["kind"] < n_strong) | (beside & ~covered)
+    def any_of(conditions):
+        whole = F.lit(False)
+        for c in conditions:
+            whole = whole | c
+        return whole
 
-    return F.filter(parts, stays)
+    def stays(w, i):
+        beside = any_of((w["kind"] == KINDS.index(own)) & any_of(
+            last(k, "near", i, lambda p: p["start"] >= w["start"] - SCOPE) for k in KINDS if _complements(k, own)) for own in KINDS[len(STRONG):])
+        return beside & ~any_of(last(k, "over", i, lambda p: p["end"] > w["start"]) for k in STRONG)
+
+    linked = F.array_sort(F.concat("base", F.filter("weak", stays)))
+    return out.withColumn("parts", F.when(F.size("weak") > 0, linked).otherwise(F.col("base")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -115,9 +165,7 @@ def scan(docs: DataFrame) -> DataFrame:
         value = F.col(f"v_{kind}") if kind in LEAST_VALUE else None
         out = out.withColumn(f"p_{kind}", _located(text, F.col(f"m_{kind}"), value, kind))
     out = out.withColumn("base", F.array_sort(F.concat(*[F.col(f"p_{k}") for k in STRONG])))
-    out = out.withColumn("every", F.array_sort(F.concat(*[F.col(f"p_{k}") for k in KINDS])))
-    found = F.when(F.size("every") > F.size("base"), _linked(F.col("every"))).otherwise(F.col("base"))
-    return out.select("row", "text", "base", found.alias("parts"))
+    return _with_linked(out).select("row", "text", "base", "parts")
 
 
 def listed(parts) -> F.Column:
@@ -143,15 +191,22 @@ def redact(docs: DataFrame) -> DataFrame:
     follows the new text.
     """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col("text")
-
-    def step(acc, p):
-        apart = p["start"] >= acc["at"]
-        more = F.concat(acc["done"], F.substring(text, acc["at"] + 1, p["start"] - acc["at"]), F.get(names, p["kind"]))
-        return F.struct(F.greatest(acc["at"], p["end"]).alias("at"), F.when(apart, more).otherwise(acc["done"]).alias("done"))
-
-    marked = F.aggregate("parts", F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step, lambda acc: F.concat(
-        acc["done"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    text, parts = F.col("text"), F.col("parts")
+
+    def spelled(chunk):
+        """The marks of a chunk of parts with the text between; places are counted from the chunk's own text."""
+        first = F.get(chunk, F.lit(0))["at"]
+        own = F.substring(text, first + 1, F.element_at(chunk, -1)["p"]["start"] - first)
+        return F.array_join(_let(own, lambda o: F.transform(chunk, lambda x: F.when(
+            x["p"]["start"] >= x["at"], F.concat(F.substring(o, x["at"] - first + 1, x["p"]["start"] - x["at"]),
+                                                F.get(names, x["p"]["kind"]))).otherwise(F.lit("")))), "")
+
+    def whole(upto):  # where the parts before each end
+        last = F.greatest(F.element_at(upto, -1), F.element_at(parts, -1)["end"])
+        chunks = _let(F.arrays_zip(upto.alias("at"), parts.alias("p")), _chunks)
+        return F.concat(F.array_join(F.transform(chunks, spelled), ""), F.substring(text, last + 1, F.char_length(text)))
+
+    marked = _let(_running(F.transform(parts, lambda p: p["end"]), F.greatest), whole)
     hit = F.size("parts") > 0
     out = scan(docs).select("row", hit.alias("hit"), F.when(hit, marked).alias("clean"))
     new = {"text": F.when(F.col("hit"), F.col("clean")).otherwise(F.col("row.text"))}
