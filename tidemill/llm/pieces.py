@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import on_executors, packed, unused
-from .hashing import mix, text_ranges
+from .hashing import mix, ranges, text_ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GRID = 24
 _SHORT = 8
 _MOST_EDGES = 4_000_000
+_NEW_CHARS = 1 << 16
 
 
 def _stretches(plain: list[str]) -> str:
@@ -141,8 +142,8 @@ class Lattices:
             return
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         for group in (np.flatnonzero(sizes <= _SHORT), np.flatnonzero(sizes > _SHORT)):  # narrow tables for short ones
-            if len(group):
-                self._add([new[i] for i in group.tolist()])
+            for low, high in ranges(sizes[group], _NEW_CHARS):  # the tables are as wide as the longest piece
+                self._add([new[i] for i in group[low:high].tolist()])
 
     def _add(self, new: list[str]) -> None:
         self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
