@@ -734,9 +734,30 @@ def _segmented(spark, sf_dir, mode: str):
     return cut.select(F.explode("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-@register("segment_best")
+# X2 along the best path: from a run's end to its beginning the best score of what follows each place,
+# then forward along the words chosen.
+@register("segment_best", f"""
+WITH RECURSIVE tokens AS (SELECT unnest(regexp_extract_all(lower(text), '{_LETTERS}')) AS w FROM benchmark),
+words AS (SELECT w, ln(count(*) / (SELECT count(*) FROM tokens WHERE length(w) > 1)) AS lw FROM tokens WHERE length(w) > 1 GROUP BY w),
+alone AS (SELECT ln(0.5 / count(*)) AS lw FROM tokens WHERE length(w) > 1),
+runs AS (SELECT run, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{_LETTERS}')) AS run FROM documents) t GROUP BY run),
+lens AS (SELECT DISTINCT length(w) AS l FROM words),
+places AS (SELECT run, unnest(range(1, length(run) + 1)) AS pos FROM runs),
+cand AS (SELECT run, pos, l, lw FROM (SELECT run, pos, l, substr(run, pos, l) AS w FROM places, lens WHERE pos + l - 1 <= length(run)) c JOIN words USING (w)
+         UNION ALL SELECT run, pos, 1, lw FROM places, alone),
+opts AS (SELECT run, pos, list(l ORDER BY l) AS ls, list(lw ORDER BY l) AS ws FROM cand GROUP BY run, pos),
+back AS (SELECT run, length(run) + 1 AS pos, 0::BIGINT AS l, [0.0::DOUBLE] AS scores FROM runs
+         UNION ALL
+         SELECT run, pos, ls[i], list_prepend(own[i], scores)
+         FROM (SELECT *, len(own) + 1 - list_position(list_reverse(list_transform(own, lambda x: x >= list_max(own) - 1e-12)), true) AS i
+               FROM (SELECT b.run, o.pos, o.ls, b.scores, list_transform(o.ls, lambda x, k: o.ws[k] + b.scores[x]) AS own
+                     FROM back b JOIN opts o ON o.run = b.run AND o.pos = b.pos - 1) c) d),
+chosen AS (SELECT run, pos, l FROM back WHERE l > 0),
+step AS (SELECT run, n, 1::BIGINT AS pos, 0::BIGINT AS l FROM runs
+         UNION ALL SELECT s.run, s.n, s.pos + s.l, c.l FROM step s JOIN chosen c ON c.run = s.run AND c.pos = s.pos + s.l)
+SELECT substr(run, pos, l) AS word, CAST(sum(n) AS BIGINT) AS n FROM step WHERE l > 0 GROUP BY 1
+""")
 def q_segment_best(spark, sf_dir):
-    """The same along the best path; what SQL has no form for is tested against all cuts of short runs."""
     return _segmented(spark, sf_dir, "best")
 
 
