@@ -1,7 +1,8 @@
-"""Sources and sinks: topic round trip, routed topics, versioned upserts,
+"""Sources and sinks: topic round trip, routed topics, upserts,
 SQL-declared topic table, catalog DDL, word list, day partitions."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,22 +26,36 @@ def test_topic_round_trip_and_routing(spark, tmpdir_path):
     assert odd.count() == 2
 
 
-def test_versioned_upsert_replays_and_restarts(spark, tmpdir_path):
+def test_upserts_replay_and_touch_their_partitions_only(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "ads")
-    put = lambda rows, n, q="q": sorted(tuple(r) for r in K.write_versioned(
-        spark, spark.createDataFrame(rows, "k long, s string, n long"), path, n, ["k"], ["s"], order=["n"], query_id=q).collect())
-    put([(1, "x", 10), (2, "y", 20)], 0)
-    first = put([(2, "y2", 99), (3, "z", 30), (3, "older", 3)], 1)
-    assert first == [(1, "x", 10), (2, "y2", 20), (3, "z", 30)]
-    assert put([(2, "other", 99)], 1) == put([(7, "late", 1)], 0) == first          # repeated batches change nothing
-    assert put([(9, "new", 1)], 0, "restarted") == [*first, (9, "new", 1)]           # a new checkpoint counts from 0
-    assert sorted(tuple(r) for r in K.read_latest(spark, path).collect()) == [*first, (9, "new", 1)]
-    before = {d: os.path.getmtime(os.path.join(path, "data", d)) for d in os.listdir(os.path.join(path, "data"))}
-    K.vacuum(spark, path)
-    assert set(os.listdir(os.path.join(path, "data"))) <= set(before)
-    assert sorted(tuple(r) for r in K.read_latest(spark, path).collect()) == [*first, (9, "new", 1)]
+    part = F.col("k") % 3
+    put = lambda rows: sorted(tuple(r) for r in K.upsert_write(
+        spark.createDataFrame(rows, "k long, s string, n long"), path, ["k"], ["s"], ["n"], part).drop("part").collect())
+    put([(1, "x", 10), (2, "y", 20)])
+    first = put([(2, "y2", 99), (3, "z", 30), (3, "older", 3)])
+    assert first == [(1, "x", 10), (2, "y2", 20), (3, "z", 30)]                       # only s is updated, the latest row wins
+    assert put([(2, "y2", 99), (3, "z", 30), (3, "older", 3)]) == first              # a replayed batch changes nothing
+    files = {p: sorted(os.listdir(os.path.join(path, f"part={p}"))) for p in range(3)}
+    assert put([(4, "new", 1)]) == [*first, (4, "new", 1)]
+    assert [sorted(os.listdir(os.path.join(path, f"part={p}"))) == files[p] for p in range(3)] == [True, False, True]
+    assert put([]) == [*first, (4, "new", 1)]
     with pytest.raises(ValueError):
-        K.write_versioned(spark, spark.createDataFrame([(1, "x")], "k long, s string"), path, 5, ["k"], ["s"], order=[])
+        K.upsert_write(spark.createDataFrame([(1, "x")], "k long, s string"), path, ["k"], ["s"], [], part)
+
+
+def test_upserts_of_a_stream(spark, tmpdir_path):
+    """foreachBatch with the writer: several batches, one key in all of them."""
+    from tidemill.streaming.jobs import start
+
+    src, path = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "table")
+    for k in range(3):
+        spark.createDataFrame([(7, f"v{k}", k), (k, "own", k)], "k long, s string, n long").coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    stream = spark.readStream.schema("k long, s string, n long").option("maxFilesPerTrigger", 1).parquet(src)
+    query = start(spark, stream, f"test/{os.path.basename(tmpdir_path)}", foreach_batch=lambda batch, _: K.upsert_write(
+        batch, path, ["k"], ["s", "n"], ["n"], F.pmod("k", F.lit(2)).cast("int")) and None)
+    assert query.awaitTermination(120)
+    assert sorted(tuple(r)[:3] for r in spark.read.parquet(path).collect()) == [(0, "own", 0), (1, "own", 1), (2, "own", 2), (7, "v2", 2)]
 
 
 def test_streaming_sinks(spark, tmpdir_path):

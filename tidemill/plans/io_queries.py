@@ -12,7 +12,7 @@ from .. import sources as S
 from ..functions import keys as FK
 from ..functions import time as FT
 from ..operators.parse import unpack_cdc
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shuffle_partitions_for
 from ..sources.handover import change_source
 from . import adapters as AD
 from . import queries as Q
@@ -124,7 +124,7 @@ def q_dim_config_route_as_of(spark, sf_dir):
     return routed.select("arrival", "sink_table", "row_key", F.col("data")["log_id"].alias("log_id"))
 
 
-# K5: two batches, a repeated one, and one of a restarted query whose ids begin again.
+# K5: batches that insert and update, two of them replayed; partitions as many as the table's bytes ask for.
 _ORDERS = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders)"
 
 
@@ -133,15 +133,16 @@ def _upserts(spark, sf_dir, repeat: bool):
     o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     second = o.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("U")).withColumn("o_totalprice", F.lit(0.0))
     third = o.where("o_orderkey % 3 = 1").withColumn("o_orderstatus", F.lit("V"))
-    put = lambda batch, n, query: K.write_versioned(spark, batch, path, n, ["o_orderkey"], ["o_orderstatus"],
-                                                    order=["o_totalprice"], query_id=query)
-    put(o.where("o_orderkey % 3 < 2"), 0, "first")
-    put(o.where("o_orderkey % 3 >= 0").withColumn("o_orderstatus", F.lit("T")), 1, "first")
-    put(second, 2, "first")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(shuffle_partitions_for(spark, f"{sf_dir.rstrip('/')}/orders.parquet", least=4))).cast("int")
+    put = lambda batch: K.upsert_write(batch, path, ["o_orderkey"], ["o_orderstatus"], ["o_totalprice"], part)
+    put(o.where("o_orderkey % 3 < 2"))
+    put(o.where("o_orderkey % 3 >= 0").withColumn("o_orderstatus", F.lit("T")))
+    table = put(second)
     if repeat:
-        put(third, 2, "first")  # that batch was applied: nothing changes
-        put(third, 0, "restarted")
-    return K.read_latest(spark, path)
+        put(second)
+        put(third)
+        table = put(third)
+    return table.drop("part")
 
 
 @Q.register("upsert_two_batches", f"""

@@ -9,17 +9,17 @@ exactly-once results even when executors are lost and batches are replayed.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.keys import camel_to_snake, md5_key
 from ..functions.time import ms_to_wall, to_millis
 from ..operators.dedup import keep_last, latest_non_null
 
-__all__ = ["topic_sink", "write_routed", "json_lines", "olap_load", "upsert_merge", "write_versioned", "read_latest",
-           "vacuum", "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route",
+__all__ = ["topic_sink", "write_routed", "json_lines", "olap_load", "upsert_merge", "upsert_write",
+           "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route",
            "config_versions", "dim_config_route_as_of", "dim_config_route_stream", "delete_keys", "console"]
 
 
@@ -109,71 +109,33 @@ def upsert_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
     return j.select(*keys, *out)
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def upsert_write(batch: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str], order: Sequence[str | Column],
+                 part: Column, part_name: str = "part") -> DataFrame:
+    """K5 writer for ``foreachBatch``: merge the batch into the Parquet table at ``path``; the table.
 
-
-def _manifest(spark: SparkSession, path: str) -> dict | None:
-    """The newest complete manifest: version, buckets, which version holds each bucket, and the last
-    batch applied of every query."""
-    folder, fs = _fs(spark, f"{path}/manifest")
-    if not fs.exists(folder):
-        return None
-    found = sorted(int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(folder)
-                   if fs.exists(_fs(spark, f"{s.getPath()}/_SUCCESS")[0]))
-    if not found:
-        return None
-    return json.loads(spark.read.text(f"{path}/manifest/v={found[-1]}").first()["value"])
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table as the newest manifest of :func:`write_versioned` names it (None if none)."""
-    m = _manifest(spark, path)
-    return spark.read.parquet(*[f"{path}/data/v={v}/bucket={b}" for b, v in m["at"].items()]) if m else None
-
-
-def write_versioned(spark: SparkSession, batch: DataFrame, path: str, batch_id: int, keys: Sequence[str],
-                    update_cols: Sequence[str], order: Sequence[str | Column], query_id: str | None = None,
-                    buckets: int = 16) -> DataFrame:
-    """K5 writer for ``foreachBatch``: merge the batch into the table, rewriting only the key buckets
-    that it touches, and commit by writing the next manifest.
-
-    The manifest remembers the last batch of every query (``query_id``, by default the streaming
-    query that runs the batch), so a repeated batch changes nothing, and a query with a new
-    checkpoint, whose ids start at 0 again, is applied.  Until its manifest is complete a version
-    is not read.  ``order`` decides which row of a key in the batch is the latest.
+    ``part`` names a row's partition and depends on its keys alone (a day, or a bucket of the keys as many
+    as the table's bytes ask for), so a key never moves.  Only the partitions that the batch touches are
+    read, merged, staged beside the table, and put in place by dynamic partition overwrite; AQE's rebalance
+    gives each task about the advisory size, whatever the partitions hold.  Merging a batch again
+    changes nothing, so a batch that is replayed after a failure leaves the table as if it had run once.
     """
     if not order:
         raise ValueError("an upsert needs an order of the batch's rows")
-    if query_id is None:
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-    m = _manifest(spark, path) or {"version": -1, "buckets": buckets, "at": {}, "batches": {}}
-    if m["batches"].get(query_id, -1) >= batch_id:
-        return read_latest(spark, path)
-    keys = list(keys)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(m["buckets"])).cast("int")
-    latest = keep_last(batch, keys, order)
-    touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
-    held = [f"{path}/data/v={m['at'][str(b)]}/bucket={b}" for b in touched if str(b) in m["at"]]
-    merged = upsert_merge(spark.read.parquet(*held), latest, keys, update_cols, order) if held else latest
-    version = m["version"] + 1
-    (merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-     .parquet(f"{path}/data/v={version}"))
-    m = {"version": version, "buckets": m["buckets"], "at": m["at"] | {str(b): version for b in touched},
-         "batches": m["batches"] | {query_id: batch_id}}
-    spark.createDataFrame([(json.dumps(m),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest/v={version}")
-    return read_latest(spark, path)
-
-
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Remove the versions that the newest manifest no longer names; the number removed."""
-    m = _manifest(spark, path)
-    folder, fs = _fs(spark, f"{path}/data")
-    if not m or not fs.exists(folder):
-        return 0
-    old = [s.getPath() for s in fs.listStatus(folder) if int(s.getPath().getName().split("=", 1)[1]) not in {*m["at"].values()}]
-    return sum(bool(fs.delete(p, True)) for p in old)
+    spark, keys = batch.sparkSession, list(keys)
+    latest = keep_last(batch, keys, order).withColumn(part_name, part)
+    merged = latest
+    try:
+        current = spark.read.schema(latest.schema).parquet(path)
+    except AnalysisException:  # the first batch
+        current = None
+    if current is not None:
+        touched = [r[0] for r in latest.select(part_name).distinct().collect()]  # folders of the table at most
+        merged = upsert_merge(current.where(F.col(part_name).isin(touched)), latest, [*keys, part_name], update_cols).select(*latest.columns)
+    staged = f"{path.rstrip('/')}-staged"
+    merged.hint("rebalance", part_name).write.mode("overwrite").partitionBy(part_name).parquet(staged)
+    spark.read.schema(latest.schema).parquet(staged).hint("rebalance", part_name).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(part_name).parquet(path)
+    return spark.read.schema(latest.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- K6 day partitions
