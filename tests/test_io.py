@@ -152,3 +152,22 @@ def test_word_list_and_day_partitions(spark, tmpdir_path):
 def test_json_lines_snake_case(spark):
     df = spark.createDataFrame([(1, "x", None)], "skuId long, skuName string, tmName string")
     assert K.json_lines(df).first()["value"] == '{"sku_id":1,"sku_name":"x"}'
+
+
+def test_days_are_packed_by_measured_bytes(spark, tmpdir_path):
+    import glob
+
+    path, out, target = os.path.join(tmpdir_path, "days"), os.path.join(tmpdir_path, "packed"), 200_000
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"),
+                                      F.when(F.col("id") % 10 < 6, "20240101").when(F.col("id") % 10 < 9, "error_bucket").otherwise("20240103").alias("day"))
+    rows.repartition(90, "id").write.partitionBy("day").parquet(path)
+    spark.range(3).select("id", F.lit("lone").alias("v"), F.lit("20240104").alias("day")).coalesce(1).write.mode("append").partitionBy("day").parquet(path)
+    sizes = lambda p: {d: sorted(map(os.path.getsize, glob.glob(f"{p}/day={d}/*.parquet"))) for d in ("20240101", "error_bucket", "20240103", "20240104")}
+    before = sizes(path)
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.select("id", "v", "day").collect())
+    got = K.pack_days(spark, path, out, target)
+    assert key(got) == key(spark.read.parquet(path))
+    after = sizes(out)
+    for day, own in before.items():
+        assert len(after[day]) <= sum(own) // target + 1 and max(after[day]) < target + max(own) + 4000
+    assert len(before["20240101"]) == 90 and len(after["20240101"]) < 30 and len(after["20240104"]) == 1

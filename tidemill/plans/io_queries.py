@@ -194,6 +194,15 @@ def q_day_partition_written(spark, sf_dir):
     return spark.read.schema("event_id long, t long, day string").parquet(path)
 
 
+# K6 rolled by size: many small files a day are packed by their measured bytes.
+@Q.register("day_partition_packed", Q.ORACLE["day_partition_sink"])
+def q_day_partition_packed(spark, sf_dir):
+    path = _folder(spark, "days")
+    e = Q._events(spark, sf_dir).selectExpr("event_id", f"{Q._K6_T.replace('//', 'div')} AS t")
+    K.write_day_partitioned(e, path, "t")
+    return K.pack_days(spark, path, f"{path}-packed").select("event_id", "t", F.col("day").cast("string").alias("day"))
+
+
 # K4 written and S7 read back: window beans as JSON lines.
 @Q.register("olap_load_roundtrip", Q.ORACLE["page_view_window"])
 def q_olap_load_roundtrip(spark, sf_dir):

@@ -19,7 +19,7 @@ from ..functions.time import ms_to_wall, to_millis
 from ..operators.dedup import keep_last, latest_non_null
 
 __all__ = ["topic_sink", "write_routed", "json_lines", "olap_load", "upsert_merge", "upsert_write",
-           "day_partition", "write_day_partitioned", "dim_upsert", "dim_config_route",
+           "day_partition", "write_day_partitioned", "pack_days", "dim_upsert", "dim_config_route",
            "config_versions", "dim_config_route_as_of", "dim_config_route_stream", "delete_keys", "console"]
 
 
@@ -156,6 +156,38 @@ def write_day_partitioned(df: DataFrame, path: str, time_col: str, max_records_p
      .option("maxRecordsPerFile", max_records_per_file).partitionBy("day").parquet(path))
 
 
+def pack_days(spark: SparkSession, path: str, out: str, target_bytes: int = 128 << 20, day: str = "day") -> DataFrame:
+    """K6 rolling by size: a copy of a day-partitioned Parquet table in files of about ``target_bytes``; it.
+
+    The measured bytes of each day's files are laid end to end, the smallest first, and cut at every
+    ``target_bytes``: the files that begin in one stretch are one bin, written by one task as one file.
+    So a bin is less than ``target_bytes`` and the file that crosses its end, and only a day's last bin may
+    be small; larger files stay what they are, a bin of their own.  Files are listed by Spark, not
+    opened; rows and partitions are unchanged, and an interrupted copy leaves the table as it was.
+    """
+    name = lambda c: F.substring_index(c, "/", -2)  # the day's folder and the file
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    files = files.select(name("path").alias("__file"), "length")
+    files = files.withColumn("__day", F.substring_index("__file", "/", 1))
+    before = Window.partitionBy("__day").orderBy("length", "__file").rowsBetween(Window.unboundedPreceding, -1)
+    binned = files.withColumn("__bin", F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / target_bytes))
+    # A number for each bin that holds a file, over all days: one row a day is summed up in order.
+    own = Window.partitionBy("__day").orderBy("__bin")
+    binned = binned.withColumn("__place", F.dense_rank().over(own) - 1)
+    days = binned.groupBy("__day").agg((F.max("__place") + 1).alias("__bins"))
+    upto = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("__first", F.coalesce(F.sum("__bins").over(upto), F.lit(0)))
+    ids = binned.join(days.select("__day", "__first"), "__day").select("__file", (F.col("__first") + F.col("__place")).cast("int").alias("__id"))
+    total = days.agg(F.sum("__bins")).first()[0]
+    schema = spark.read.parquet(path).schema if total else None
+    if schema is None:
+        return spark.createDataFrame([], f"{day} string")
+    rows = spark.read.schema(schema).parquet(path).select("*", name("_metadata.file_path").alias("__file"))
+    placed = rows.join(ids, "__file").drop("__file")
+    placed.repartitionById(int(total), "__id").drop("__id").write.mode("overwrite").partitionBy(day).parquet(out)
+    return spark.read.schema(schema).parquet(out)
+
+
 # ---------------------------------------------------------------- K7 / K8 dimension maintenance
 def dim_upsert(current: DataFrame | None, changes: DataFrame, key: str, columns: Sequence[str], order: str,
                op_col: str | None = "op") -> DataFrame:
