@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.bloom import bloom_dedup
 from ..operators.parse import split_dirty, split_log, unpack_cdc
 from ..operators.segment import segment
+from ..operators.ttl import daily_unique_with_ttl, monotone_with_ttl, retract_with_ttl
 from ..operators.user_aggregate import QuantileSketch, aggregate
 from . import adapters as AD
 from . import retail as R
@@ -703,6 +704,48 @@ def q_word_batch_check(spark, sf_dir):
     return J.batch_membership(conv, _word_list(spark, sf_dir), "words", ["conv_id", "turn"])
 
 
+# W10 in batch: states that expire along the records' own clock.
+_TTL_GATE, _TTL_LATEST, _TTL_RETRACT = 6 * 3_600_000, 3_600_000, 30 * 86_400_000
+
+
+@register("daily_unique_ttl", f"""
+WITH x AS (SELECT arrival, mid, ts_ms AS ts, {_day()} AS d, lag({_day()}) OVER w AS pd, ts_ms - lag(ts_ms) OVER w AS gap
+           FROM {_PAGES} p WINDOW w AS (PARTITION BY mid ORDER BY arrival))
+SELECT arrival, mid, ts, CAST(CASE WHEN pd IS NULL OR gap >= {_TTL_GATE} OR pd <> d THEN 1 ELSE 0 END AS BIGINT) AS uv_ct FROM x
+""")
+def q_daily_unique_ttl(spark, sf_dir):
+    pages = page_rows(spark, sf_dir).select("arrival", "mid", "ts")
+    return daily_unique_with_ttl(pages, ["mid"], "arrival", "ts", "ts", _TTL_GATE)
+
+
+@register("monotone_latest_ttl", f"""
+WITH x AS (SELECT event_id AS arrival, user_id, ts_ms % 86400000 AS ts_ms, ts_ms AS at_ms,
+                  CASE WHEN ts_ms - lag(ts_ms) OVER (PARTITION BY user_id ORDER BY event_id) >= {_TTL_LATEST} THEN 1 ELSE 0 END AS begun
+           FROM {AD.SQL('base')} b),
+l AS (SELECT *, sum(begun) OVER (PARTITION BY user_id ORDER BY arrival) AS life FROM x),
+m AS (SELECT *, max(ts_ms) OVER (PARTITION BY user_id, life ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM l)
+SELECT arrival, user_id, ts_ms FROM m WHERE before IS NULL OR ts_ms > before
+""")
+def q_monotone_latest_ttl(spark, sf_dir):
+    rows = AD.events_base(AD.load(spark, sf_dir, "events")).selectExpr("event_id AS arrival", "user_id", "ts_ms % 86400000 AS ts_ms", "ts_ms AS at_ms")
+    return monotone_with_ttl(rows, ["user_id"], "arrival", "ts_ms", "at_ms", _TTL_LATEST).select("arrival", "user_id", "ts_ms")
+
+
+@register("retract_stream_ttl", f"""
+WITH d AS (SELECT *, row_number() OVER w AS arrival, epoch_ms(et) AS at_ms, lead(epoch_ms(et)) OVER w AS next_ms
+           FROM {_DETAILS} x WINDOW w AS (PARTITION BY detail_id ORDER BY {_ARR}))
+SELECT detail_id, arrival, {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in _AMTS)}, 0 AS is_retract FROM d
+UNION ALL
+SELECT detail_id, arrival, {', '.join(f'CAST(-{a} AS DOUBLE) AS {a}' for a in _AMTS)}, 1 AS is_retract FROM d WHERE next_ms - at_ms < {_TTL_RETRACT}
+""")
+def q_retract_stream_ttl(spark, sf_dir):
+    place = F.row_number().over(Window.partitionBy("detail_id").orderBy(*AD.LINEITEM_ARRIVAL)).cast("long")
+    at = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("et"))
+    rows = details(spark, sf_dir).select("detail_id", place.alias("arrival"), at.alias("at_ms"), *_AMTS)
+    done = retract_with_ttl(rows, ["detail_id"], "arrival", _AMTS, "at_ms", _TTL_RETRACT)
+    return done.select("detail_id", "arrival", *[F.col(a).cast("double").alias(a) for a in _AMTS], "is_retract")
+
+
 # Runs of letters of all documents cut by longest match with the words of the benchmark; each
 # distinct run is cut once.
 _LETTERS = "[a-z\u00e0-\u00ff]+"
