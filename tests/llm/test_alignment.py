@@ -69,6 +69,14 @@ def test_report_against_brute_force(spark, pair, sent):
     assert got == sorted(((i, *w) for (i, _), w in zip(own, want)), key=repr)
 
 
+def test_texts_that_end_in_one_space(spark, pair):
+    texts = ["a ", "two words ", "ends. ", "é ", "😀 ", "line\n ", "a  ", " ", "a ", "two words"]
+    want = _brute(pair, texts)
+    assert all(w[0] > 0 for w in want)
+    got = _rows(A.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 0))
+    assert got == sorted(((i, *w) for i, w in enumerate(want)), key=repr)
+
+
 def test_products_against_dense_matrices():
     rng = np.random.default_rng(2)
     for kind in ("overlap", "group", "ends"):

@@ -136,6 +136,8 @@ class Pair:
         self.b_width = len(self.b_spelled)
         self.width = self.b_width * len(self.a_spelled)
         self.a_size, self.b_size = (np.array([len(x) for x in s], np.int64) for s in (self.a_spelled, self.b_spelled))
+        # A text that ends in one space has that space as its last piece; alone, B takes it for no text.
+        self.b_space = np.array(self.b.encode("x ")[len(self.b.encode("x")):], np.int64)
         # Texts may be cut between a word and a space only if no piece goes over that place.
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b_width))
 
@@ -147,7 +149,8 @@ class Pair:
         """(A's ids, B's ids, how many of each a piece has, whether both spell it) of pieces one after another."""
         whole = "".join(pieces)
         ends = np.cumsum([len(p.encode("utf-8")) for p in pieces])
-        ids = [np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64), np.array(self.b.encode(whole[1:]), np.int64)]
+        ids = [np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64),
+               self.b_space if whole == " " else np.array(self.b.encode(whole[1:]), np.int64)]
         counts = []
         for own, size, spelled in zip(ids, (self.a_size, self.b_size), (self.a_spelled, self.b_spelled)):
             stops = np.cumsum(size[own])
