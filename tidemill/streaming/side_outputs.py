@@ -22,16 +22,16 @@ __all__ = ["SideOutputs", "LogSplit", "side_outputs", "to_topics", "log_topics"]
 
 
 class SideOutputs(KeyedProcessor):
-    """Base: ``outputs`` (DDL of the columns that outputs may have) and ``split(df, state) ->
-    ({tag: frame}, new_state)``; columns that a frame lacks are null in its rows."""
+    """Base: ``outputs`` (DDL of the columns that outputs may have) and ``split(df, code, state) ->
+    ({tag: frame}, new)`` (see ``KeyedProcessor``); columns that a frame lacks are null in its rows."""
 
     outputs = ""
 
-    def split(self, df: pd.DataFrame, state) -> tuple[dict[str, pd.DataFrame], tuple | None]:
+    def split(self, df: pd.DataFrame, code: np.ndarray, state: np.ndarray) -> tuple[dict[str, pd.DataFrame], np.ndarray | None]:
         raise TypeError("a processor says what goes to which output")
 
-    def process(self, df, state):
-        frames, new = self.split(df, state)
+    def process(self, df, code, state):
+        frames, new = self.split(df, code, state)
         names = [c.split()[0] for c in self.outputs.split(", ")]
         tagged = [f.reindex(columns=names).assign(topic=tag) for tag, f in frames.items() if len(f)]
         return (pd.concat(tagged, ignore_index=True) if tagged else pd.DataFrame(columns=[*names, "topic"], dtype=object)), new
@@ -47,14 +47,14 @@ class LogSplit(SideOutputs):
     ``page`` for what isn't a start."""
 
     outputs = "arrival long, mid string, is_new string, ts long, body string"
-    state_schema = NewVisitorRepair.state_schema
+    kind = NewVisitorRepair.kind
 
     def __init__(self, ttl_ms: int | None = 10_000):
         self.ttl_ms = ttl_ms
         self._repair = NewVisitorRepair(ttl_ms=ttl_ms, out="fixed")
 
-    def split(self, df, state):
-        df, new = self._repair.process(df, state)
+    def split(self, df, code, state):
+        df, new = self._repair.process(df, code, state)
         df = df.assign(is_new=df["fixed"])
         is_start = df["start"].notna()
         rest = df[~is_start]
