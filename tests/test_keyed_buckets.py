@@ -119,3 +119,11 @@ def test_expired_values_are_forgotten_a_key():
     got = _run(S.Retract(ttl_ms=10_000), rows, [2, 3], times.__getitem__)
     # a was written at 0 and is gone at 12 s; b was written again at 9 s
     assert sorted(zip(got["record"], got["is_retract"])) == [("v", 0), ("w", 0), ("w", 1), ("x", 0), ("x", 1), ("y", 0), ("z", 0)]
+
+
+def test_missing_times():
+    ts = [5.0, None, 3.0, 6.0, None, 2 * DAY]
+    rows = pd.DataFrame({"arrival": range(6), "key": [None] * 6, "ts": ts})
+    for cuts in ([], [2]):
+        assert sorted(_run(S.MonotoneLatest("ts", ttl_ms=None), rows, cuts)["arrival"]) == [0, 3, 5]
+        assert _run(S.DailyGate(ttl_ms=None), rows, cuts).sort_values("arrival")["uv_ct"].tolist() == [1, 0, 1, 0, 0, 1]

@@ -121,7 +121,7 @@ class DailyGate(KeyedProcessor):
     def process(self, df, code, state):
         day = _days(df[self.ts])
         prev = _before(day, code, state)
-        df[self.flag] = (prev.isna() | (prev != day)).astype("int64")
+        df[self.flag] = (prev.isna() | (day.notna() & (prev != day))).astype("int64")
         return (df[df[self.flag] == 1] if self.only_fired else df), _last(day, code, len(state))
 
 
@@ -137,7 +137,7 @@ class DailyLogin(KeyedProcessor):
     def process(self, df, code, state):
         day = _days(df[self.ts])
         prev = _before(day, code, state)
-        uu = prev.isna() | (prev != day)
+        uu = prev.isna() | (day.notna() & (prev != day))
         days = np.trunc((df[self.ts] - prev * DAY_MS) / DAY_MS)
         back = prev.notna() & uu & (days >= self.back_days)
         df["uu_ct"] = uu.astype("int64")
@@ -206,17 +206,13 @@ class MonotoneLatest(KeyedProcessor):
         self.ts, self.order, self.ttl_ms = ts, order, ttl_ms
 
     def process(self, df, code, state):
-        ts, known = df[self.ts].to_numpy(np.int64), np.array([v is not None for v in state], bool)
-        floor = np.iinfo(np.int64).min
-        stored = np.array([floor if v is None else int(v) for v in state], np.int64)
-        greatest = pd.Series(np.maximum(ts, stored[code])).groupby(code, sort=False).cummax()
-        first = ~pd.Series(code).duplicated().to_numpy()
-        prior = greatest.groupby(code, sort=False).shift(1, fill_value=floor).to_numpy()
-        prior[first] = stored[code[first]]
-        keep = (first & ~known[code]) | (ts > prior)
-        new = stored.copy()
-        new[code] = greatest.to_numpy()
-        return df[keep], np.array([int(v) for v in new] + [None], object)[:-1]
+        ts = df[self.ts]
+        stored = np.array(state, "float64")  # NaN where there is none
+        greatest = ts.groupby(code).cummax().groupby(code).ffill()
+        prior = np.fmax(greatest.groupby(code).shift(1).to_numpy("float64"), stored[code])
+        keep = np.isnan(prior) | (ts > prior)
+        top = ts.groupby(code).max()  # by code
+        return df[keep], np.array([s if pd.isna(t) else int(t) if s is None else max(int(t), int(s)) for t, s in zip(top, state)], object)
 
 
 def apply_processor(stream: DataFrame, keys: list[str], processor: KeyedProcessor, output_schema: str,
