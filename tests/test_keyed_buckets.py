@@ -127,3 +127,15 @@ def test_missing_times():
     for cuts in ([], [2]):
         assert sorted(_run(S.MonotoneLatest("ts", ttl_ms=None), rows, cuts)["arrival"]) == [0, 3, 5]
         assert _run(S.DailyGate(ttl_ms=None), rows, cuts).sort_values("arrival")["uv_ct"].tolist() == [1, 0, 1, 0, 0, 1]
+
+
+@pytest.mark.parametrize("starts, others", [(2, 0), (0, 2), (1, 1)])
+def test_log_split_of_a_bucket_with_starts_only(starts, others):
+    from tidemill.streaming.side_outputs import LogSplit
+
+    n = starts + others
+    rows = pd.DataFrame({"arrival": range(n), "mid": "m", "is_new": "1", "ts": 1000, "err": None, "start": ["s"] * starts + [None] * others,
+                         "page": [None] * starts + ["p"] * others, "displays": None, "actions": None})
+    out, _ = LogSplit(None).process(rows, np.zeros(n, int), np.array([None], object))
+    assert sorted(out["topic"]) == ["page"] * others + ["start"] * starts
+    assert sorted(out["body"]) == ["p"] * others + ["s"] * starts

@@ -64,7 +64,8 @@ class LogSplit(SideOutputs):
             return rows[rows[column].notna()][[*own, *more, column]].rename(columns={column: "body"})
 
         def each(column, *more):
-            some = rest[rest[column].map(lambda v: v is not None and np.size(v) > 0)]
+            # a bucket of starts only has no rows here, and the mask of no rows would be no mask
+            some = rest[rest[column].map(lambda v: v is not None and np.size(v) > 0).astype(bool)]
             return body(some.explode(column), column, *more)
 
         page = rest[[*own, "ts", "page"]].rename(columns={"page": "body"})
