@@ -53,8 +53,28 @@ def test_long_unbroken_words(pieces, library):
         assert _ids(pieces, text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_encoded_together_are_encoded_as_alone(pieces, library):
+    rnd = random.Random(5)
+    odd = ["a\ue000b", "\ue000", "\ue000\ue000é", "é\ue000", "<|endoftext|>é", "x<|startoftext|><|endoftext|>\ue000", "\u0301", "e\u0301'", "'s",
+           "\u3000", "\u00a0é\u00a0", "\x1c", "\x1cé", "É", "İ", "Don't", "\x7f", "日本", "0", "ΑΣ", "\n", "\u1100", "\u1161", "\ufeff"]
+    texts = [rnd.choice(" \n\t").join(rnd.choice(odd) + rnd.choice(["", "", "x", rnd.choice(odd)]) for _ in range(rnd.randint(0, 30))) for _ in range(400)]
+    ids, count = pieces.encode([t.encode() for t in texts])
+    assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+    assert count.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_a_word_in_several_pieces_is_encoded_once(library, monkeypatch):
+    pieces, asked = bpe.Pieces(bpe._read(bpe.VOCABULARY)), []
+    word = bpe.Vocabulary.word
+    monkeypatch.setattr(bpe.Vocabulary, "word", lambda self, w: asked.append(w) or word(self, w))
+    text = "zorbling zorbling, Zorbling. zorbling's (zorbling) Übzor, übzor"
+    assert _ids(pieces, text) == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked))
+
+
 def test_forgetting_pieces_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT", 400)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 200)
     small = bpe.Pieces(bpe._read(bpe.VOCABULARY))
     for text in ("one two three four five", "three seven", "one one one", "eight nine ten eleven", "two"):
         assert _ids(small, text) == library.encode(text, add_special_tokens=False).ids

@@ -46,9 +46,11 @@ from .common import on_executors, packed, unused
 from .hashing import ranges
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
-#: What a task keeps of encoded pieces (bytes, with 64 for each), and of the pairs it has looked at.
-KEPT, KEPT_PAIRS = 1 << 25, 1 << 19
+#: What a task keeps of encoded pieces and pre-tokens (bytes, with 64 for each), and of the pairs it has looked at.
+KEPT, KEPT_WORDS, KEPT_PAIRS = 1 << 25, 1 << 23, 1 << 19
 _NEVER = 1 << 62
+#: Stands between pieces that go through the library's normal form together, and how many go at once.
+_BORDER, _AT_ONCE = "\ue000", 1 << 10
 
 
 def _byte_signs() -> list[str]:
@@ -58,6 +60,9 @@ def _byte_signs() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+_BORDER_SIGNS = "".join(_byte_signs()[b] for b in _BORDER.encode())
+
+
 class Vocabulary:
     """Tokens, the merges that make them, and which of them may stand side by side."""
 
@@ -139,18 +144,21 @@ class Vocabulary:
             known = self.fits[key] = self._side_by_side(a, b)
         return known
 
-    def word(self, text: bytes) -> list[int]:
-        """The token ids of one pre-token, given in UTF-8."""
-        row = text.decode("latin-1")
+    def word(self, row: str) -> list[int]:
+        """The token ids of one pre-token, given as its bytes in Latin-1."""
         if self.marked:
             row = row[:-1] + chr(256 + ord(row[-1]))
         whole = self.whole.get(row)
         if whole is not None:
             return [whole]
         out = [token for _, token in self.ahead.iter_long(row)]
-        if all(map(self.may_follow, out, out[1:])):
-            return out
-        return self._searched(row)
+        fits, last = self.fits, out[0]
+        for token in out[1:]:
+            fit = fits.get(last << 32 | token)
+            if not fit and (fit is not None or not self.may_follow(last, token)):
+                return self._searched(row)
+            last = token
+        return out
 
     def _searched(self, row: str) -> list[int]:
         n = len(row)
@@ -211,73 +219,141 @@ class Slots(dict):
         return keep
 
 
-class Pieces(Slots):
-    """Encoded pieces of text between white space: a slot for each, with its ids in flat arrays."""
+class Encoded(Slots):
+    """Slots with token ids each, in flat arrays."""
+
+    def __init__(self):
+        super().__init__()
+        self.ids, self.ends, self.n_ids = np.empty(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        """The ids of the newest slots; the flat arrays grow by doubling."""
+        n, to = len(self) + 1, self.n_ids + len(ids)
+        self.ids = _grown(self.ids, to)
+        self.ids[self.n_ids:to] = ids
+        self.ends = _grown(self.ends, n)
+        self.ends[n - len(size):n] = self.n_ids + np.cumsum(size)
+        self.n_ids = to
+
+    def of(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of slots one after another, and the number of each."""
+        size = self.ends[slots + 1] - self.ends[slots]
+        return self.ids[runs(self.ends[slots], size)], size
+
+
+class Words(Encoded):
+    """Encoded pre-tokens, by the signs of their bytes.  Slot 0 has no ids: it is the border between pieces."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.byte = {ord(s): b for b, s in enumerate(_byte_signs())}
+        self.begin()
+
+    def begin(self) -> None:
+        """Forget all but the borders and the special tokens."""
+        self.clear()
+        self.held = self.n_ids = 0
+        self.update({"\n": 0, _BORDER_SIGNS: 0})
+        special = self.vocabulary.special
+        # A key for each slot: borders share one, so their second key stands for an empty slot.
+        self.update({"\n" + s: 2 + k for k, s in enumerate(special)})
+        self.add(np.array([*special.values()], np.int32), np.array([0, 0, *[1] * len(special)]))
+        self.new_ids: list[int] = []
+        self.new_sizes: list[int] = []
+
+    def __missing__(self, signs: str) -> int:
+        plain = signs.removeprefix(" ")
+        ids = self.vocabulary.word(plain if plain.isascii() else plain.translate(self.byte))
+        self.new_ids += ids
+        self.new_sizes.append(len(ids))
+        self.held += len(signs) + 64
+        slot = self[signs] = len(self)
+        return slot
+
+    def slots(self, signs: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.__getitem__, signs), np.int64, len(signs))
+        if self.new_sizes:
+            self.add(np.array(self.new_ids, np.int32), np.array(self.new_sizes, np.int64))
+            self.new_ids, self.new_sizes = [], []
+        return found
+
 
-    _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+class Pieces(Encoded):
+    """Encoded pieces of text between white space."""
+
+    _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n", re.ASCII)
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.vocabulary = Vocabulary(text)
-        library = Tokenizer.from_str(text)
+        self.words = Words(self.vocabulary)
+        empty = {**json.loads(text), "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        library = Tokenizer.from_str(json.dumps(empty))
         self.normal, self.pre = library.normalizer, library.pre_tokenizer
-        self.byte = {s: b for b, s in enumerate(_byte_signs())}
         self.special = re.compile("(" + "|".join(map(re.escape, self.vocabulary.special)) + ")") if self.vocabulary.special else None
-        self.ids, self.ends = np.empty(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
-        self.new_ids: list[int] = []
-        self.new_ends: list[int] = []
-        self.n_ids = 0
+        self.new: list[str] = []
 
     def bound(self) -> None:
         """Forget pieces once they are many; called between texts only."""
         if self.held > KEPT or self.n_ids > KEPT >> 3:
             keep = self.survivors()
-            size = self.ends[keep + 1] - self.ends[keep]
-            self.ids = self.ids[runs(self.ends[keep], size)]
+            self.ids, size = self.of(keep)
             self.ends = np.concatenate(([0], np.cumsum(size)))
             self.n_ids = len(self.ids)
-
-    def _settle(self) -> None:
-        """Move the ids of new pieces into the flat arrays, which grow by doubling."""
-        n, ids = len(self) + 1, self.n_ids + len(self.new_ids)
-        self.ids = _grown(self.ids, ids)
-        self.ids[self.n_ids:ids] = self.new_ids
-        self.ends = _grown(self.ends, n)
-        self.ends[n - len(self.new_ends):n] = self.new_ends
-        self.n_ids, self.new_ids, self.new_ends = ids, [], []
-
-    def pre_tokens(self, piece: str) -> list[bytes]:
-        if piece.isascii():
-            return [w.encode() for w in self._PLAIN.findall(piece.lower())]
-        shown = self.pre.pre_tokenize_str(self.normal.normalize_str(piece))
-        return [bytes(self.byte[s] for s in w) for w, _ in shown]
+        if self.words.held > KEPT_WORDS:
+            self.words.begin()
 
     def __missing__(self, piece: bytes) -> int:
-        plain = piece.decode("utf-8")
-        parts = self.special.split(plain) if self.special else [plain]
-        for k, part in enumerate(parts):
-            if k % 2:
-                self.new_ids.append(self.vocabulary.special[part])
-            elif part:
-                for w in self.pre_tokens(part):
-                    self.new_ids += self.vocabulary.word(w)
-        self.new_ends.append(self.n_ids + len(self.new_ids))
+        self.new.append(piece.decode("utf-8"))
         self.held += len(piece) + 64
         slot = self[piece] = len(self)
         return slot
 
+    def _signs(self, text: str) -> list[str]:
+        return [w for w, _ in self.pre.pre_tokenize_str(self.normal.normalize_str(text))]
+
+    def _special_signs(self, piece: str) -> list[str]:
+        """Keys of ``words`` for a piece with special tokens or the character that borders are made of."""
+        found: list[str] = []
+        for k, part in enumerate(self.special.split(piece) if self.special else [piece]):
+            found += ["\n" + part] if k % 2 else [" " + w for w in self._signs(part)] if part else []
+        return found
+
+    def _settle(self) -> None:
+        """Encode the new pieces: all that are ASCII at once, the others many at once, and one by
+        one those that hold special tokens or could be taken for a border."""
+        new, self.new = self.new, []
+        alone = [bool(self.special and self.special.search(p)) or _BORDER in p for p in new]
+        kinds = [[], [], []]
+        for i, p in enumerate(new):
+            kinds[2 if alone[i] else 0 if p.isascii() else 1].append(i)
+        signs = self._PLAIN.findall("".join(new[i] + "\n" for i in kinds[0]).lower())
+        for low in range(0, len(kinds[1]), _AT_ONCE):
+            signs += self._signs("".join(f"{new[i]}\n{_BORDER}\n" for i in kinds[1][low:low + _AT_ONCE]))
+        for i in kinds[2]:
+            signs += [*self._special_signs(new[i]), "\n"]
+        slots = self.words.slots(signs)
+        ids, size = self.words.of(slots)
+        # The ids of each piece, from the order of the kinds to that of the slots.
+        stop = np.cumsum(size)[slots == 0]
+        place = np.argsort(np.array([*kinds[0], *kinds[1], *kinds[2]], np.int64))
+        start = np.concatenate(([0], stop))[:-1][place]
+        size = stop[place] - start
+        self.add(ids[runs(start, size)], size)
+
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and the number of each."""
         self.bound()
         cut = [t.split() if t else [] for t in texts]
         number = np.array([len(cs) for cs in cut], np.int64)
         slots = np.fromiter(map(self.__getitem__, chain.from_iterable(cut)), np.int64, int(number.sum()))
-        self._settle()
+        if self.new:
+            self._settle()
         self.seen(slots)
-        size = self.ends[slots + 1] - self.ends[slots]
-        ids = self.ids[runs(self.ends[slots], size)]
+        ids, size = self.of(slots)
         owner = np.repeat(np.arange(len(texts)), number)
         return ids, np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
 
