@@ -167,6 +167,28 @@ def test_split_hot_keys_equal_plain_windows(spark):
     assert rows(keyed_is_last(df, ["k"], ["arrival"])) == rows(keyed_is_last(df, ["k"], ["arrival"], hot_rows=30))
 
 
+def test_keys_are_not_counted_one_by_one_without_need(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidemill.operators import keyed as K
+    asked, group = [], DataFrame.groupBy
+    monkeypatch.setattr(DataFrame, "groupBy", lambda self, *c: asked.append(c) or group(self, *c))
+    df = spark.range(300).select(F.col("id").cast("string").alias("k"), F.col("id").alias("arrival"))
+    assert K._split_hot(df, ["k"], K.arrival_number(df, "arrival"), 100)[1] is None
+    assert len(asked) == 1 and "__bucket" in str(asked[0][0])
+    monkeypatch.setattr(K, "BUCKETS", 2)  # buckets over the limit, but no key
+    assert K._split_hot(df, ["k"], K.arrival_number(df, "arrival"), 100)[1] is None
+
+
+def test_tables_are_dealt_by_rows(spark):
+    from tidemill.operators.keyed import dealt
+    df = spark.range(9000)
+    assert dealt(df, 9000, ["id"], most=2000) is df
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt(df, 9000, ["id"], most=1000).rdd.getNumPartitions() == max(9, least)
+    assert dealt(df, 9000, ["id"], most=10).rdd.getNumPartitions() == max(900, least)
+
+
 def test_a_hot_key_is_dealt_to_many_tasks(spark):
     """A key with a third of the rows: no window partition holds more than its share."""
     from tidemill.operators import keyed as K

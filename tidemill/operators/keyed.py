@@ -3,8 +3,9 @@
 The reference keeps one state value per key and updates it record by record in
 arrival order.  In batch that is "the previous row of the same key": a window per
 key, one exchange.  A key that holds a large part of all rows would put them in
-one task, so each primitive first counts rows by key (map-side combined, one
-small result) and looks for keys with more than ``hot_rows`` rows
+one task, so each primitive first counts rows by ``BUCKETS`` hashes of the key (map-side
+combined, so a task holds that many counts and not one a key), then by key within the
+buckets that may have a key with more than ``hot_rows`` rows
 (``spark.tidemill.hotRows``).  Without any, the plain window is the plan.  Rows of
 hot keys are cut into segments of arrival, windowed per ``(key, segment)``, and
 only the first row of a segment is patched from the segments before; rows of all
@@ -20,10 +21,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-__all__ = ["HOT_ROWS", "keyed_lag", "keyed_prefix_max", "keyed_is_last", "arrival_number"]
+__all__ = ["HOT_ROWS", "keyed_lag", "keyed_prefix_max", "keyed_is_last", "arrival_number", "dealt"]
 
 #: Rows of one key that one task may hold; ``spark.tidemill.hotRows`` overrides it.
 HOT_ROWS = 1 << 20
+#: Hashes of keys that rows are counted by before any key is.
+BUCKETS = 1 << 16
+#: Rows that a task gets of tables dealt by rows.
+TASK_ROWS = 1 << 20
 
 
 def _cols(xs) -> list[Column]:
@@ -38,6 +43,16 @@ def arrival_number(df: DataFrame, arrival: str | Column) -> Column:
     return F.substring(a, 1, 20).cast("long") if kind == "string" else a.cast("double")
 
 
+def dealt(df: DataFrame, rows: int, keys: Sequence[str], most: int | None = None) -> DataFrame:
+    """``df`` (of about ``rows`` rows) dealt by ``keys`` with at most about ``most`` rows a task.  AQE merges
+    partitions by their compressed bytes, so that rows which compress well make large tasks; small
+    tables are left to it."""
+    most = most or TASK_ROWS
+    if rows <= 8 * most:
+        return df
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // most)), *keys)
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [left[k].eqNullSafe(right[f"__r_{k}"]) for k in keys]
 
@@ -56,7 +71,12 @@ def _split_hot(df: DataFrame, keys: list[str], arrival: Column, hot_rows: int |
     """(rows of ordinary keys, rows of hot keys with ``__seg``); the second is None without hot keys."""
     if hot_rows is None:
         hot_rows = int(df.sparkSession.conf.get("spark.tidemill.hotRows", str(HOT_ROWS)))
-    stat = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(arrival).alias("__lo"), F.max(arrival).alias("__hi"))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    full = df.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows).select("__bucket")
+    if full.isEmpty():
+        return df, None
+    stat = (df.join(full, bucket == F.col("__bucket"), "left_semi").groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("__n"), F.min(arrival).alias("__lo"), F.max(arrival).alias("__hi"))
             .where(F.col("__n") > hot_rows))
     if stat.isEmpty():
         return df, None

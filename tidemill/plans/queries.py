@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.bloom import bloom_dedup
+from ..operators.keyed import dealt
 from ..operators.parse import split_dirty, split_log, unpack_cdc
 from ..operators.segment import segment
 from ..operators.ttl import daily_unique_with_ttl, monotone_with_ttl, retract_with_ttl
@@ -318,9 +319,10 @@ def q_sku_order_window(spark, sf_dir):
 def with_province(spark, sf_dir, d):
     """Order details carrying the buyer's province (customer nation)."""
     o = AD.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = AD.load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    d = d.join(o, d["order_id"] == o["o_orderkey"], "left").join(c, F.col("o_custkey") == c["c_custkey"], "left")
-    return d.withColumn("province_id", F.col("c_nationkey")).drop("o_orderkey", "o_custkey", "c_custkey", "c_nationkey")
+    c = AD.load(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("province_id"))
+    buyers = o.join(c, o["o_custkey"] == c["c_custkey"], "left").select("o_orderkey", "province_id")
+    d = dealt(d, AD.load(spark, sf_dir, "lineitem").count(), ["order_id"])
+    return d.join(buyers, d["order_id"] == buyers["o_orderkey"], "left").drop("o_orderkey")
 
 
 @register("province_order_window", f"""
