@@ -189,6 +189,22 @@ def test_tables_are_dealt_by_rows(spark):
     assert dealt(df, 9000, ["id"], most=10).rdd.getNumPartitions() == max(900, least)
 
 
+def test_records_without_a_visitor_do_not_meet_in_one_task(spark):
+    from tidemill.plans.traffic import first_seen
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(2000).select(F.col("id").alias("arrival"), F.when(F.col("id") % 2 == 0, F.create_map(F.lit("x"), F.lit("y"))).otherwise(
+            F.create_map(F.lit("visitor_id"), F.col("id").cast("string"))).alias("data"))
+        seen = first_seen(df).groupBy(F.spark_partition_id().alias("p"), F.col("__vid").isNull().alias("none")).count().collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    nulls = [r["count"] for r in seen if r["none"]]
+    assert sum(nulls) == 1000 and max(nulls) <= 800
+
+
 def test_a_hot_key_is_dealt_to_many_tasks(spark):
     """A key with a third of the rows: no window partition holds more than its share."""
     from tidemill.operators import keyed as K

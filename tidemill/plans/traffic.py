@@ -29,11 +29,14 @@ SHOP_ID = 10001  # the reference's literal shop id (ledger Q8); a parameter ever
 def first_seen(unpacked: DataFrame, vid: str = "__vid", out: str = "__first") -> DataFrame:
     """Add ``vid`` (the row image's visitor id, null without one) and ``out``: whether no earlier
     record (arrival order, any table) carried it.  One map-side combined minimum per id and one
-    left join; a null id matches nothing and stays null."""
+    left join; a null id matches nothing and stays null.  The join is on a hash too, which for rows
+    without an id is that of their arrival, so that they don't all meet in one task."""
     data = F.col("data")
     carrying = unpacked.withColumn(vid, F.when(F.map_contains_key(data, "visitor_id"), data["visitor_id"]))
     first = (carrying.where(F.col(vid).isNotNull()).groupBy(F.col(vid).alias("__id")).agg(F.min("arrival").alias("__at")))
-    return (carrying.join(first, F.col(vid) == F.col("__id"), "left")
+    dealt = F.xxhash64(F.coalesce(F.col(vid), F.col("arrival").cast("string")))
+    same = (F.col(vid) == F.col("__id")) & (dealt == F.xxhash64("__id"))
+    return (carrying.join(first, same, "left")
             .withColumn(out, F.when(F.col("__id").isNotNull(), F.col("arrival") == F.col("__at"))).drop("__id", "__at"))
 
 
