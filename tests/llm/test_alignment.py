@@ -1,4 +1,7 @@
+import copy
+import cProfile
 import hashlib
+import pstats
 from collections import Counter
 
 import numpy as np
@@ -130,3 +133,39 @@ def test_edge_rows(edge, empty):
             assert r["n_groups"] > 0 and sum(r["times_"]) == r["n_links"]
     assert A.report(edge).count() == edge.count()
     assert A.report(empty).count() == 0
+
+
+def test_pieces_encoded_together_are_those_encoded_alone(pair):
+    texts = ["word%d" % i for i in range(3 * A.AT_ONCE)] + ["  wide %d\n  é" % i for i in range(A.AT_ONCE)] + ["a▁b", "日本", "\x00.", "tail ", "tail\n"]
+    pieces = [p for t in texts for p in pair.pieces(t)]
+    blocks = A.Blocks(pair)
+    slots = blocks.slots(pieces)
+    for piece, slot in zip(pieces, slots.tolist()):
+        a, b = pair.a.encode(" " + piece, add_special_tokens=False).ids, pair.b.encode(piece) if piece else pair.b_space.tolist()
+        spelled = all(b"".join(s[i] for i in ids) == (" " + piece).encode() for ids, s in ((a, pair.a_spelled), (b, pair.b_spelled)))
+        n_a, n_b, n_groups, good = blocks.n[slot].tolist()
+        shown = blocks.shown[slot].as_py()
+        assert (n_a, n_b, good) == ((len(a), len(b), 1) if spelled else (0, 0, 0)), piece
+        groups = [g.split("|") for g in shown.split(";")] if shown else []
+        assert len(groups) == n_groups == blocks.ends[slot + 1] - blocks.ends[slot]
+        assert [",".join(g[k] for g in groups) for k in (0, 1)] == [",".join(map(str, x)) if spelled else "" for x in (a, b)]
+
+
+def test_work_on_new_pieces(pair):
+    """B takes few pieces at once, and Python makes few calls for each new piece (counted, not timed)."""
+    pieces = [p for t in ("x%dy z%d" % (i, i) for i in range(5000)) for p in pair.pieces(t)]
+    sizes = []
+
+    class Recorded:
+        def encode(self, text, **options):
+            sizes.extend(len(t.split()) for t in ([text] if isinstance(text, str) else text))
+            return pair.b.encode(text, **options)
+
+    watched = copy.copy(pair)
+    watched.b = Recorded()
+    blocks = A.Blocks(watched)
+    profile = cProfile.Profile()
+    slots = profile.runcall(blocks.slots, pieces)
+    assert len(slots) == len(blocks) == 10000
+    assert sum(sizes) == 10000 and max(sizes) <= A.AT_ONCE
+    assert pstats.Stats(profile).total_calls < 12 * len(blocks)

@@ -26,6 +26,7 @@ a new column whose name is taken gets an underscore; an empty table gives an emp
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,9 @@ PIECES_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SENT_PAIRS = 1 << 20
 #: What a task keeps of encoded pieces, in links and in bytes.
 KEPT = 1 << 22
-_CUT = re.compile(r"(?<=\S)(?= )")
+#: How many pieces B encodes at once: the work on one symbol grows with the text it stands in.
+AT_ONCE = 64
+_CUT, _WIDE = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
 
 class Rows:
@@ -136,21 +139,30 @@ class Pair:
         self.b_width = len(self.b_spelled)
         self.width = self.b_width * len(self.a_spelled)
         self.a_size, self.b_size = (np.array([len(x) for x in s], np.int64) for s in (self.a_spelled, self.b_spelled))
+        # Ids as they are shown before another of their group, before B's, before the next group, and last.
+        self.n_ids = max(len(self.a_spelled), self.b_width)
+        digits = pa.array(range(self.n_ids)).cast(pa.string())
+        self.signs = pa.concat_arrays([pc.binary_join_element_wise(digits, sign, "") for sign in (",", "|", ";", "")])
         # A text that ends in one space has that space as its last piece; alone, B takes it for no text.
         self.b_space = np.array(self.b.encode("x ")[len(self.b.encode("x")):], np.int64)
         # Texts may be cut between a word and a space only if no piece goes over that place.
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b_width))
 
     def pieces(self, text: str) -> list[str]:
-        """The text with a space in front, cut where tokens of both always end."""
-        return _CUT.split(" " + text) if self.cuts else [" " + text]
+        """The text with a space in front, cut where tokens of both always end; of each piece, what follows its first space."""
+        if not self.cuts:
+            return [text]
+        if text[:1] == " " or _WIDE.search(text):
+            return [p[1:] for p in _CUT.split(" " + text)]
+        return text.split(" ")
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bool]]:
         """(A's ids, B's ids, how many of each a piece has, whether both spell it) of pieces one after another."""
-        whole = "".join(pieces)
-        ends = np.cumsum([len(p.encode("utf-8")) for p in pieces])
-        ids = [np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64),
-               self.b_space if whole == " " else np.array(self.b.encode(whole[1:]), np.int64)]
+        whole = " " + " ".join(pieces)
+        ends = np.cumsum([*map(len, pieces)] if whole.isascii() else [len(p.encode("utf-8")) for p in pieces]) + np.arange(1, len(pieces) + 1)
+        parts = [" ".join(pieces[k:k + AT_ONCE]) for k in range(0, len(pieces), AT_ONCE)]
+        ids = [np.array(self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.int64),
+               self.b_space if whole == " " else np.array([*chain.from_iterable(self.b.encode(parts, num_threads=1))], np.int64)]
         counts = []
         for own, size, spelled in zip(ids, (self.a_size, self.b_size), (self.a_spelled, self.b_spelled)):
             stops = np.cumsum(size[own])
@@ -175,59 +187,77 @@ class Blocks(Slots):
         super().__init__()
         self.pair, self.kind = pair, kind
         self.n = np.zeros((0, 4), np.int64)  # of each slot: tokens of A and B, groups, whether it's spelled again
-        self.shown: list[str] = []
+        self.shown = pa.array([], pa.string())  # the groups of each: ids of A, ``|``, ids of B; ``;`` between groups
         self.links, self.ends = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        slot = self[piece] = len(self)
+        return slot
 
     def slots(self, pieces: list[str]) -> np.ndarray:
         """The slots of pieces; those that are new are aligned at once, their matrices being one of blocks."""
         if len(self.links) > KEPT or self.held > KEPT * 4:
             keep = self.survivors()
             size = self.ends[keep + 1] - self.ends[keep]
-            self.n, self.shown = self.n[keep], [self.shown[k] for k in keep.tolist()]
+            self.n, self.shown = self.n[keep], self.shown.take(pa.array(keep))
             self.links = self.links[runs(self.ends[keep], size)]
             self.ends = np.concatenate(([0], np.cumsum(size)))
-        new = list({p for p in pieces if p not in self})
-        if new:
-            # Pieces that end in white space, at the end of a text, have no sure border to the next one.
-            new.sort(key=lambda p: p[-1].isspace())
-            firm = sum(not p[-1].isspace() for p in new)
-            for first, last in ranges(np.array([len(p) for p in new[:firm]], np.int64)) if firm else ():
-                self._align(new[first:last])
-            for p in new[firm:]:
-                self._align([p])
-        return self.seen(np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces)))
-
-    def _align(self, new: list[str]) -> None:
+        slots = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        if self.new:
+            self._settle()
+        return self.seen(slots)
+
+    def _settle(self) -> None:
+        new, self.new = self.new, []
+        # Pieces that end in white space, at the end of a text, have no sure border to the next one.
+        loose = np.array([not p or p[-1].isspace() for p in new])
+        order = np.argsort(loose, kind="stable")
+        firm = [new[k] for k in order[:len(new) - int(loose.sum())].tolist()]
+        groups = [firm[first:last] for first, last in ranges(np.array([len(p) for p in firm], np.int64))] if firm else []
+        found = [self._aligned(g) for g in [*groups, *([new[k]] for k in order[len(firm):].tolist())]]
+        n, links, size = (np.concatenate([f[k] for f in found]) for k in (0, 2, 3))
+        shown = pa.concat_arrays([f[1] for f in found])
+        if loose.any():  # from the order of work to that of the slots
+            place = np.argsort(order)
+            n, shown, links, size = n[place], shown.take(pa.array(place)), links[runs((np.cumsum(size) - size)[place], size[place])], size[place]
+        self.n, self.links = np.concatenate((self.n, n)), np.concatenate((self.links, links))
+        self.shown = pa.concat_arrays([self.shown, shown])
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(size)))
+        self.held += sum(f[4] for f in found) + 64 * len(new)
+
+    def _aligned(self, new: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, int]:
+        """(``n``, groups, links, how many links of each, bytes in all) of pieces."""
         pair = self.pair
         a_ids, b_ids, n_a, n_b, spelled = pair.encode(new)
         a_ends, b_ends = np.cumsum(pair.a_size[a_ids]), np.cumsum(pair.b_size[b_ids])
         width = int(a_ends[-1]) if len(a_ends) else 0
         i, j, _ = linked(a_ends, b_ends, width, self.kind)
         owner = np.repeat(np.arange(len(new)), n_a)
-        n_links = np.bincount(owner[i], minlength=len(new))
         last_a, last_b, _ = linked(a_ends, b_ends, width) if self.kind != "ends" else (i, j, None)
         n_groups = np.bincount(owner[last_a], minlength=len(new))
-        self.shown += _shown(a_ids, b_ids, last_a, last_b, n_groups)
-        self.n = np.concatenate((self.n, np.stack([n_a, n_b, n_groups, np.array(spelled, np.int64)], 1)))
-        self.links = np.concatenate((self.links, a_ids[i] * pair.b_width + b_ids[j]))
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(n_links)))
-        self.update(zip(new, range(len(self), len(self) + len(new))))
-        self.held += width + 64 * len(new)
-
-
-def _shown(a_ids, b_ids, last_a, last_b, n_groups) -> list[str]:
-    """The groups of each piece: ids of A, ``|``, ids of B; ``;`` between groups."""
-    out, parts = [], []
-    a, b = (list(map(str, x.tolist())) for x in (a_ids, b_ids))
-    i = j = 0
-    for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-        parts.append(",".join(a[i:x]) + "|" + ",".join(b[j:y]))
-        i, j = x, y
-    at = 0
-    for n in n_groups.tolist():
-        out.append(";".join(parts[at:at + n]))
-        at += n
-    return out
+        n = np.stack([n_a, n_b, n_groups, np.array(spelled, np.int64)], 1)
+        return (n, _shown(pair, a_ids, b_ids, last_a, last_b, n_a + n_b), a_ids[i] * pair.b_width + b_ids[j],
+                np.bincount(owner[i], minlength=len(new)), width)
+
+
+def _shown(pair: Pair, a_ids, b_ids, last_a, last_b, n_tokens) -> pa.Array:
+    """The groups of each piece, whose last tokens of A and B and numbers of tokens are given."""
+    before_a, before_b = (np.concatenate(([0], last + 1)) for last in (last_a, last_b))
+    # Of each group A's tokens stand before B's.
+    at_a = np.arange(len(a_ids)) + np.repeat(before_b[:-1], np.diff(before_a))
+    at_b = np.arange(len(b_ids)) + np.repeat(before_a[1:], np.diff(before_b))
+    sign = np.empty(len(a_ids) + len(b_ids), np.int64)
+    sign[at_a], sign[at_b] = a_ids, b_ids
+    sign[at_a[last_a]] += pair.n_ids
+    sign[at_b[last_b]] += 2 * pair.n_ids
+    ends = np.concatenate(([0], np.cumsum(n_tokens)))
+    sign[ends[1:][n_tokens > 0] - 1] += pair.n_ids
+    text = pair.signs.take(pa.array(sign))
+    _, offsets, data = text.buffers()
+    starts = np.frombuffer(offsets, np.int32)[text.offset:][ends] if len(sign) else np.zeros(len(ends), np.int32)
+    return pa.StringArray.from_buffers(len(n_tokens), pa.py_buffer(starts), data or pa.py_buffer(b""))
 
 
 def _tally(row: np.ndarray, link: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,17 +295,14 @@ def align(docs: DataFrame, kind: str = "ends", column: str = "text", a_file: str
                 n = [np.bincount(owner[keep], weights=found[keep, k], minlength=len(texts)).astype(np.int64) for k in range(3)]
                 begin, ends = blocks.ends[slots[keep]], blocks.ends[slots[keep] + 1]
                 n_links = np.bincount(owner[keep], weights=ends - begin, minlength=len(texts)).astype(np.int64)
-                shown, at = [], 0
-                own = list(map(blocks.shown.__getitem__, slots.tolist()))
-                for k, s in enumerate(size.tolist()):
-                    shown.append("" if bad[k] else ";".join(own[at:at + s]))
-                    at += s
+                own = pa.array(np.concatenate(([0], np.cumsum(np.where(bad, 0, size)))), pa.int32())
+                shown = pc.binary_join(pa.ListArray.from_arrays(own, blocks.shown.take(pa.array(slots[keep]))), ";")
                 pairs, times, different = _tally(np.repeat(np.arange(len(texts)), n_links), blocks.links[runs(begin, ends - begin)],
                                                  blocks.pair.width, len(texts))
                 offsets = pa.array(np.concatenate(([0], np.cumsum(different))), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (pairs, times)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), *map(pa.array, n), pa.array(n_links), pa.array(shown, pa.string()), *lists],
+                    [batch.column(0).slice(first, last - first), *map(pa.array, n), pa.array(n_links), shown, *lists],
                     names=["row", *[f.name for f in _FOUND]])
 
     named = [F.col(f.name).alias(unused(f.name, columns)) for f in _FOUND]
