@@ -115,3 +115,53 @@ def test_later_batches_see_a_config_change(spark, tmpdir_path):
     put(config, CHANGES, (3, "u", "t", "two", "id"), (6, "d", "t", None, None))
     put(rows, schema, (2, "u", "t", {"id": "2"}), (4, "c", "t", {"id": None}), (7, "c", "t", {"id": "3"}))
     assert run() == {(1, "one"), (2, "one"), (4, "two")}
+
+
+class _Held:
+    """State and timers of one bucket."""
+
+    def __init__(self):
+        self.value, self.at = None, set()
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):  # noqa: N802
+        return iter(self.at)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.at.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.at.discard(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 100_000
+
+
+def test_holds_of_a_micro_batch_in_pieces_out_of_order():
+    """A bucket's rows come in pieces; the later records of an id may lie in the first."""
+    import random
+
+    import pandas as pd
+
+    from tidemill.streaming.hold import HoldLast
+
+    rnd = random.Random(5)
+    rows = [(f"k{k}", place, 500 * k + 2000 * place) for k in range(40) for place in range(rnd.randrange(1, 8))]
+    rnd.shuffle(rows)
+    df = pd.DataFrame([(k, v, k, at, False) for k, v, at in rows], columns=["id", "version", "hold_id", "hold_at_ms", "hold_closing"])
+    processor, handle = HoldLast(["id", "version"], ["version"], 5000), _Held()
+    processor.init(handle)
+    out = pd.concat(processor.handleInputRows((0,), iter([df[k:k + 15] for k in range(0, len(df), 15)]), handle))
+    assert sorted(zip(out["id"], out["version"]), key=repr) == _brute_holds(rows, 5000)
+    assert handle.value is None and not handle.at
